@@ -35,6 +35,7 @@ from flowsift.functions.flags import flag_count_columns, is_terminator
 from flowsift.functions.keys import port0, with_flow_key
 from flowsift.operators.stitch import latest_marker
 from flowsift.schemas import FLOW_KEY
+from flowsift.session import ensure_checkpoint_dir
 
 KEY = list(FLOW_KEY)
 FLAG_FEATURES = [name for _, name in FLAG_LETTERS]
@@ -114,7 +115,7 @@ def _moments(prefix: str, value: Column, when: Column | None = None) -> list[Col
     return [
         F.count(v).alias(f"{prefix}_n"),
         F.sum(v.cast(DEC)).alias(f"{prefix}_s1"),
-        F.sum((v * v).cast(DEC)).alias(f"{prefix}_s2"),
+        F.sum(v.cast(DEC) * v.cast(DEC)).alias(f"{prefix}_s2"),
         F.min(v).alias(f"{prefix}_min"),
         F.max(v).alias(f"{prefix}_max"),
     ]
@@ -278,9 +279,12 @@ def flows_no_active(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -
     return finalize_flows(agg)
 
 
-def flows(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> DataFrame:
-    """G1-G4 complete. Segments that never reach ``active`` are final after one aggregation;
-    the rest (found by a cheap count over segment rows) go through the G3 frontier."""
+def sessionize(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> tuple[DataFrame, DataFrame]:
+    """G1-G4 complete -> (flows, active cuts). Segments that never reach ``active`` are final
+    after one aggregation; the rest (found by a count over segment rows) go through the
+    G3 frontier. The per-packet segment table is persisted (recomputable from lineage if an
+    executor is lost) and the small segment aggregate is checkpointed to the shared folder."""
+    ensure_checkpoint_dir(packets.sparkSession)
     a = cfg.active_us
     seg = segment_packets(packets, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     seg_agg = (seg.withColumn("start_idx", F.col("seg.pkt_idx"))
@@ -291,8 +295,9 @@ def flows(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> DataFram
     long_segs = seg_agg.where(F.col("_span") >= a).select(
         *KEY, F.col("start_idx").alias("seg_idx"), F.col("first_seen_us").alias("seg_ts"))
     short = finalize_flows(seg_agg.where(F.col("_span") < a))
+    no_cuts = packets.sparkSession.createDataFrame([], _cut_schema()).drop("step")
     if long_segs.isEmpty():
-        return short
+        return short, no_cuts
 
     long_segs = long_segs.checkpoint(eager=True)
     lp = (seg.withColumn("seg_idx", F.col("seg.pkt_idx"))
@@ -314,7 +319,12 @@ def flows(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> DataFram
     reason = (F.when(F.col("_last_term"), F.lit("fin_rst"))
               .when(F.col("start_idx") < F.coalesce(F.col("_last_cut"), F.lit(-1)), F.lit("active_timeout"))
               .otherwise(F.lit("expired")))
-    return short.unionByName(finalize_flows(agg, close_reason=reason))
+    return short.unionByName(finalize_flows(agg, close_reason=reason)), cuts
+
+
+def flows(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The flow table."""
+    return sessionize(packets, cfg)[0]
 
 
 def engine_counters(packets: DataFrame, flows_df: DataFrame) -> DataFrame:

@@ -28,7 +28,8 @@ RULE_FIELDS: tuple[str, ...] = (*FEATURES, *RULE_IDENTITY_FIELDS)
 OPS = ("eq", "ne", "gt", "gte", "lt", "lte", "in")
 MAX_BROADCAST_CONDITIONS = 100_000
 
-FINDING_COLUMNS = ("flow_id", "finding_order", "detector", "rule_id", "name", "severity",
+IDENTITY = ("flow_id", "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "last_seen_us")
+FINDING_COLUMNS = (*IDENTITY, "finding_order", "detector", "rule_id", "name", "severity",
                    "confidence", "description", "evidence")
 
 
@@ -83,12 +84,14 @@ def rule_findings(flows: DataFrame, rules: list[Rule]) -> DataFrame:
         for i, r in enumerate(rules)
     ]
     matched = F.filter(F.array(*cand), lambda x: x.isNotNull())
-    return (flows.select("flow_id", evidence.alias("evidence"), F.explode(matched).alias("f"))
-            .select("flow_id", "f.finding_order", F.lit(DETECTOR_SIGNATURE).alias("detector"),
+    return (flows.select(*IDENTITY, evidence.alias("evidence"), F.explode(matched).alias("f"))
+            .select(*IDENTITY, "f.finding_order", F.lit(DETECTOR_SIGNATURE).alias("detector"),
                     "f.rule_id", "f.name", "f.severity", "f.confidence", "f.description", "evidence"))
 
 
-_FINDING_TYPES = (("flow_id", "string"), ("finding_order", "int"), ("detector", "string"),
+_FINDING_TYPES = (("flow_id", "string"), ("src_ip", "string"), ("dst_ip", "string"),
+                  ("src_port", "int"), ("dst_port", "int"), ("protocol", "int"),
+                  ("last_seen_us", "long"), ("finding_order", "int"), ("detector", "string"),
                   ("rule_id", "string"), ("name", "string"), ("severity", "string"),
                   ("confidence", "double"), ("description", "string"), ("evidence", "string"))
 
@@ -131,9 +134,9 @@ def rule_findings_longform(flows: DataFrame, rules: list[Rule]) -> DataFrame:
     if always:
         matched = matched.unionByName(
             flows.select("flow_id", F.explode(F.array(*[F.lit(i) for i in always])).alias("rule_id")))
-    ev = flows.select("flow_id", rule_evidence().alias("evidence"))
+    ev = flows.select(*IDENTITY, rule_evidence().alias("evidence"))
     return (matched.join(rules_b, "rule_id").join(ev, "flow_id")
-            .select("flow_id", F.col("rule_order").alias("finding_order"),
+            .select(*IDENTITY, F.col("rule_order").alias("finding_order"),
                     F.lit(DETECTOR_SIGNATURE).alias("detector"), "rule_id", "name", "severity",
                     "confidence", "description", "evidence"))
 

@@ -35,21 +35,24 @@ def latest_marker(df: DataFrame, part: Sequence[str], bucket: str, order: str,
 
 
 def prefix_sum(df: DataFrame, part: Sequence[str], bucket: str, order: str,
-               value: str, out: str) -> DataFrame:
-    """``out`` = running sum of ``value`` over ``part`` ordered by ``order`` (RANGE frame:
-    rows with an equal ``order`` value are all included). ``bucket`` must be a
-    non-decreasing function of ``order`` so peers share a bucket.
+               values: Sequence[str], outs: Sequence[str]) -> DataFrame:
+    """``outs[i]`` = running sum of ``values[i]`` over ``part`` ordered by ``order`` (RANGE
+    frame: rows with an equal ``order`` value are all included). ``bucket`` must be a
+    non-decreasing function of ``order`` so that peers share a bucket.
     """
     part = list(part)
     wl = (Window.partitionBy(*part, bucket).orderBy(order)
           .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    df = df.withColumn("_loc", F.sum(value).over(wl))
-    summ = df.groupBy(*part, bucket).agg(F.sum(value).alias("_btot"))
+    for v, o in zip(values, outs):
+        df = df.withColumn(f"_loc_{o}", F.sum(v).over(wl))
+    summ = df.groupBy(*part, bucket).agg(*[F.sum(v).alias(f"_btot_{o}") for v, o in zip(values, outs)])
     wb = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.select(*part, bucket, F.coalesce(F.sum("_btot").over(wb), F.lit(0)).alias("_carry"))
-    return (df.join(summ, [*part, bucket], "left")
-            .withColumn(out, F.col("_loc") + F.col("_carry"))
-            .drop("_loc", "_carry"))
+    summ = summ.select(*part, bucket, *[
+        F.coalesce(F.sum(f"_btot_{o}").over(wb), F.lit(0)).alias(f"_carry_{o}") for o in outs])
+    df = df.join(summ, [*part, bucket], "left")
+    for o in outs:
+        df = df.withColumn(o, F.col(f"_loc_{o}") + F.col(f"_carry_{o}")).drop(f"_loc_{o}", f"_carry_{o}")
+    return df
 
 
 def next_value(df: DataFrame, part: Sequence[str], bucket: str, order: Sequence[str],
