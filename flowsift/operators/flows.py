@@ -35,7 +35,7 @@ from flowsift.functions.flags import flag_count_columns, is_terminator
 from flowsift.functions.keys import port0, with_flow_key
 from flowsift.operators.stitch import latest_marker
 from flowsift.schemas import FLOW_KEY
-from flowsift.session import ensure_checkpoint_dir
+from flowsift.session import ensure_checkpoint_dir, materialize
 
 KEY = list(FLOW_KEY)
 FLAG_FEATURES = [name for _, name in FLAG_LETTERS]
@@ -255,8 +255,8 @@ def active_cuts(long_pkts: DataFrame, long_segs: DataFrame, cfg: DetectionConfig
                        & (F.col("ts_us") >= F.col("c_ts") + a)
                        & (F.col("ts_us") < F.col("c_ts") + k * (a + idle))))
         res = (cand.groupBy(*KEY, "seg_idx")
-               .applyInPandas(_fold_cuts(a, k), _cut_schema())
-               .checkpoint(eager=True))
+               .applyInPandas(_fold_cuts(a, k), _cut_schema()))
+        res = materialize(res, "flow-cuts")
         found.append(res.select(*KEY, "seg_idx", "cut_idx", "cut_ts"))
         frontier = (res.where(F.col("step") == k)
                     .select(*KEY, "seg_idx", F.col("cut_idx").alias("c_idx"), F.col("cut_ts").alias("c_ts")))
@@ -287,23 +287,23 @@ def sessionize(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> tup
     ensure_checkpoint_dir(packets.sparkSession)
     a = cfg.active_us
     seg = segment_packets(packets, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    seg_agg = (seg.withColumn("start_idx", F.col("seg.pkt_idx"))
-               .groupBy(*KEY, "start_idx")
-               .agg(*flow_aggregates(),
-                    F.max(F.col("ts_us") - F.col("seg.ts_us")).alias("_span"))
-               .checkpoint(eager=True))
+    seg_agg = materialize(
+        seg.withColumn("start_idx", F.col("seg.pkt_idx"))
+        .groupBy(*KEY, "start_idx")
+        .agg(*flow_aggregates(), F.max(F.col("ts_us") - F.col("seg.ts_us")).alias("_span")),
+        "flow-segments")
     long_segs = seg_agg.where(F.col("_span") >= a).select(
         *KEY, F.col("start_idx").alias("seg_idx"), F.col("first_seen_us").alias("seg_ts"))
     short = finalize_flows(seg_agg.where(F.col("_span") < a))
     no_cuts = packets.sparkSession.createDataFrame([], _cut_schema()).drop("step")
     if long_segs.isEmpty():
-        return short, no_cuts
+        seg.unpersist()
+        return materialize(short, "flows"), no_cuts
 
-    long_segs = long_segs.checkpoint(eager=True)
     lp = (seg.withColumn("seg_idx", F.col("seg.pkt_idx"))
           .join(long_segs.select(*KEY, "seg_idx"), [*KEY, "seg_idx"], "left_semi"))
-    elig = (lp.where(F.col("ts_us") - F.col("seg.ts_us") >= a)
-            .select(*KEY, "seg_idx", "pkt_idx", "ts_us").checkpoint(eager=True))
+    elig = materialize(lp.where(F.col("ts_us") - F.col("seg.ts_us") >= a)
+                       .select(*KEY, "seg_idx", "pkt_idx", "ts_us"), "flow-long-packets")
     cuts = active_cuts(elig, long_segs, cfg)
 
     # assign every packet of a long segment to the latest cut at or before it
@@ -319,11 +319,14 @@ def sessionize(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> tup
     reason = (F.when(F.col("_last_term"), F.lit("fin_rst"))
               .when(F.col("start_idx") < F.coalesce(F.col("_last_cut"), F.lit(-1)), F.lit("active_timeout"))
               .otherwise(F.lit("expired")))
-    return short.unionByName(finalize_flows(agg, close_reason=reason)), cuts
+    out = materialize(short.unionByName(finalize_flows(agg, close_reason=reason)), "flows")
+    seg.unpersist()
+    return out, cuts
 
 
 def flows(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> DataFrame:
-    """The flow table."""
+    """The flow table, materialized once in the shared checkpoint folder (rules, the
+    scan detector and the model all read it; one row per flow, far fewer than packets)."""
     return sessionize(packets, cfg)[0]
 
 

@@ -289,3 +289,126 @@ def alert_rows_formatted(spark, sf_dir):
 def flagship(spark, sf_dir):
     """The flagship: packets -> flows -> rules + scan detector -> alerts per rule."""
     return alerts_table(spark, sf_dir).groupBy("rule_id", "severity").agg(F.count("id").alias("n_alerts"))
+
+
+# --- training data, split, scaling --------------------------------------------
+
+def _csv_rows(spark, sf_dir):
+    from flowsift.sources.cicflow import lineitem_as_flow_csv
+    from flowsift.sources.events import read_table
+
+    return lineitem_as_flow_csv(read_table(spark, sf_dir, "lineitem"))
+
+
+@register("training_map")
+def training_map(spark, sf_dir):
+    from flowsift.sources.cicflow import map_columns
+
+    return map_columns(_csv_rows(spark, sf_dir), source="lineitem")
+
+
+@register("label_binarise")
+def label_binarise(spark, sf_dir):
+    return training_map(spark, sf_dir).groupBy("label_detail", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("training_clean")
+def training_clean(spark, sf_dir):
+    from flowsift.sources.cicflow import clean
+
+    return clean(training_map(spark, sf_dir))
+
+
+def _labelled(spark, sf_dir):
+    from flowsift.operators.training import labelled_flows
+
+    f = _flows(spark, sf_dir)
+    return labelled_flows(f, fd.union_findings(ru.rule_findings(f, load_rules()), sc.scan_findings(f)))
+
+
+@register("split_stratified")
+def split_stratified(spark, sf_dir):
+    from flowsift.operators.training import stratified_split
+
+    return stratified_split(_labelled(spark, sf_dir), "flow_id").select("flow_id", "label", "split")
+
+
+def _sci(c):
+    return F.format_string("%.9e", F.col(c))
+
+
+@register("scaler_params")
+def scaler_params(spark, sf_dir):
+    from flowsift.operators.training import benign_train, scaler_params as sp, stratified_split
+
+    tr = benign_train(stratified_split(_labelled(spark, sf_dir), "flow_id"))
+    return sp(tr).select("pos", "feature", _sci("mean").alias("mean"), _sci("std").alias("std"),
+                         _sci("scale").alias("scale"))
+
+
+# --- scores and metrics (labels + documents) -----------------------------------
+
+def _labelled_docs(spark, sf_dir):
+    from flowsift.sources.events import read_table
+
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return lab.join(docs, "doc_id")
+
+
+def _unit_docs(spark, sf_dir):
+    from flowsift.operators.metrics import unit_score
+
+    return unit_score(_labelled_docs(spark, sf_dir), "n_chars", "score")
+
+
+@register("score_minmax")
+def score_minmax(spark, sf_dir):
+    return _unit_docs(spark, sf_dir).select("doc_id", "label", "score")
+
+
+@register("calibration_bounds")
+def calibration_bounds_q(spark, sf_dir):
+    from flowsift.operators.metrics import calibration_bounds
+
+    d = _labelled_docs(spark, sf_dir).where(F.col("label") == 1)
+    lo, hi = calibration_bounds(d, "n_chars")
+    return d.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.lit(lo).cast("double").alias("lo"), F.lit(hi).cast("double").alias("hi"))
+
+
+@register("calibrated_scores")
+def calibrated_scores(spark, sf_dir):
+    from flowsift.operators.metrics import calibrate, calibration_bounds, severity_band
+
+    d = _labelled_docs(spark, sf_dir)
+    lo, hi = calibration_bounds(d.where(F.col("label") == 1), "n_chars")
+    s = calibrate(F.col("n_chars"), lo, hi)
+    return d.select("doc_id", s.alias("score"), severity_band(s).alias("severity"))
+
+
+@register("severity_bands")
+def severity_bands(spark, sf_dir):
+    return calibrated_scores(spark, sf_dir).groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("roc_auc")
+def roc_auc_q(spark, sf_dir):
+    from flowsift.operators.metrics import roc_auc
+
+    return roc_auc(_unit_docs(spark, sf_dir), "score", "label")
+
+
+@register("average_precision")
+def average_precision_q(spark, sf_dir):
+    from flowsift.operators.metrics import average_precision
+
+    return average_precision(_unit_docs(spark, sf_dir), "score", "label").select(
+        _sci("average_precision").alias("average_precision"))
+
+
+@register("classification_report")
+def classification_report_q(spark, sf_dir):
+    from flowsift.operators.metrics import classification_report
+
+    return classification_report(_unit_docs(spark, sf_dir), "score", "label")

@@ -101,3 +101,113 @@ FROM alerts""")
 
 
 _build()
+
+
+def _training_sql() -> None:
+    q = ORACLE
+    feats = {
+        "duration_s": "CAST(l_linenumber - 1 AS VARCHAR)",
+        "fwd_packets": "CAST(l_quantity AS VARCHAR)",
+        "bwd_packets": "CAST(floor(l_quantity / 2) AS VARCHAR)",
+        "fwd_bytes": "CAST(floor(l_extendedprice) AS VARCHAR)",
+        "bwd_bytes": "CAST(floor(l_extendedprice * l_discount) AS VARCHAR)",
+        "fwd_pkt_len_mean": "CAST(l_extendedprice / l_quantity AS VARCHAR)",
+        "fwd_pkt_len_std": "CAST(l_tax * 1000 AS VARCHAR)",
+        "fwd_pkt_len_min": "CAST(l_discount * 100 AS VARCHAR)",
+        "fwd_pkt_len_max": "CAST(l_quantity * 10 AS VARCHAR)",
+        "bwd_pkt_len_mean": "CAST((l_extendedprice * l_discount) / greatest(1.0, floor(l_quantity / 2)) AS VARCHAR)",
+        "bwd_pkt_len_std": "CAST(l_tax * 100 AS VARCHAR)",
+        "bwd_pkt_len_min": "'0.0'",
+        "bwd_pkt_len_max": "CAST(l_quantity AS VARCHAR)",
+        "iat_mean": "CAST(CAST(l_linenumber - 1 AS DOUBLE) / l_quantity AS VARCHAR)",
+        "iat_std": "CAST(l_discount * 10 AS VARCHAR)",
+        "bytes_per_s": ("CASE WHEN l_linenumber = 1 THEN 'Infinity' ELSE CAST((floor(l_extendedprice) + "
+                        "floor(l_extendedprice * l_discount)) / CAST(l_linenumber - 1 AS DOUBLE) AS VARCHAR) END"),
+        "packets_per_s": ("CASE WHEN l_linenumber = 1 THEN 'Infinity' ELSE CAST((l_quantity + floor(l_quantity / 2))"
+                          " / CAST(l_linenumber - 1 AS DOUBLE) AS VARCHAR) END"),
+        "down_up_ratio": "CAST(floor(l_quantity / 2) / l_quantity AS VARCHAR)",
+        "syn_count": "CAST(l_linenumber % 2 AS VARCHAR)",
+        "ack_count": "CAST(l_partkey % 3 AS VARCHAR)",
+        "fin_count": "CAST(CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE 0 END AS VARCHAR)",
+        "rst_count": "'0'",
+        "psh_count": "CAST(l_suppkey % 2 AS VARCHAR)",
+        "urg_count": "'0'",
+    }
+    parsed = ",\n  ".join(f"TRY_CAST({v} AS DOUBLE) AS {k}" for k, v in feats.items())
+    mapped = f"""SELECT {parsed},
+  CASE WHEN l_returnflag = 'N' THEN 'BENIGN' WHEN l_returnflag = 'R' THEN 'PortScan' ELSE 'DDoS' END AS label_detail
+FROM lineitem"""
+    tm = """SELECT *, CASE WHEN upper(coalesce(label_detail, 'nan')) = 'BENIGN' THEN 0 ELSE 1 END AS label,
+  fwd_packets + bwd_packets AS total_packets, fwd_bytes + bwd_bytes AS total_bytes FROM mapped"""
+    ctes = [("mapped", mapped), ("tm", tm)]
+    cols = ", ".join(FEATURES)
+    q["training_map"] = o.sql(ctes, f"SELECT {cols}, label, label_detail FROM tm")
+    q["label_binarise"] = o.sql(ctes, "SELECT label_detail, label, count(*) AS n FROM tm GROUP BY 1, 2")
+    finite = " AND ".join(f"isfinite({f})" for f in FEATURES)
+    q["training_clean"] = o.sql(ctes, f"SELECT {cols}, label, label_detail FROM tm WHERE {finite}")
+
+    det = o.detection_ctes(load_rules())
+    lab = """SELECT f.*, CASE WHEN f.flow_id IN (SELECT flow_id FROM findings) THEN 1 ELSE 0 END AS label
+FROM flows f"""
+    split = """SELECT l.*, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5(flow_id || '|42'), flow_id)
+  <= floor(count(*) OVER (PARTITION BY label) * 0.25 + 0.5) THEN 'test' ELSE 'train' END AS split FROM lab l"""
+    sctes = [*det, ("lab", lab), ("spl", split)]
+    q["split_stratified"] = o.sql(sctes, "SELECT flow_id, label, split FROM spl")
+    parts = [f"""SELECT {i} AS pos, '{f}' AS feature, printf('%.9e', avg({f})) AS mean,
+  printf('%.9e', stddev_pop({f})) AS std,
+  printf('%.9e', CASE WHEN stddev_pop({f}) = 0 THEN 1.0 ELSE stddev_pop({f}) END) AS scale
+FROM spl WHERE split = 'train' AND label = 0""" for i, f in enumerate(FEATURES)]
+    q["scaler_params"] = o.sql(sctes, "\nUNION ALL\n".join(parts))
+
+    docs = """SELECT l.doc_id, l.quality AS label, d.n_chars FROM labels l JOIN documents d USING (doc_id)"""
+    unit = """SELECT d.*, CASE WHEN mm.hi - mm.lo < 1e-12 THEN 0.0
+  ELSE (CAST(n_chars AS DOUBLE) - mm.lo) / (mm.hi - mm.lo) END AS score
+FROM docs d, (SELECT min(CAST(n_chars AS DOUBLE)) AS lo, max(CAST(n_chars AS DOUBLE)) AS hi FROM docs) mm"""
+    bounds = """SELECT count(*) AS n, min(CAST(n_chars AS DOUBLE)) AS lo,
+  quantile_cont(CAST(n_chars AS DOUBLE), 0.995) AS hi FROM docs WHERE label = 1"""
+    calib = """SELECT d.doc_id, greatest(0.0, least(1.0, (CAST(d.n_chars AS DOUBLE) - b.lo) / (b.hi - b.lo))) AS score
+FROM docs d, bounds b"""
+    band = """SELECT *, CASE WHEN score < 0.5 THEN 'none' WHEN score >= 0.9 THEN 'critical'
+  WHEN score >= 0.7 THEN 'high' ELSE 'medium' END AS severity FROM calib"""
+    g = """SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+FROM unit GROUP BY score"""
+    mctes = [("docs", docs), ("unit", unit), ("bounds", bounds), ("calib", calib), ("band", band), ("g", g)]
+    q["score_minmax"] = o.sql(mctes, "SELECT doc_id, label, score FROM unit")
+    q["calibration_bounds"] = o.sql(mctes, "SELECT n, lo, hi FROM bounds")
+    q["calibrated_scores"] = o.sql(mctes, "SELECT doc_id, score, severity FROM band")
+    q["severity_bands"] = o.sql(mctes, "SELECT severity, count(*) AS n FROM band GROUP BY severity")
+    q["roc_auc"] = o.sql(mctes + [("c", """SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+  AND CURRENT ROW) - neg AS neg_below FROM g""")], """SELECT CASE WHEN sum(pos) * sum(neg) > 0
+  THEN CAST(sum(pos * neg_below * 2 + pos * neg) AS DOUBLE) / CAST(sum(pos) * sum(neg) * 2 AS DOUBLE) END AS roc_auc
+FROM c""")
+    q["average_precision"] = o.sql(mctes + [("c", """SELECT *,
+  sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp_ge,
+  sum(pos + neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pred_ge FROM g""")],
+        """SELECT printf('%.9e', sum((CAST(pos AS DOUBLE) / (SELECT CAST(sum(pos) AS DOUBLE) FROM g))
+  * (CAST(tp_ge AS DOUBLE) / CAST(pred_ge AS DOUBLE)))) AS average_precision FROM c""")
+    cnt = """SELECT count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS tp,
+  count(*) FILTER (WHERE score >= 0.5 AND label <> 1) AS fp,
+  count(*) FILTER (WHERE score < 0.5 AND label = 1) AS fn,
+  count(*) FILTER (WHERE score < 0.5 AND label <> 1) AS tn FROM unit"""
+
+    def div(a, b):
+        return f"CASE WHEN ({b}) > 0 THEN CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) ELSE 0.0 END"
+
+    pr = f"""SELECT {div('tp', 'tp + fp')} AS p1, {div('tp', 'tp + fn')} AS r1, tp + fn AS s1,
+  {div('tn', 'tn + fn')} AS p0, {div('tn', 'tn + fp')} AS r0, tn + fp AS s0,
+  {div('tp + tn', 'tp + tn + fp + fn')} AS acc FROM cnt"""
+    f1 = """SELECT *, CASE WHEN p1 + r1 > 0 THEN 2.0 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1,
+  CASE WHEN p0 + r0 > 0 THEN 2.0 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0 FROM pr"""
+
+    def w(a, b):
+        return div(f"{a} * s0 + {b} * s1", "s0 + s1")
+
+    rep = f"""SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, CAST(s0 AS BIGINT) AS support FROM f1t
+UNION ALL SELECT '1', p1, r1, f1, CAST(s1 AS BIGINT) FROM f1t
+UNION ALL SELECT 'accuracy', acc, acc, acc, CAST(s0 + s1 AS BIGINT) FROM f1t
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, CAST(s0 + s1 AS BIGINT) FROM f1t
+UNION ALL SELECT 'weighted avg', {w('p0', 'p1')}, {w('r0', 'r1')}, {w('f0', 'f1')}, CAST(s0 + s1 AS BIGINT) FROM f1t"""
+    q["classification_report"] = o.sql(mctes + [("cnt", cnt), ("pr", pr), ("f1t", f1)], rep)
+
+
+_training_sql()

@@ -53,3 +53,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared checkpoint folder and
+    reading it back: computed once, and re-readable by any executor after a loss."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
