@@ -39,6 +39,8 @@ from flowsift.session import ensure_checkpoint_dir, materialize
 
 KEY = list(FLOW_KEY)
 FLAG_FEATURES = [name for _, name in FLAG_LETTERS]
+FEATURES_ORDER = FEATURES
+FLOW_COLUMNS = [f.name for f in __import__('flowsift.schemas', fromlist=['FLOWS']).FLOWS.fields]
 DEC = "decimal(38,0)"
 CUTS_PER_ROUND = 16
 

@@ -412,3 +412,66 @@ def classification_report_q(spark, sf_dir):
     from flowsift.operators.metrics import classification_report
 
     return classification_report(_unit_docs(spark, sf_dir), "score", "label")
+
+
+# --- isolation forest (rows-only checks: no SQL twin is registered) -------------
+
+def _flow_model(spark, sf_dir, labelled=None):
+    from flowsift.operators import iforest as ifo
+    from flowsift.operators.training import benign_train, stratified_split
+
+    from flowsift.session import materialize
+
+    lab = materialize(_labelled(spark, sf_dir), "labelled-flows") if labelled is None else labelled
+    train = materialize(benign_train(stratified_split(lab, "flow_id"))
+                        .select("flow_id", ifo.feature_vector().alias("x")), "iforest-train")
+    model = ifo.fit(train, "flow_id", feature_names=list(fl.FEATURES_ORDER))
+    scored = materialize(ifo.score_frame(train, model).select("raw_score"), "iforest-train-scores")
+    return ifo.calibrate_model(model, scored), lab
+
+
+@register("iforest_scores")
+def iforest_scores(spark, sf_dir):
+    from flowsift.operators import iforest as ifo
+    from flowsift.operators.metrics import calibrate
+
+    model, lab = _flow_model(spark, sf_dir)
+    scored = ifo.score_frame(lab.select("flow_id", "label", ifo.feature_vector().alias("x")), model)
+    return scored.select("flow_id", "label", "raw_score",
+                         calibrate(F.col("raw_score"), model.calib_lo, model.calib_hi).alias("score"))
+
+
+@register("anomaly_findings")
+def anomaly_findings(spark, sf_dir):
+    from flowsift.operators import iforest as ifo
+
+    f = _flows(spark, sf_dir)
+    model, _ = _flow_model(spark, sf_dir)
+    return ifo.anomaly_findings(f, model)
+
+
+@register("iforest_embeddings")
+def iforest_embeddings(spark, sf_dir):
+    from flowsift.operators import iforest as ifo
+    from flowsift.sources.events import read_table
+
+    emb = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    model = ifo.fit(emb.where(F.col("label") == 0), "vec_id")
+    return ifo.score_frame(emb, model).select("vec_id", "label", "raw_score")
+
+
+# --- streaming (T1op-T6op): equal to the batch oracle ----------------------------
+
+STREAM_FLOW_COLUMNS = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
+
+
+@register("stream_flows")
+def stream_flows_q(spark, sf_dir):
+    from flowsift.session import scratch_path
+    from flowsift.streaming.flows import run_to_end
+
+    pk = scratch_path(spark, "stream-packets")
+    _packets(spark, sf_dir).write.parquet(pk)
+    out = run_to_end(spark, pk, scratch_path(spark, "stream-flows"), scratch_path(spark, "stream-ckpt"))
+    return out.select(*STREAM_FLOW_COLUMNS)

@@ -211,3 +211,12 @@ UNION ALL SELECT 'weighted avg', {w('p0', 'p1')}, {w('r0', 'r1')}, {w('f0', 'f1'
 
 
 _training_sql()
+
+
+def _stream_sql() -> None:
+    from flowsift.plans.catalog import STREAM_FLOW_COLUMNS
+
+    ORACLE["stream_flows"] = _flows_sql(f"SELECT {', '.join(STREAM_FLOW_COLUMNS)} FROM flows")
+
+
+_stream_sql()
