@@ -475,3 +475,18 @@ def stream_flows_q(spark, sf_dir):
     _packets(spark, sf_dir).write.parquet(pk)
     out = run_to_end(spark, pk, scratch_path(spark, "stream-flows"), scratch_path(spark, "stream-ckpt"))
     return out.select(*STREAM_FLOW_COLUMNS)
+
+
+@register("stream_alerts")
+def stream_alerts_q(spark, sf_dir):
+    """Packets -> flow stream -> (rules + scan state) stream -> alert table, end to end."""
+    from flowsift.session import scratch_path
+    from flowsift.streaming.alerts import run_detection_to_end
+    from flowsift.streaming.flows import run_to_end
+
+    pk = scratch_path(spark, "stream-packets")
+    _packets(spark, sf_dir).write.parquet(pk)
+    flows_dir = scratch_path(spark, "stream-flows")
+    run_to_end(spark, pk, flows_dir, scratch_path(spark, "stream-ckpt"))
+    return run_detection_to_end(spark, flows_dir, scratch_path(spark, "stream-alerts"),
+                                scratch_path(spark, "stream-alerts-ckpt"), load_rules())

@@ -217,6 +217,7 @@ def _stream_sql() -> None:
     from flowsift.plans.catalog import STREAM_FLOW_COLUMNS
 
     ORACLE["stream_flows"] = _flows_sql(f"SELECT {', '.join(STREAM_FLOW_COLUMNS)} FROM flows")
+    ORACLE["stream_alerts"] = ORACLE["alerts"]
 
 
 _stream_sql()
