@@ -490,3 +490,11 @@ def stream_alerts_q(spark, sf_dir):
     run_to_end(spark, pk, flows_dir, scratch_path(spark, "stream-ckpt"))
     return run_detection_to_end(spark, flows_dir, scratch_path(spark, "stream-alerts"),
                                 scratch_path(spark, "stream-alerts-ckpt"), load_rules())
+
+
+@register("training_metadata")
+def training_metadata_q(spark, sf_dir):
+    from flowsift.operators.training import stratified_split, training_metadata
+
+    return training_metadata(stratified_split(_labelled(spark, sf_dir), "flow_id"))
+

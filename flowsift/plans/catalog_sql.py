@@ -158,6 +158,10 @@ FROM flows f"""
   printf('%.9e', CASE WHEN stddev_pop({f}) = 0 THEN 1.0 ELSE stddev_pop({f}) END) AS scale
 FROM spl WHERE split = 'train' AND label = 0""" for i, f in enumerate(FEATURES)]
     q["scaler_params"] = o.sql(sctes, "\nUNION ALL\n".join(parts))
+    q["training_metadata"] = o.sql(sctes, """SELECT count(*) AS rows, avg(CAST(label AS DOUBLE)) AS attack_rate,
+  count(*) FILTER (WHERE split = 'train' AND label = 0) AS n_train_benign,
+  count(*) FILTER (WHERE split = 'test') AS n_test,
+  count(*) FILTER (WHERE split = 'test' AND label = 1) AS n_test_attack FROM spl""")
 
     docs = """SELECT l.doc_id, l.quality AS label, d.n_chars FROM labels l JOIN documents d USING (doc_id)"""
     unit = """SELECT d.*, CASE WHEN mm.hi - mm.lo < 1e-12 THEN 0.0
