@@ -50,18 +50,25 @@ CUTS_PER_ROUND = 16
 # ---------------------------------------------------------------------------
 
 def keyed_packets(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> DataFrame:
-    """P1/P2/P6/P7 per packet: canonical key, direction, flag counts, terminator."""
+    """P1/P2/P6/P7 per packet: canonical key, direction, flag counts, terminator.
+
+    Key and bucket columns are made provably non-null (packets always carry them), so the
+    join on (key, bucket) infers no ``isnotnull`` filter that would differ between the two
+    branches of the stitch - the packet exchange is then computed once and reused."""
     p = with_flow_key(packets)
+    nn = {"capture_id": F.lit(""), "lo_ip": F.lit(""), "hi_ip": F.lit(""), "lo_port": F.lit(0),
+          "hi_port": F.lit(0), "protocol": F.lit(0)}
     return p.select(
-        *KEY, "pkt_idx", "ts_us", "is_fwd", "length",
+        *[F.coalesce(F.col(k), nn[k]).alias(k) for k in KEY], "pkt_idx", "ts_us", "is_fwd", "length",
         "src_ip", "dst_ip", port0("src_port").alias("src_port0"), port0("dst_port").alias("dst_port0"),
         is_terminator(F.col("tcp_flags")).alias("term"),
         *flag_count_columns(F.col("tcp_flags")),
-        F.expr(f"pkt_idx div {int(cfg.packet_bucket)}").alias("bkt"),
+        F.coalesce(F.expr(f"pkt_idx div {int(cfg.packet_bucket)}"), F.lit(0)).cast("long").alias("bkt"),
     )
 
 
-def segment_packets(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> DataFrame:
+def segment_packets(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG,
+                    cache: list | None = None) -> DataFrame:
     """Per packet: ``seg`` = struct(pkt_idx, ts_us) of the packet that opened its G1/G2
     segment, ``is_start``, and ``iat_us`` (gap to the previous packet of the same segment;
     null on a segment's first packet and when the previous timestamp is exactly 0)."""
@@ -75,6 +82,11 @@ def segment_packets(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -
     p = (p.withColumn("_start_local", start_local)
          .withColumn("_run", F.max(marker).over(
              wl.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    if cache is not None:
+        # both the bucket summary and the join read this frame: keep the scan, the exchange
+        # and the window from running twice (lost blocks are recomputed from lineage)
+        p = p.persist(StorageLevel.MEMORY_AND_DISK)
+        cache.append(p)
 
     # per-bucket summary: first and last packet, latest interior segment start
     summ = p.groupBy(*KEY, "bkt").agg(
@@ -288,7 +300,9 @@ def sessionize(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> tup
     executor is lost) and the small segment aggregate is checkpointed to the shared folder."""
     ensure_checkpoint_dir(packets.sparkSession)
     a = cfg.active_us
-    seg = segment_packets(packets, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    cached: list = []
+    seg = segment_packets(packets, cfg, cached).persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(seg)
     seg_agg = materialize(
         seg.withColumn("start_idx", F.col("seg.pkt_idx"))
         .groupBy(*KEY, "start_idx")
@@ -299,8 +313,10 @@ def sessionize(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> tup
     short = finalize_flows(seg_agg.where(F.col("_span") < a))
     no_cuts = packets.sparkSession.createDataFrame([], _cut_schema()).drop("step")
     if long_segs.isEmpty():
-        seg.unpersist()
-        return materialize(short, "flows"), no_cuts
+        out = materialize(short, "flows")
+        for c in cached:
+            c.unpersist()
+        return out, no_cuts
 
     lp = (seg.withColumn("seg_idx", F.col("seg.pkt_idx"))
           .join(long_segs.select(*KEY, "seg_idx"), [*KEY, "seg_idx"], "left_semi"))
@@ -322,7 +338,8 @@ def sessionize(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> tup
               .when(F.col("start_idx") < F.coalesce(F.col("_last_cut"), F.lit(-1)), F.lit("active_timeout"))
               .otherwise(F.lit("expired")))
     out = materialize(short.unionByName(finalize_flows(agg, close_reason=reason)), "flows")
-    seg.unpersist()
+    for c in cached:
+        c.unpersist()
     return out, cuts
 
 
