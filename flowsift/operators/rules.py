@@ -106,8 +106,10 @@ def rule_findings_longform(flows: DataFrame, rules: list[Rule]) -> DataFrame:
     rt = rules_table(spark, rules)
     ct = conditions_table(spark, rules)
     n_cond = sum(len(r.conditions) for r in rules)
-    if n_cond > MAX_BROADCAST_CONDITIONS:
-        raise ValueError("condition table too large to broadcast; use rule_findings")
+    # the condition/rule tables are configuration: broadcast them while their size is within
+    # the bound, otherwise let them take part in an ordinary shuffle join
+    small = n_cond <= MAX_BROADCAST_CONDITIONS and len(rules) <= MAX_BROADCAST_CONDITIONS
+    side = F.broadcast if small else (lambda d: d)
 
     stack = F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("value")) for f in RULE_FIELDS]))
@@ -123,10 +125,10 @@ def rule_findings_longform(flows: DataFrame, rules: list[Rule]) -> DataFrame:
              .when(F.col("op") == "in", (kind == "list") & F.coalesce(
                  F.array_contains(F.col("list_value"), x), F.lit(False)))
              .otherwise(F.lit(False)))
-    hits = (long.join(F.broadcast(ct), "field")
+    hits = (long.join(side(ct), "field")
             .groupBy("flow_id", "rule_id")
             .agg(F.count_if(match).alias("n_match")))
-    rules_b = F.broadcast(rt)
+    rules_b = side(rt)
     matched = (hits.join(rules_b, "rule_id")
                .where(F.col("n_match") == F.col("n_conditions"))
                .select("flow_id", "rule_id"))

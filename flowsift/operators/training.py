@@ -40,8 +40,9 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str = "label", test_
     cross = (hist.where((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_c") < F.col("_k")))
              .select(label_col, F.col("_hb").alias("_hstar"),
                      (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_need")))
-    # one row per label value: the label domain is tiny (0/1), so broadcast is safe
-    d = d.join(F.broadcast(cross), label_col, "left").withColumn(
+    # one row per label value: broadcast while the label domain is small (checked), else shuffle
+    n_labels = cross.count()
+    d = d.join(F.broadcast(cross) if n_labels <= 100_000 else cross, label_col, "left").withColumn(
         "_hstar", F.coalesce(F.col("_hstar"), F.lit("")))
     outside = d.where(F.col("_hb") != F.col("_hstar")).withColumn(
         "split", F.when(F.col("_hb") < F.col("_hstar"), F.lit("test")).otherwise(F.lit("train")))

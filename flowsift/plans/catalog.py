@@ -64,14 +64,21 @@ def alerts_table(spark, sf_dir):
     return fd.alerts_from_findings(_findings(spark, sf_dir))
 
 
-def acks_table(spark, sf_dir, alerts: DataFrame | None = None):
+def acks_table(spark, sf_dir, alerts: DataFrame | None = None, flows: DataFrame | None = None):
     a = alerts_table(spark, sf_dir) if alerts is None else alerts
+    f = _flows(spark, sf_dir) if flows is None else flows
     known = a.where(F.col("rule_id") == ACK_RULE).select("id")
-    unknown = (_flows(spark, sf_dir).where(F.col("protocol") == 1)
+    unknown = (f.where(F.col("protocol") == 1)
                .select(F.md5(F.concat_ws("|", "flow_id", F.lit("UNKNOWN"))).alias("id")))
     return known.unionByName(unknown)
 
 
+def _alerts_and_acks(spark, sf_dir):
+    f = _flows(spark, sf_dir)
+    a = fd.alerts_from_findings(fd.union_findings(ru.rule_findings(f, load_rules()), sc.scan_findings(f)))
+    return a, acks_table(spark, sf_dir, a, f)
+
+
 # --- packets ----------------------------------------------------------------
 
 @register("packets_keyed")
@@ -217,14 +224,14 @@ def alert_get(spark, sf_dir):
 
 @register("alert_ack_view")
 def alert_ack_view(spark, sf_dir):
-    a = alerts_table(spark, sf_dir)
-    return al.current_view(a, acks_table(spark, sf_dir, a)).select("id", "rule_id", "acknowledged")
+    a, acks = _alerts_and_acks(spark, sf_dir)
+    return al.current_view(a, acks).select("id", "rule_id", "acknowledged")
 
 
 @register("alert_unknown_acks")
 def alert_unknown_acks(spark, sf_dir):
-    a = alerts_table(spark, sf_dir)
-    return al.unknown_acks(a, acks_table(spark, sf_dir, a))
+    a, acks = _alerts_and_acks(spark, sf_dir)
+    return al.unknown_acks(a, acks)
 
 
 @register("alert_stats_total")
