@@ -149,12 +149,15 @@ def run_to_end(spark: SparkSession, packets_dir: str, out_dir: str, checkpoint:
     src = spark.readStream.schema(PACKETS).parquet(packets_dir)
     flows = stream_flows(src, cfg)
 
+    progress: list[dict] = []
+
     def run_once():
         q = (flows.writeStream.format("parquet").option("path", out_dir)
              .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
+        progress.extend(dict(p) for p in q.recentProgress)
 
     run_once()
     if end_us is None:
@@ -163,4 +166,5 @@ def run_to_end(spark: SparkSession, packets_dir: str, out_dir: str, checkpoint:
     sentinel_packet(spark, end_us).write.mode("append").parquet(packets_dir)
     run_once()  # moves the watermark past every timer
     run_once()  # a batch in which the timers fire
+    run_to_end.last_progress = progress  # G11 counters: flowsift.streaming.progress.counters
     return spark.read.parquet(out_dir).where(F.col("capture_id") != "__end__")

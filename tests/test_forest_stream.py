@@ -34,6 +34,11 @@ def test_stream_equals_batch(spark):
     b = fl.flows(p).select(*cols)
     s = s.select(*cols)
     assert s.count() == 26
+    from flowsift.streaming.progress import counters
+
+    c = counters(run_to_end.last_progress)
+    assert c["packets_seen"] == 91 and c["dropped_late"] == 0  # 90 packets + the sentinel
+    assert c["active_flows"] == 1  # the end-of-input sentinel's own key
     assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
 
 
