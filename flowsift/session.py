@@ -36,14 +36,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting is provided and used as is. Only when it is unset
     (local tests) do we create a scratch folder of our own.
     """
-    cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        cur = spark.sparkContext._jsc.sc().getCheckpointDir()
-        cur = cur.get() if cur.isDefined() else None
+    cur = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not cur:
         cur = tempfile.mkdtemp(prefix="flowsift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", cur)
-    spark.sparkContext.setCheckpointDir(cur)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(cur)
     return cur
 
 
