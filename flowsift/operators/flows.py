@@ -34,13 +34,12 @@ from flowsift.config import DEFAULT_CONFIG, FEATURES, FLAG_LETTERS, MIN_DURATION
 from flowsift.functions.flags import flag_count_columns, is_terminator
 from flowsift.functions.keys import port0, with_flow_key
 from flowsift.operators.stitch import latest_marker
-from flowsift.schemas import FLOW_KEY
+from flowsift.schemas import FLOW_KEY, FLOWS
 from flowsift.session import ensure_checkpoint_dir, materialize
 
 KEY = list(FLOW_KEY)
 FLAG_FEATURES = [name for _, name in FLAG_LETTERS]
-FEATURES_ORDER = FEATURES
-FLOW_COLUMNS = [f.name for f in __import__('flowsift.schemas', fromlist=['FLOWS']).FLOWS.fields]
+FLOW_COLUMNS = [f.name for f in FLOWS.fields]
 DEC = "decimal(38,0)"
 CUTS_PER_ROUND = 16
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.config import DEFAULT_CONFIG, DetectionConfig
+from flowsift.config import DEFAULT_CONFIG, FEATURES, DetectionConfig
 from flowsift.functions.flags import is_terminator
 from flowsift.functions.keys import with_flow_key
 from flowsift.operators import alerts as al
@@ -432,7 +432,7 @@ def _flow_model(spark, sf_dir, labelled=None):
     lab = materialize(_labelled(spark, sf_dir), "labelled-flows") if labelled is None else labelled
     train = materialize(benign_train(stratified_split(lab, "flow_id"))
                         .select("flow_id", ifo.feature_vector().alias("x")), "iforest-train")
-    model = ifo.fit(train, "flow_id", feature_names=list(fl.FEATURES_ORDER))
+    model = ifo.fit(train, "flow_id", feature_names=list(FEATURES))
     scored = materialize(ifo.score_frame(train, model).select("raw_score"), "iforest-train-scores")
     return ifo.calibrate_model(model, scored), lab
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 from conftest import demo_capture_rows, make_packets
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def test_scoring_matches_sql_walk_over_saved_nodes(spark, tmp_path):
     model.save(spark, path)
     con = duckdb.connect()
     con.execute(f"CREATE VIEW nodes AS SELECT * FROM read_parquet('{path}/model_nodes/*.parquet')")
-    con.register("pts", __import__("pandas").DataFrame({"rid": [p[0] for p in pts], "x": [p[1] for p in pts]}))
+    con.register("pts", pd.DataFrame({"rid": [p[0] for p in pts], "x": [p[1] for p in pts]}))
     cpsi = float(ifo.c_factor(np.array([model.psi]))[0])
     sql = f"""
     WITH RECURSIVE walk(rid, tree_id, node_id) AS (
