@@ -71,3 +71,45 @@ def test_golden_flow_counts(spark):
     f = fl.flows(p)
     assert f.count() == 314
     assert f.agg(F.sum("total_packets")).first()[0] == p.count()
+
+
+def _sequential_starts(rows, idle_us, active_us):
+    """Brute force: the original per-packet tracker with continuous expiry, in arrival order."""
+    open_flows, starts = {}, []
+    for idx, (ts, s, d, sp, dp, fl_, proto, _len) in enumerate(rows):
+        t = int(round(ts * 1_000_000))
+        a, b = (s, sp or 0), (d, dp or 0)
+        key = (min(a, b), max(a, b), proto)
+        f = open_flows.get(key)
+        if f is not None and (t - f["last"] >= idle_us or t - f["first"] >= active_us):
+            f = None
+        if f is None:
+            f = {"first": t, "last": t, "start": idx}
+            starts.append(idx)
+        f["last"] = t
+        open_flows[key] = f
+        if fl_ and ("F" in fl_ or "R" in fl_):
+            open_flows.pop(key)
+    return sorted(starts)
+
+
+def test_sessionizer_matches_sequential_model_with_many_cuts(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows, t = [], 0.5
+    for _ in range(400):
+        t += rnd.choice([0.2, 0.5, 1.0, 1.4])
+        jitter = rnd.choice([0.0, 0.0, 0.0, -0.7])  # some timestamps go backwards
+        host = rnd.choice(["10.0.0.1", "10.0.0.2"])
+        flags = rnd.choice([None, None, None, None, None, None, "FA"])
+        rows.append((max(0.1, t + jitter), host, "10.0.0.9", 1000, 80, flags, 6, 60))
+    cfg = DetectionConfig(idle_timeout_s=1.5, active_timeout_s=2.0, packet_bucket=16)
+    p = make_packets(spark, rows)
+    got = sorted(r.first_pkt_idx for r in fl.flows(p, cfg).collect())
+    assert got == _sequential_starts(rows, cfg.idle_us, cfg.active_us)
+    # one long segment needing many active cuts (several frontier rounds of 16)
+    rows2 = [(0.5 + 0.25 * i, "10.0.0.1", "10.0.0.9", 1, 2, None, 17, 60) for i in range(400)]
+    got2 = sorted(r.first_pkt_idx for r in fl.flows(make_packets(spark, rows2), cfg).collect())
+    assert got2 == _sequential_starts(rows2, cfg.idle_us, cfg.active_us)
+    assert len(got2) == 50
