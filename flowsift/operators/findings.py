@@ -22,7 +22,8 @@ def alerts_from_findings(findings: DataFrame) -> DataFrame:
     evidence becomes ``{}``. A pure projection: findings already carry flow identity."""
     return findings.select(
         F.md5(F.concat_ws("|", "flow_id", "rule_id")).alias("id"),
-        F.expr("cast(timestamp_micros(last_seen_us) as timestamp_ntz)").alias("created_at"),
+        # NTZ arithmetic: the wall clock in UTC whatever the session time zone
+        F.expr("timestampadd(MICROSECOND, last_seen_us, TIMESTAMP_NTZ'1970-01-01 00:00:00')").alias("created_at"),
         "detector", "rule_id", "name", "severity", "confidence", "description",
         "src_ip", "dst_ip", "src_port", "dst_port", "protocol",
         F.coalesce(F.col("evidence"), F.lit("{}")).alias("evidence"),

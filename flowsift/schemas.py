@@ -54,7 +54,7 @@ FINDING_FIELDS = ("flow_id", "detector", "rule_id", "name", "severity", "confide
 
 ALERTS = T.StructType([
     T.StructField("id", T.StringType(), False),
-    T.StructField("created_at", T.TimestampType(), False),
+    T.StructField("created_at", T.TimestampNTZType(), False),  # UTC wall clock
     T.StructField("detector", T.StringType(), False),
     T.StructField("rule_id", T.StringType(), False),
     T.StructField("name", T.StringType(), False),

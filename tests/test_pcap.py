@@ -47,6 +47,13 @@ def test_pcap_replay_end_to_end(spark, tmp_path):
     ids = {r.rule_id for r in d.findings.select("rule_id").distinct().collect()}
     assert {"TCP_NULL_SCAN", "HOST_PORT_SCAN", "ICMP_FLOOD"} <= ids
     assert d.alerts.where(F.col("dst_port") == 443).count() == 0
+    from flowsift.sources import alertstore
+
+    table = str(tmp_path / "store")
+    alertstore.append_alerts(d.alerts, table)
+    stored = alertstore.read_alerts(spark, table)
+    assert stored.count() == d.alerts.count()
+    assert stored.exceptAll(d.alerts.select(*stored.columns)).count() == 0
 
 
 def test_missing_capture(spark, tmp_path):
