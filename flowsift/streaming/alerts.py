@@ -129,3 +129,21 @@ def live_feed(alerts: DataFrame) -> DataFrame:
     """The live detection payload as JSON text, ready for a file/Kafka sink."""
     p = al.live_payloads(alerts)
     return p.select(F.to_json(F.struct(*[c for c in p.columns if c != "id"])).alias("value"))
+
+
+def latest_buffer_sink(table: str, n: int = al.LIVE_BUFFER):
+    """O2 on a stream: keep the newest ``n`` alerts as a snapshot table. Each micro-batch
+    merges the previous snapshot (at most ``n`` rows) with the batch and keeps the top ``n``
+    (``TakeOrderedAndProject``); the snapshot for batch k is written to its own folder and
+    a replayed batch rewrites it, so the buffer is exactly-once."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = None
+        if batch_id > 0:
+            try:
+                prev = spark.read.parquet(f"{table}/snapshot={batch_id - 1}")
+            except Exception:  # noqa: BLE001 - the previous batch had no snapshot yet
+                prev = None
+        rows = batch if prev is None else prev.unionByName(batch)
+        al.latest(rows, n).write.mode("overwrite").parquet(f"{table}/snapshot={batch_id}")
+    return write

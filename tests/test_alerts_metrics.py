@@ -82,3 +82,15 @@ def test_notifier_failure_is_isolated(spark, tmp_path):
     sink(_alerts(spark), 0)
     sink(_alerts(spark), 0)  # a replayed batch rewrites the same folder
     assert spark.read.parquet(str(tmp_path / "sink")).count() == 4
+
+
+def test_latest_buffer_sink_keeps_newest(spark, tmp_path):
+    from flowsift.streaming.alerts import latest_buffer_sink
+
+    sink = latest_buffer_sink(str(tmp_path / "buf"), n=2)
+    a = _alerts(spark)
+    sink(a.where("id in ('id0', 'id1')"), 0)
+    sink(a.where("id in ('id2', 'id3')"), 1)
+    sink(a.where("id in ('id2', 'id3')"), 1)  # replay of batch 1
+    snap = spark.read.parquet(str(tmp_path / "buf" / "snapshot=1"))
+    assert sorted(r.id for r in snap.collect()) == ["id2", "id3"]
