@@ -296,12 +296,13 @@ def sessionize(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> tup
     """G1-G4 complete -> (flows, active cuts). Segments that never reach ``active`` are final
     after one aggregation; the rest (found by a count over segment rows) go through the
     G3 frontier. The per-packet segment table is persisted (recomputable from lineage if an
-    executor is lost) and the small segment aggregate is checkpointed to the shared folder."""
+    executor is lost) and the small segment aggregate is written to the shared checkpoint folder."""
     ensure_checkpoint_dir(packets.sparkSession)
     a = cfg.active_us
     cached: list = []
-    seg = segment_packets(packets, cfg, cached).persist(StorageLevel.MEMORY_AND_DISK)
-    cached.append(seg)
+    # only the windowed packet frame is cached (one packet-sized copy); the segment columns are
+    # re-derived from it and the small bucket summary when the long segments are read again
+    seg = segment_packets(packets, cfg, cached)
     seg_agg = materialize(
         seg.withColumn("start_idx", F.col("seg.pkt_idx"))
         .groupBy(*KEY, "start_idx")
