@@ -131,6 +131,9 @@ def _grow(seed: int, max_depth: int):
 def fit(train: DataFrame, id_col: str, x_col: str = "x", n_trees: int = 200, max_samples: int = 256,
         seed: int = 42, feature_names: list[str] | None = None) -> IForestModel:
     """M4: fit ``n_trees`` isolation trees on ``train`` (rows with an id and a feature array)."""
+    from flowsift.session import ship_package
+
+    ship_package(train.sparkSession)
     n = train.count()
     if n == 0:
         raise ValueError("no training rows")
@@ -175,7 +178,10 @@ def _pack(model: IForestModel):
 
 def score_frame(df: DataFrame, model: IForestModel, x_col: str = "x", out: str = "raw_score") -> DataFrame:
     """M5: the paper score in (0, 1] for every row (Arrow batches, all trees per batch)."""
+    from flowsift.session import ship_package
+
     spark = df.sparkSession
+    ship_package(spark)
     packed = spark.sparkContext.broadcast(_pack(model))
     cpsi = float(c_factor(np.array([model.psi]))[0]) or 1.0
     n_trees = model.n_trees

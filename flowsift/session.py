@@ -36,6 +36,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting is provided and used as is. Only when it is unset
     (local tests) do we create a scratch folder of our own.
     """
+    ship_package(spark)
     cur = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not cur:
         cur = tempfile.mkdtemp(prefix="flowsift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
@@ -59,3 +60,31 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``flowsift`` importable on every executor's Python workers (they unpickle the
+    functions passed to applyInPandas / mapInPandas / state processors / the data source).
+
+    The package is zipped once per application and handed to ``SparkContext.addPyFile``,
+    which distributes it to all executors, including ones started later."""
+    import zipfile
+    from pathlib import Path
+
+    import flowsift
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(flowsift.__file__).resolve().parent
+    fd, zpath = tempfile.mkstemp(prefix="flowsift-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*")):
+            if f.is_file() and "__pycache__" not in f.parts and f.suffix in (".py", ".yaml", ".yml"):
+                z.write(f, str(f.relative_to(root.parent)))
+    spark.sparkContext.addPyFile(zpath)
+    _SHIPPED.add(app)

@@ -217,5 +217,8 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
     """A folder (or glob) of capture files -> the packet table."""
     if not glob.glob(path) and not os.path.exists(path):
         raise FileNotFoundError(f"capture path not found: {path}")
+    from flowsift.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(CaptureDataSource)
     return spark.read.format("pcap").load(path)

@@ -72,6 +72,9 @@ def _scan_state(cfg: DetectionConfig):
 def stream_scan_findings(flows: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG,
                          watermark: str = "0 seconds") -> DataFrame:
     """T2op: scan findings over a streaming flow table (state keyed by source)."""
+    from flowsift.session import ship_package
+
+    ship_package(flows.sparkSession)
     f = flows.withColumn("_ts", F.timestamp_micros("last_seen_us")).withWatermark("_ts", watermark)
     counts = (f.select("src_ip", "flow_id", "dst_ip", "src_port", "dst_port", "protocol", "last_seen_us", "_ts")
               .groupBy("src_ip")

@@ -114,6 +114,9 @@ def _tracker(cfg: DetectionConfig):
 def stream_flows(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG,
                  watermark: str = "0 seconds") -> DataFrame:
     """T1op: a streaming packets DataFrame (PACKETS schema) -> a streaming flows DataFrame."""
+    from flowsift.session import ship_package
+
+    ship_package(packets.sparkSession)
     p = with_flow_key(packets)
     p = p.select(
         *KEY, "pkt_idx", "ts_us", "is_fwd", "length", "src_ip", "dst_ip",
