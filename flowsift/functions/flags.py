@@ -9,7 +9,7 @@ from flowsift.config import FLAG_LETTERS
 
 
 def letter_count(flags: Column, letter: str) -> Column:
-    """Occurrences of one flag letter in a scapy-style flag string; null counts 0."""
+    """Occurrences of one flag letter in a TCP flag-letter string ("SA", "FPU"); null counts 0."""
     f = F.coalesce(flags, F.lit(""))
     return (F.length(f) - F.length(F.replace(f, F.lit(letter), F.lit("")))).cast("long")
 
