@@ -144,12 +144,15 @@ def sentinel_packet(spark: SparkSession, after_us: int, capture_id: str = "__end
 
 
 def run_to_end(spark: SparkSession, packets_dir: str, out_dir: str, checkpoint: str,
-               cfg: DetectionConfig = DEFAULT_CONFIG, end_us: int | None = None) -> DataFrame:
+               cfg: DetectionConfig = DEFAULT_CONFIG, end_us: int | None = None,
+               max_files_per_trigger: int | None = None) -> DataFrame:
     """Drive the flow stream over a folder of packet files to completion (availableNow),
     append a sentinel so every open flow is flushed, and return the flows written."""
     from flowsift.schemas import PACKETS
 
-    src = spark.readStream.schema(PACKETS).parquet(packets_dir)
+    from flowsift.sources.packets import stream_packets
+
+    src = stream_packets(spark, packets_dir, max_files_per_trigger=max_files_per_trigger)
     flows = stream_flows(src, cfg)
 
     progress: list[dict] = []
