@@ -37,6 +37,11 @@ def doc_key(id_col: Column, text: Column) -> list[Column]:
     return [id_col.cast("long").alias("k_id"), F.xxhash64(body).alias("k_h1"), F.hash(body).alias("k_h2")]
 
 
-def on_key(a: DataFrame, b: DataFrame) -> Column:
-    """Null-safe equality on the columns of :func:`doc_key`."""
-    return a.k_id.eqNullSafe(b.k_id) & (a.k_h1 == b.k_h1) & (a.k_h2 == b.k_h2)
+KEY = ["k_id", "k_h1", "k_h2"]
+
+
+def join_key(a: DataFrame, b: DataFrame, how: str = "left") -> DataFrame:
+    """``a`` joined with ``b`` on the columns of :func:`doc_key`, null ids being equal."""
+    b = b.withColumnsRenamed({k: f"__{k}" for k in KEY})
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in KEY]
+    return a.join(b, same[0] & same[1] & same[2], how).drop(*[f"__{k}" for k in KEY])

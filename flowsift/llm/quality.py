@@ -76,9 +76,11 @@ def default_rules() -> list[Rule]:
 
 
 def plan(docs: DataFrame, rules: list[Rule], text_col: str = "text", sample_rows: int = 512) -> list[Rule]:
-    """``rules`` ordered by rejections per second on at most ``sample_rows`` sampled documents.
-    Only the order of evaluation rests on the sample. Ties keep the given order."""
-    sample = scratch(docs.select(F.col(text_col).alias("text")).sample(0.05, seed=11).limit(sample_rows), "rule-sample")
+    """``rules`` ordered by rejections per second on about ``sample_rows`` sampled documents (the
+    fraction follows from the row count, which Parquet answers from its footers). Only the order of
+    evaluation rests on the sample. Ties keep the given order."""
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    sample = scratch(docs.select(F.col(text_col).alias("text")).sample(share, seed=11).coalesce(8), "rule-sample")
     rows = sample.count()
     if not rows:
         return list(rules)

@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality
+from . import licenses, mixing, quality
 from .common import table
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = licenses.license_scan(table(spark, sf_dir, "documents"))
+    base = F.array_sort(F.array_distinct("hits.label"))
+    found = F.coalesce(F.col("matches.label"), F.array().cast("array<string>"))
+    score = F.when(F.size("hits") > 0, 1.0).otherwise(F.coalesce(F.array_max("matches.containment"), F.lit(0.0)))
+    return d.select(
+        "doc_id", "n_words", F.size("hits").cast("long").alias("n_base"),
+        F.array_min("hits.at").alias("first_word"), F.array_max("hits.at").alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, found)), ",").alias("labels"), score.alias("score"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -26,6 +38,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op4_mixing": op4_mixing,
     "op9_quality": op9_quality,
 }

@@ -2,9 +2,40 @@
 
 from __future__ import annotations
 
+from . import licenses
+
 #: Words ``[^\x20\x09-\x0D]+`` of a text in DuckDB.
 W = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+def _op1() -> str:
+    """Brute force: every block against every template, every place against every phrase."""
+    sets = licenses.template_sets(licenses.TEMPLATES, licenses.THRESHOLD)
+    quote = lambda ws: "[" + ", ".join(f"'{x}'" for x in ws) + "]"
+    templates = ", ".join(f"('{label}', {quote(ws)}, {alpha})" for label, ws, alpha in sets)
+    phrases = ", ".join(f"({quote(p.split())}, '{label}')" for p, label in licenses.PHRASES.items())
+    return rf"""
+WITH t(label, ws, alpha) AS (VALUES {templates}), p(ws, label) AS (VALUES {phrases}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+h AS (SELECT rid, i - 1 AS place, label FROM (SELECT rid, w, unnest(generate_series(1, len(w))) AS i FROM d)
+      JOIN p ON w[i:i + len(ws) - 1] = ws),
+b AS (SELECT rid, list_distinct(w[s:s + 255]) AS w
+      FROM (SELECT rid, w, unnest(generate_series(1, greatest(len(w) - 128, 1), 128)) AS s FROM d)),
+m AS (SELECT rid, label, len(list_intersect(b.w, t.ws)) / len(t.ws) AS c FROM b, t
+      WHERE len(list_intersect(b.w, t.ws)) >= alpha),
+hh AS (SELECT rid, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+              string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM h GROUP BY rid),
+ll AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+       FROM (SELECT rid, label FROM h UNION ALL SELECT rid, label FROM m) GROUP BY rid),
+mm AS (SELECT rid, max(c) AS c FROM m GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0)::DOUBLE END AS score
+FROM d LEFT JOIN hh USING (rid) LEFT JOIN ll USING (rid) LEFT JOIN mm USING (rid)
+"""
+
+
 OP4 = rf"""
 WITH d AS (SELECT doc_id, source, len({W})::BIGINT AS size,
                   md5('17:' || coalesce(doc_id::VARCHAR, 'null')) AS key FROM documents),
@@ -51,6 +82,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 ORACLE = {
+    "op1_licenses": _op1(),
     "op4_mixing": OP4,
     "op9_quality": OP9,
 }
