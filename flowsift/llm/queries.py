@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, quality
+from . import licenses, linededup, mixing, quality, secrets
 from .common import table
 
 
@@ -26,6 +26,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = linededup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    kept = F.coalesce(F.array_join("_l_kept", "\n"), F.lit(""))
+    return d.select(
+        "doc_id", F.col("_l_lines").cast("long").alias("n_lines"),
+        F.col("_l_boilerplate").cast("long").alias("n_boilerplate"),
+        (F.col("_l_lines") - F.coalesce(F.size("_l_kept"), F.lit(0))).cast("long").alias("n_removed"),
+        F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n, repeats = F.col("_q_n"), F.col("_q_repeats")
@@ -37,8 +47,25 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~base_failed & F.col("_q_rejected_by").isNull()).alias("kept"))
 
 
+def _spans(spans):
+    kinds = F.array(*[F.lit(k) for k in secrets.KINDS])
+    return F.array_join(F.transform(F.array_sort(spans), lambda x: F.concat_ws(
+        ":", F.get(kinds, x["kind"]), x["start"].cast("string"), x["stop"].cast("string"))), ",")
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = secrets.scan(table(spark, sf_dir, "documents"))
+    count = [F.size(F.filter("base", lambda x: x["kind"] == 0)).cast("long").alias("n_assign"),
+             F.size(F.filter("base", lambda x: x["kind"] == 1)).cast("long").alias("n_access"),
+             F.size(F.filter("base", lambda x: x["kind"] == 2)).cast("long").alias("n_hex")]
+    return d.select("doc_id", *count, F.sha2(_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                    _spans(F.concat("base", "found")).alias("spans"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op4_mixing": op4_mixing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
+    "op10_secrets": op10_secrets,
 }

@@ -81,8 +81,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR n_dup_lines * 100 > 50 * n_lines) AS kept FROM y
 """
 
+OP8 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT rid, coalesce(source, chr(0)) AS site, p, trim(ls[p], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+      FROM (SELECT rid, source, ls, unnest(generate_series(1, len(ls))) AS p FROM d)),
+n AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l),
+b AS (SELECT line FROM n WHERE n > 0 GROUP BY line HAVING count(DISTINCT site) >= 8),
+h AS (SELECT rid, list(p) AS ps, sum(n) AS lost FROM n JOIN b USING (line) GROUP BY rid),
+t AS (SELECT rid, sum(n) AS total FROM n GROUP BY rid),
+k AS (SELECT d.doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(len(ps), 0) AS n_boilerplate,
+             CASE WHEN lost * 2 <= total THEN list_filter(ls, lambda x, i: NOT list_contains(ps, i)) ELSE ls END AS kept
+      FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid))
+SELECT doc_id, n_lines::BIGINT AS n_lines, n_boilerplate::BIGINT AS n_boilerplate,
+       (n_lines - coalesce(len(kept), 0))::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256 FROM k
+"""
+
 ORACLE = {
     "op1_licenses": _op1(),
     "op4_mixing": OP4,
+    "op8_line_dedup": OP8,
     "op9_quality": OP9,
 }
