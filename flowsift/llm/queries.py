@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, linededup, mixing, quality, secrets
+from . import licenses, linededup, mixing, neardup, quality, secrets
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_dups(table(spark, sf_dir, "documents"), k=4).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = linededup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     kept = F.coalesce(F.array_join("_l_kept", "\n"), F.lit(""))
@@ -65,6 +69,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op4_mixing": op4_mixing,
+    "op6_near_dups": op6_near_dups,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
