@@ -9,11 +9,14 @@ miss a pair at similarity 0.8 with probability (1 - 0.8^4)^25 = 2e-6, less above
 Documents with equal sets are one class first, so exact copies never meet in pairs. Classes that
 share a band are candidates, and a link needs its exact similarity on the full sets:
 
-1. every class is compared with its bucket's smallest class only;
-2. buckets whose members now lie in several components compare the members outside the bucket's
-   largest component with every member of another component. After that each candidate pair is
-   either compared or already connected, so the components are those of all candidate pairs, and a
-   large group of copies costs rows in proportion to its size, not to its square.
+1. For every candidate, the shingles that no other candidate has are counted. Each bucket's hub is
+   the member with the smallest share of them (the one closest to a common original), and every
+   member is compared with its hub only.
+2. Buckets whose members now lie in several components compare the members outside the largest one
+   with the members of other components, save where the shingles that a set has alone already rule
+   out the similarity (an exact bound). After that each candidate pair is compared, connected or
+   ruled out, so the components are those of all candidate pairs, and a large group of copies costs
+   rows in proportion to its size.
 
 Defined cases: null, empty and shorter texts as the query contract says; rows without an id take no
 part (component null, kept); rows that share an id are one document; other columns are ignored.
@@ -111,6 +114,23 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return scratch(p.mapInArrow(exact, "a long, b long"), "near-links")
 
 
+def own_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n, own): size of each candidate's set, and how many of its shingles no other
+    candidate has. One aggregation by shingle, combined on the map side."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for b in batches:
+            s = [shingles(x, k, words).view(np.int64) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.list_(pa.int64()))], ["doc_id", "s"])
+
+    each = texts.mapInArrow(sets, "doc_id long, s array<long>").select("doc_id", F.explode("s").alias("s"))
+    seen = each.groupBy("s").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"))
+    by_doc = seen.where("low = top").groupBy(F.col("low").alias("doc_id")).agg(F.count(F.lit(1)).alias("own"))
+    sizes = texts.mapInArrow(sets, "doc_id long, s array<long>").groupBy("doc_id").agg(F.max(F.size("s")).alias("n"))
+    return sizes.join(by_doc, "doc_id", "left").select(
+        "doc_id", F.col("n").cast("long").alias("n"), F.coalesce("own", F.lit(0)).alias("own"))
+
+
 def near_dups(docs: DataFrame, k: int = 5, percent: int = 80, permutations: int = PERMUTATIONS,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for each row of ``docs``."""
@@ -119,25 +139,34 @@ def near_dups(docs: DataFrame, k: int = 5, percent: int = 80, permutations: int
     reps = scratch(reps, "near-classes")
     buckets = signed.join(reps, [signed.set_key == reps.set_key, signed.doc_id == reps.rep], "left_semi")
     buckets = buckets.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("band"))
-    shared = buckets.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub < top")
-    members = scratch(buckets.join(shared.select("band", "hub"), "band"), "near-buckets")
+    shared = buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("top")).where("low < top")
+    members = scratch(buckets.join(shared.select("band"), "band"), "near-buckets")
     # the texts that any candidate pair can need, moved once
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = scratch(texts.join(ids, "doc_id", "left_semi"), "near-texts")
 
-    first = scratch(members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(),
-                    "near-pairs")
+    own = scratch(own_shingles(texts, k), "near-own")
+    members = members.join(own, members.rep == own.doc_id).drop("doc_id")
+    hubs = members.groupBy("band").agg(F.min_by("rep", F.struct(F.col("own") / F.col("n"), "rep")).alias("hub"))
+    members = scratch(members.join(hubs, "band"), "near-buckets")
+    first = scratch(members.where("rep <> hub").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
+                    .distinct(), "near-pairs")
     links = verify(first, texts, k, percent)
     label = components(links)
 
     m = members.join(label, members.rep == label.node, "left").select(
-        "band", "rep", F.coalesce("component", "rep").alias("part"))
+        "band", "rep", "n", "own", F.coalesce("component", "rep").alias("part"))
     sizes = m.groupBy("band", "part").agg(F.count(F.lit(1)).alias("c"))
     largest = sizes.groupBy("band").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
     m = scratch(m.join(largest.where("parts > 1").select("band", "main"), "band"), "near-open")
-    rest = m.where("part <> main").select("band", F.col("rep").alias("r"), F.col("part").alias("p"))
-    second = rest.join(m, "band").where("p <> part").select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b"))
+    # no pair can share more than what is found elsewhere of either set
+    m = m.where(F.col("n") * percent <= (F.col("n") - F.col("own")) * 100)
+    rest = m.where("part <> main").select("band", F.col("rep").alias("r"), F.col("part").alias("p"),
+                                          F.col("n").alias("rn"), F.col("own").alias("ro"))
+    most = F.least(F.col("n") - F.col("own"), F.col("rn") - F.col("ro"))
+    second = rest.join(m, "band").where((F.col("p") != F.col("part")) & (most * 100 >= (F.col("n") + F.col("rn") - most) * percent))
+    second = second.select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b"))
     second = scratch(second.distinct().join(first, ["a", "b"], "left_anti"), "near-pairs")
     links = links.unionByName(verify(second, texts, k, percent))
     label = components(links)
