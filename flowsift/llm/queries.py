@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, linededup, mixing, neardup, quality, secrets
+from . import ann, licenses, linededup, mixing, neardup, packing, quality, secrets, toxicity
 from .common import table
 
 
@@ -21,15 +21,37 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_union(base, found)), ",").alias("labels"), score.alias("score"))
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    d = toxicity.score(docs, model)
+    return d.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_dups(table(spark, sf_dir, "documents"), k=4).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False).drop("ids")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = linededup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     kept = F.coalesce(F.array_join("_l_kept", "\n"), F.lit(""))
@@ -68,8 +90,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_licenses": op1_licenses,
+    "op3_ann": op3_ann,
     "op4_mixing": op4_mixing,
+    "op5_toxicity": op5_toxicity,
     "op6_near_dups": op6_near_dups,
+    "op7_packing": op7_packing,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
