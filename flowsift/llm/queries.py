@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, licenses, linededup, mixing, neardup, packing, quality, secrets, toxicity
+from . import ann, licenses, linededup, mixing, neardup, packing, quality, recompress, secrets, toxicity
 from .common import table
 
 
@@ -21,6 +21,11 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_union(base, found)), ",").alias("labels"), score.alias("score"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = recompress.substring_dedup(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "n_words", "n_removed", F.col("sha").alias("kept_sha256"))
+
+
 def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
@@ -90,6 +95,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_licenses": op1_licenses,
+    "op2_substrings": op2_substrings,
     "op3_ann": op3_ann,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,

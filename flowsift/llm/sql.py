@@ -36,6 +36,19 @@ FROM d LEFT JOIN hh USING (rid) LEFT JOIN ll USING (rid) LEFT JOIN mm USING (rid
 """
 
 
+OP2 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {W} AS w FROM documents),
+g AS (SELECT rid, doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h
+      FROM (SELECT rid, doc_id, w, unnest(generate_series(1, len(w) - 49)) AS p FROM d)),
+f AS (SELECT h, min(doc_id) AS low FROM g GROUP BY h),
+x AS (SELECT rid, unnest(generate_series(p, p + 49)) AS p FROM g JOIN f USING (h) WHERE doc_id > low),
+c AS (SELECT rid, list(DISTINCT p) AS ps FROM x GROUP BY rid),
+k AS (SELECT doc_id, w, CASE WHEN ps IS NULL THEN w ELSE list_filter(w, lambda v, i: NOT list_contains(ps, i)) END AS kept
+      FROM d LEFT JOIN c USING (rid))
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(kept))::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k
+"""
+
 OP4 = rf"""
 WITH d AS (SELECT doc_id, source, len({W})::BIGINT AS size,
                   md5('17:' || coalesce(doc_id::VARCHAR, 'null')) AS key FROM documents),
@@ -115,6 +128,7 @@ SELECT doc_id, n_lines::BIGINT AS n_lines, n_boilerplate::BIGINT AS n_boilerplat
 
 ORACLE = {
     "op1_licenses": _op1(),
+    "op2_substrings": OP2,
     "op4_mixing": OP4,
     "op6_near_dups": OP6,
     "op8_line_dedup": OP8,
