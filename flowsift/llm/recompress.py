@@ -11,14 +11,15 @@ fixes it. A window of ``width`` words that holds such a stretch holds the symbol
 occurs, so the symbol *serves* the window. Symbols of the highest level serve first, windows left
 over are served by the next level, and level 0 (the words) serves all: no repeat can be missed.
 
-1. Each text emits its serving symbols (one pass, no shuffle of words). Symbols that stand in one
-   document only leave: one map-side combined aggregation, one join.
-2. The windows served by shared symbols, and only those, are named by 96-bit hashes; the smallest
+1. Each window is given to the serving symbol with the smallest name; consecutive windows of one
+   symbol form a run. Each text emits its runs with a 96-bit hash of their words, in one pass.
+2. Equal runs need no window rows: every window of a later holder is a repeat. Only where a symbol
+   heads different runs do the first holders' windows get 96-bit names of their own; the smallest
    document of each name is found by an aggregation, and a window of a larger one is a repeat.
 3. Texts that lose words meet their repeats and are cut.
 
-Whole-text copies (equal word sequences) are settled by one hash before step 2, and a group of
-copies or a passage in a third of all texts is only ever counted by combined minima.
+Whole-text copies (equal word sequences) are settled by one hash, and a group of copies or a passage
+in a third of all texts is only ever counted by combined minima.
 
 Defined cases: null and empty texts have no words; rows without an id lose nothing and take nothing;
 rows that share an id are judged against smaller ids only; other columns are ignored.
@@ -40,7 +41,7 @@ from .common import KEY, doc_key, join_key, scratch
 from .hashing import U, WordHashes, constants, mix, split_words, windows
 
 WIDTH = 50
-ROUNDS = 7
+ROUNDS = 5
 #: Longest run that becomes one symbol, and most words in a symbol.
 RUN, CAP = 6, 20
 SEEDS = constants(2 * ROUNDS + 4, 31)
@@ -85,48 +86,76 @@ def pair_round(sym, start, low, high, doc, begin, end, n, t):
     return name[keep], start[keep], new_low[keep], new_high[keep], doc[keep]
 
 
+def power_sums(h: np.ndarray, base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums and inverse powers for hashing any stretch of ``h`` as a polynomial modulo 2^64."""
+    inverse = U(pow(int(base), -1, 1 << 64))
+    powers = np.cumprod(np.append(U(1), np.full(len(h), base)))
+    backs = np.cumprod(np.append(U(1), np.full(len(h), inverse)))
+    return np.append(U(0), np.cumsum(mix(h) * powers[:-1])), backs
+
+
 def anchors(hashes: np.ndarray, lengths: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, ...]:
-    """(text, name, first window, number of windows) of the serving symbols of several texts whose
-    word hashes stand one after another. Windows are counted by their first word in the text."""
+    """(text, name, u1, u2, first, count) of the runs of windows with the same designated symbol, for
+    several texts whose word hashes stand one after another.
+
+    A window's designated symbol is the one with the smallest name among those that serve it at the
+    highest level that has any: a choice that the window's own words fix. ``first`` is the run's
+    first window, counted by its first word in the text; u1 and u2 hash all words of the run."""
     n = len(hashes)
     end = np.cumsum(lengths)
     begin = end - lengths
     doc = np.repeat(np.arange(len(lengths)), lengths)
     place = np.arange(n)
     open_ = place + width <= end[doc]
-    out: list[tuple[np.ndarray, ...]] = []
     if not open_.any():
-        return tuple(np.empty(0, dtype=t) for t in (int, U, int, int))
+        return tuple(np.empty(0, dtype=t) for t in (int, U, U, U, int, int))
     sym = mix(hashes)
     levels = [(sym, place, place, place + 1, doc)]
     name, start, low, high = run_round(sym, place == begin[doc])
     levels.append((name, start, low, high, doc[start]))
     for t in range(1, ROUNDS + 1):
         levels.append(pair_round(*levels[-1], begin, end, n, t))
+    chosen = np.full(n, ~U(0), dtype=U)
+    mine = open_.copy()
     for level in range(len(levels) - 1, -1, -1):
         sym, start, low, high, d = levels[level]
         a, b = np.maximum(high - width, begin[d]), np.minimum(low, end[d] - width)
         i = np.flatnonzero(a <= b)
         before = np.append(0, np.cumsum(open_))
         i = i[before[b[i] + 1] > before[a[i]]]
-        if len(i):
-            out.append((d[i], mix(sym[i] + U(level)), a[i] - begin[d[i]], b[i] - a[i] + 1))
-            change = np.bincount(a[i], minlength=n + 1) - np.bincount(b[i] + 1, minlength=n + 1)
-            open_ &= np.cumsum(change)[:n] == 0
+        count = b[i] - a[i] + 1
+        at = np.repeat(a[i] - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(int(count.sum()))
+        names = np.repeat(mix(sym[i] + U(level)), count)
+        still = open_[at]
+        np.minimum.at(chosen, at[still], names[still])
+        open_[at] = False
         if not open_.any():
             break
-    return tuple(np.concatenate([o[k] for o in out]) for k in range(4))
+    w = np.flatnonzero(mine)
+    new = np.append(True, (chosen[w[1:]] != chosen[w[:-1]]) | (w[1:] != w[:-1] + 1))
+    first = w[new]
+    count = np.diff(np.append(np.flatnonzero(new), len(w)))
+    size = count + (width - 1)
+    u = []
+    for k in (0, 1):
+        sums, backs = power_sums(hashes, SEEDS[-1 - k])
+        u.append(mix((sums[first + size] - sums[first]) * backs[first] + size.astype(U)))
+    return doc[first], chosen[first], u[0], u[1], first - begin[doc[first]], count
 
 
 def _digest(words: list[bytes]) -> bytes:
     return hashlib.sha256(b" ".join(words)).digest()
 
 
-SCANNED = "row long, k_id long, k_h1 long, k_h2 int, n long, sha binary, name long, first int, count int"
+SCANNED = ("row long, k_id long, k_h1 long, k_h2 int, n long, sha binary, "
+           "name long, u1 long, u2 int, first int, count int")
 
 
 def scan(keyed: DataFrame, width: int) -> DataFrame:
-    """One row for each text (``sha`` set) and one for each of its serving symbols (``name`` set)."""
+    """One row for each text (``sha`` set) and one for each of its runs of windows (``name`` set)."""
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in SCANNED.split(", ")])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         numbers = itertools.count(TaskContext.get().partitionId() << 36)
@@ -137,31 +166,47 @@ def scan(keyed: DataFrame, width: int) -> DataFrame:
                 row = np.fromiter(itertools.islice(numbers, b.num_rows), dtype=np.int64)
                 n = np.array([len(w) for w in words])
                 h = np.concatenate([known.of(w) for w in words]) if len(words) else np.empty(0, U)
-                text, name, first, count = anchors(h, n, width)
-                ids = b.column(0).to_numpy(zero_copy_only=False)
-                gone = np.array(b.column(0).is_null()) if b.num_rows else np.empty(0, bool)
-                ok = ~gone[text]  # texts without an id take no part
-                text, name, first, count = text[ok], name[ok], first[ok], count[ok]
-                names = SCANNED.replace(" long", "").replace(" int", "").replace(" binary", "").split(", ")
-                none = lambda t, k: pa.nulls(k, t)
+                runs = anchors(h, n, width)
+                taking = ~np.array(b.column(0).is_null()) if b.num_rows else np.empty(0, bool)
+                text, name, u1, u2, first, count = (x[taking[runs[0]]] for x in runs)
+                ids = b.column(0).to_numpy(zero_copy_only=False)[text].astype(np.int64)
                 k, m = b.num_rows, len(text)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), b.column(0), b.column(1), b.column(2), pa.array(n, pa.int64()),
-                     pa.array([_digest(w) for w in words], pa.binary()), none(pa.int64(), k), none(pa.int32(), k), none(pa.int32(), k)], names)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row[text]), pa.array(ids[text].astype(np.int64)), none(pa.int64(), m), none(pa.int32(), m), none(pa.int64(), m),
-                     none(pa.binary(), m), pa.array(name.view(np.int64)), pa.array(first, pa.int32()), pa.array(count, pa.int32())], names)
+                values = {"row": pa.array(row), "k_id": b.column(0), "k_h1": b.column(1), "k_h2": b.column(2), "n": pa.array(n, pa.int64()),
+                          "sha": pa.array([_digest(w) for w in words], pa.binary())}
+                yield pa.RecordBatch.from_arrays([values.get(f.name, pa.nulls(k, f.type)) for f in schema], schema=schema)
+                values = {"row": pa.array(row[text]), "k_id": pa.array(ids), "name": pa.array(name.view(np.int64)), "u1": pa.array(u1.view(np.int64)),
+                          "u2": pa.array((u2 >> U(33)).astype(np.int32)), "first": pa.array(first, pa.int32()), "count": pa.array(count, pa.int32())}
+                yield pa.RecordBatch.from_arrays([values.get(f.name, pa.nulls(m, f.type)) for f in schema], schema=schema)
 
     return keyed.select(*KEY, "text").mapInArrow(read, SCANNED)
 
 
+def squeeze(keyed: DataFrame) -> DataFrame:
+    """Texts as compressed UTF-8, for the one shuffle that moves them."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            z = [press((x or "").encode("utf-8", "surrogatepass")) for x in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(z, pa.binary())], [*KEY, "z"])
+
+    return keyed.select(*KEY, "text").mapInArrow(read, "k_id long, k_h1 long, k_h2 int, z binary")
+
+
+def _words(z: bytes) -> list[bytes]:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(z).split()
+
+
 def candidate_windows(texts: DataFrame, width: int) -> DataFrame:
-    """(w1, w2, doc_id, row, at) of every window that a shared symbol serves."""
+    """(w1, w2, doc_id, row, at) of every window of the runs in ``spans``."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in batches:
-            for row, doc, text, spans in zip(*(b.column(i).to_pylist() for i in range(4))):
-                h = known.of(split_words(text))
+            for row, doc, z, spans in zip(*(b.column(i).to_pylist() for i in range(4))):
+                h = known.of(_words(z))
                 w1, w2 = windows(h, width), windows(h, width, seed=7)
                 mark = np.zeros(len(w1) + 1, dtype=np.int64)
                 for s in spans:
@@ -172,19 +217,22 @@ def candidate_windows(texts: DataFrame, width: int) -> DataFrame:
                     [pa.array(w1[at].view(np.int64)), pa.array((w2[at] >> U(33)).astype(np.int32)), pa.array([doc] * len(at), pa.int64()),
                      pa.array([row] * len(at), pa.int64()), pa.array(at, pa.int32())], ["w1", "w2", "doc_id", "row", "at"])
 
-    return texts.select("row", "doc_id", "text", "spans").mapInArrow(read, "w1 long, w2 int, doc_id long, row long, at int")
+    return texts.select("row", "doc_id", "z", "spans").mapInArrow(read, "w1 long, w2 int, doc_id long, row long, at int")
 
 
 def cut(texts: DataFrame, width: int) -> DataFrame:
-    """(row, gone, kept): number of words removed and the kept words joined by one space."""
+    """(row, gone, kept): number of words removed and the kept words joined by one space. ``direct``
+    holds runs of repeated windows, ``ats`` single ones."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, gone, kept = [], [], []
-            for row, text, at in zip(*(b.column(i).to_pylist() for i in range(3))):
-                words = split_words(text)
+            for row, z, direct, ats in zip(*(b.column(i).to_pylist() for i in range(4))):
+                words = _words(z)
                 mark = np.zeros(len(words) + width + 1, dtype=np.int64)
-                np.add.at(mark, np.array(at), 1)
-                np.add.at(mark, np.array(at) + width, -1)
+                runs = [(s["first"], s["first"] + s["count"] - 1 + width) for s in direct or ()] + [(x, x + width) for x in ats or ()]
+                for i, j in runs:
+                    mark[i] += 1
+                    mark[j] -= 1
                 stays = np.flatnonzero(np.cumsum(mark)[: len(words)] == 0)
                 rows.append(row)
                 gone.append(len(words) - len(stays))
@@ -192,7 +240,7 @@ def cut(texts: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
                                              ["row", "gone", "kept"])
 
-    return texts.select("row", "text", "ats").mapInArrow(read, "row long, gone long, kept string")
+    return texts.select("row", "z", "direct", "ats").mapInArrow(read, "row long, gone long, kept string")
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,22 +250,35 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     keyed = docs.select(*doc_key(F.col(id_col), F.col(text_col)), F.col(text_col).cast("string").alias("text"))
     scanned = scratch(scan(keyed, width), "rep-symbols")
     rows = scanned.where("sha is not null").select("row", *KEY, "n", "sha")
-    symbols = scanned.where("name is not null").select("row", F.col("k_id").alias("doc_id"), "name", "first", "count")
+    runs = scanned.where("name is not null").select("row", F.col("k_id").alias("doc_id"), "name", "u1", "u2", "first", "count")
 
     # whole copies: every window of a text stands in an earlier one
     holder = rows.where((F.col("n") >= width) & F.col("k_id").isNotNull()).groupBy("sha").agg(F.min("k_id").alias("holder"))
     rows = scratch(rows.join(holder, "sha", "left").withColumn(
         "copy", F.coalesce(F.col("holder") < F.col("k_id"), F.lit(False))).drop("holder"), "rep-rows")
 
-    shared = symbols.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).where("low < top")
-    spans = symbols.join(shared.select("name"), "name").groupBy("row").agg(F.collect_list(F.struct("first", "count")).alias("spans"))
-    spans = rows.where("not copy").join(spans, "row").dropDuplicates(KEY).select(*KEY, "row", "spans")
-    texts = scratch(join_key(keyed, spans, "inner").select("row", F.col("k_id").alias("doc_id"), "text", "spans"), "rep-texts")
-
-    found = scratch(candidate_windows(texts, width), "rep-windows")
+    # equal runs: all windows of every later holder are repeats, no window needs a row
+    equal = runs.groupBy("u1", "u2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"), F.min("name").alias("name"))
+    equal = scratch(equal, "rep-equal")
+    several = equal.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name")
+    held = equal.where("low < top").select("u1", "u2", "low")
+    later = runs.join(held, ["u1", "u2"]).where("doc_id > low")
+    # first holders of runs whose symbol heads other runs too: their windows are compared one by one
+    ahead = equal.join(several, "name", "left_semi").select("u1", "u2", F.col("low").alias("doc_id"))
+    ahead = runs.join(ahead, ["u1", "u2", "doc_id"])
+    which = later.select("row", "first", "count", F.lit(True).alias("direct")).unionByName(
+        ahead.select("row", "first", "count", F.lit(False).alias("direct")))
+    which = which.groupBy("row").agg(*[
+        F.collect_list(F.when(F.col("direct") == on, F.struct("first", "count"))).alias(name)
+        for name, on in (("direct", True), ("spans", False))])
+    spans = scratch(rows.where("not copy").join(which, "row").dropDuplicates(KEY).select(*KEY, "row", "direct", "spans"), "rep-spans")
+    texts = join_key(squeeze(keyed), spans, "inner").select("row", F.col("k_id").alias("doc_id"), "z", "direct", "spans")
+    texts = scratch(texts.dropDuplicates(["row"]), "rep-texts")
+
+    found = scratch(candidate_windows(texts.where(F.size("spans") > 0), width), "rep-windows")
     first = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).where("low < top")
     repeats = found.join(first, ["w1", "w2"]).where("doc_id > low").groupBy("row").agg(F.collect_list("at").alias("ats"))
-    done = texts.join(repeats, "row").select("row", "text", "ats")
+    done = texts.join(repeats, "row", "left").where("size(direct) > 0 or ats is not null")
     done = cut(done, width)
     # rows that agree in id and text were cut once; all of them get the result
     done = join_key(rows.select("row", *KEY), spans.select(*KEY, F.col("row").alias("of")), "inner").join(
