@@ -11,10 +11,10 @@ fixes it. A window of ``width`` words that holds such a stretch holds the symbol
 occurs, so the symbol *serves* the window. Symbols of the highest level serve first, windows left
 over are served by the next level, and level 0 (the words) serves all: no repeat can be missed.
 
-1. Each window is given to the serving symbol with the smallest name; consecutive windows of one
-   symbol form a run. Each text emits its runs with a 96-bit hash of their words, in one pass.
-2. Equal runs need no window rows: every window of a later holder is a repeat. Only where a symbol
-   heads different runs do the first holders' windows get 96-bit names of their own; the smallest
+1. Each window is given to the serving symbols with the smallest and the largest name; consecutive
+   windows of one such pair form a run. Each text emits its runs with a 96-bit hash of their words, in one pass.
+2. Equal runs need no window rows: every window of a later holder is a repeat. Only where symbols
+   head different runs do the first holders' windows get 96-bit names of their own; the smallest
    document of each name is found by an aggregation, and a window of a larger one is a repeat.
 3. Texts that lose words meet their repeats and are cut.
 
@@ -95,11 +95,12 @@ def power_sums(h: np.ndarray, base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(hashes: np.ndarray, lengths: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, ...]:
-    """(text, name, u1, u2, first, count) of the runs of windows with the same designated symbol, for
+    """(text, name, u1, u2, first, count) of the runs of windows with the same designated symbols, for
     several texts whose word hashes stand one after another.
 
-    A window's designated symbol is the one with the smallest name among those that serve it at the
-    highest level that has any: a choice that the window's own words fix. ``first`` is the run's
+    A window's designated symbols are those with the smallest and the largest name among the symbols
+    that serve it at the highest level that has any: a choice that the window's own words fix. Both
+    together are the run's name, so a phrase that many texts share does not make candidates alone. ``first`` is the run's
     first window, counted by its first word in the text; u1 and u2 hash all words of the run."""
     n = len(hashes)
     end = np.cumsum(lengths)
@@ -115,7 +116,7 @@ def anchors(hashes: np.ndarray, lengths: np.ndarray, width: int = WIDTH) -> tupl
     levels.append((name, start, low, high, doc[start]))
     for t in range(1, ROUNDS + 1):
         levels.append(pair_round(*levels[-1], begin, end, n, t))
-    chosen = np.full(n, ~U(0), dtype=U)
+    chosen, other = np.full(n, ~U(0), dtype=U), np.zeros(n, dtype=U)
     mine = open_.copy()
     for level in range(len(levels) - 1, -1, -1):
         sym, start, low, high, d = levels[level]
@@ -128,9 +129,11 @@ def anchors(hashes: np.ndarray, lengths: np.ndarray, width: int = WIDTH) -> tupl
         names = np.repeat(mix(sym[i] + U(level)), count)
         still = open_[at]
         np.minimum.at(chosen, at[still], names[still])
+        np.maximum.at(other, at[still], names[still])
         open_[at] = False
         if not open_.any():
             break
+    chosen = mix(chosen * SEEDS[-3] + other)
     w = np.flatnonzero(mine)
     new = np.append(True, (chosen[w[1:]] != chosen[w[:-1]]) | (w[1:] != w[:-1] + 1))
     first = w[new]
@@ -260,14 +263,12 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     # equal runs: all windows of every later holder are repeats, no window needs a row
     equal = runs.groupBy("u1", "u2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"), F.min("name").alias("name"))
     equal = scratch(equal, "rep-equal")
-    several = equal.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name")
-    held = equal.where("low < top").select("u1", "u2", "low")
-    later = runs.join(held, ["u1", "u2"]).where("doc_id > low")
-    # first holders of runs whose symbol heads other runs too: their windows are compared one by one
-    ahead = equal.join(several, "name", "left_semi").select("u1", "u2", F.col("low").alias("doc_id"))
-    ahead = runs.join(ahead, ["u1", "u2", "doc_id"])
-    which = later.select("row", "first", "count", F.lit(True).alias("direct")).unionByName(
-        ahead.select("row", "first", "count", F.lit(False).alias("direct")))
+    several = equal.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name", F.lit(True).alias("several"))
+    # first holders of runs whose symbols head other runs too: their windows are compared one by one
+    telling = equal.join(several, "name", "left").where("low < top or several").select(
+        "u1", "u2", "low", F.coalesce("several", F.lit(False)).alias("several"))
+    which = runs.drop("name").join(telling, ["u1", "u2"]).where("doc_id > low or several")
+    which = which.select("row", "first", "count", (F.col("doc_id") > F.col("low")).alias("direct"))
     which = which.groupBy("row").agg(*[
         F.collect_list(F.when(F.col("direct") == on, F.struct("first", "count"))).alias(name)
         for name, on in (("direct", True), ("spans", False))])
