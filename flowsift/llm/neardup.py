@@ -12,11 +12,13 @@ share a band are candidates, and a link needs its exact similarity on the full s
 1. For every candidate, the shingles that no other candidate has are counted. Each bucket's hub is
    the member with the smallest share of them (the one closest to a common original), and every
    member is compared with its hub only.
-2. Buckets whose members now lie in several components compare the members outside the largest one
-   with the members of other components, save where the shingles that a set has alone already rule
-   out the similarity (an exact bound). After that each candidate pair is compared, connected or
-   ruled out, so the components are those of all candidate pairs, and a large group of copies costs
-   rows in proportion to its size.
+2. Buckets whose members now lie in several components choose a second hub, at random, among the
+   members outside the largest component; those are compared with it (clusters of cut-off copies,
+   say, which are close to each other but not to the original).
+3. Of buckets still open, the members outside the largest component are compared with the members of
+   other components, save where the shingles that a set has alone already rule out the similarity
+   (an exact bound). After that each candidate pair is compared, connected or ruled out, so the
+   components are those of all candidate pairs.
 
 Defined cases: null, empty and shorter texts as the query contract says; rows without an id take no
 part (component null, kept); rows that share an id are one document; other columns are ignored.
@@ -131,6 +133,18 @@ def own_shingles(texts: DataFrame, k: int) -> DataFrame:
         "doc_id", F.col("n").cast("long").alias("n"), F.coalesce("own", F.lit(0)).alias("own"))
 
 
+def open_buckets(members: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Members (with ``part``, their component so far) of buckets with several components, and each
+    such bucket's largest one (``main``). Members whose set has too many shingles of its own for any
+    link leave: no pair can share more than what is found elsewhere of either set."""
+    m = members.join(label, members.rep == label.node, "left").select(
+        "band", "rep", "n", "own", F.coalesce("component", "rep").alias("part"))
+    m = m.where(F.col("n") * percent <= (F.col("n") - F.col("own")) * 100)
+    sizes = m.groupBy("band", "part").agg(F.count(F.lit(1)).alias("c"))
+    largest = sizes.groupBy("band").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    return scratch(m.join(largest.where("parts > 1").select("band", "main"), "band"), "near-open")
+
+
 def near_dups(docs: DataFrame, k: int = 5, percent: int = 80, permutations: int = PERMUTATIONS,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for each row of ``docs``."""
@@ -153,22 +167,22 @@ def near_dups(docs: DataFrame, k: int = 5, percent: int = 80, permutations: int
     first = scratch(members.where("rep <> hub").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
                     .distinct(), "near-pairs")
     links = verify(first, texts, k, percent)
-    label = components(links)
+    members = members.drop("hub")
 
-    m = members.join(label, members.rep == label.node, "left").select(
-        "band", "rep", "n", "own", F.coalesce("component", "rep").alias("part"))
-    sizes = m.groupBy("band", "part").agg(F.count(F.lit(1)).alias("c"))
-    largest = sizes.groupBy("band").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    m = scratch(m.join(largest.where("parts > 1").select("band", "main"), "band"), "near-open")
-    # no pair can share more than what is found elsewhere of either set
-    m = m.where(F.col("n") * percent <= (F.col("n") - F.col("own")) * 100)
+    rest = open_buckets(members, components(links), percent).where("part <> main")
+    hubs = rest.groupBy("band").agg(F.min_by("rep", F.xxhash64("band", "rep")).alias("hub"))
+    second = rest.join(hubs, "band").where("rep <> hub").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
+    second = scratch(second.distinct().join(first, ["a", "b"], "left_anti"), "near-pairs")
+    links = links.unionByName(verify(second, texts, k, percent))
+
+    m = open_buckets(members, components(links), percent)
     rest = m.where("part <> main").select("band", F.col("rep").alias("r"), F.col("part").alias("p"),
                                           F.col("n").alias("rn"), F.col("own").alias("ro"))
     most = F.least(F.col("n") - F.col("own"), F.col("rn") - F.col("ro"))
-    second = rest.join(m, "band").where((F.col("p") != F.col("part")) & (most * 100 >= (F.col("n") + F.col("rn") - most) * percent))
-    second = second.select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b"))
-    second = scratch(second.distinct().join(first, ["a", "b"], "left_anti"), "near-pairs")
-    links = links.unionByName(verify(second, texts, k, percent))
+    third = rest.join(m, "band").where((F.col("p") != F.col("part")) & (most * 100 >= (F.col("n") + F.col("rn") - most) * percent))
+    third = third.select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b"))
+    third = scratch(third.distinct().join(first.unionByName(second), ["a", "b"], "left_anti"), "near-pairs")
+    links = links.unionByName(verify(third, texts, k, percent))
     label = components(links)
 
     reps = reps.join(label, reps.rep == label.node, "left").select(
