@@ -60,15 +60,16 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_i
     lines = scratch(line_table(docs, id_col, text_col, site_col), "lines")
     often, names = boilerplate(lines, min_sites)
     hits = often.join(names, LINE, "left_semi").groupBy(*KEY).agg(F.collect_set(F.struct("place", "n")).alias("_l_hits"))
-    d = docs.select("*", *doc_key(F.col(id_col), F.col(text_col)))
-    d = join_key(d, hits).drop(*KEY)
-    raw = F.split(F.col(text_col), "\n")
-    n_words: Column = F.size(F.array_remove(F.split(F.coalesce(F.col(text_col), F.lit("")), SPACES), ""))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")  # its names clash with none
+    d = join_key(docs.select(whole, *doc_key(F.col(id_col), F.col(text_col))), hits)
+    text = F.col("doc").getField(text_col)
+    raw = F.split(text, "\n")
+    n_words: Column = F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), ""))
     lost = F.aggregate("_l_hits", F.lit(0), lambda a, x: a + x["n"])
     cut = F.col("_l_hits").isNotNull() & (lost * 2 <= n_words)
     places = F.col("_l_hits.place")
     kept = F.when(cut, F.filter(raw, lambda x, i: ~F.array_contains(places, i))).otherwise(raw)
-    return d.select(*docs.columns, F.coalesce(F.size(raw), F.lit(0)).alias("_l_lines"),
+    return d.select("doc.*", F.coalesce(F.size(raw), F.lit(0)).alias("_l_lines"),
                     F.when(F.col("_l_hits").isNull(), 0).otherwise(F.size("_l_hits")).alias("_l_boilerplate"),
                     kept.alias("_l_kept"))
 
