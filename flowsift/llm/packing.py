@@ -68,6 +68,9 @@ class Words(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.is_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def learn(self, words: set[bytes]) -> None:
         if len(self) > REMEMBERED_WORDS:
@@ -77,8 +80,21 @@ class Words(dict):
         cut = {w for w in new if w[-1:] in (b",", b".") and w[-2:-1].isalpha()}
         plain = {w[:-1] for w in cut} | {b",", b"."} | {w for w in new if w not in cut}
         plain = [w for w in plain if w not in self]
-        for w, e in zip(plain, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in plain], add_special_tokens=False)):
-            self[w] = np.array(e.ids, dtype="<u4").tobytes()
+        texts = [w.decode("utf-8", "replace") for w in plain]
+        letters = [i for i, t in enumerate(texts) if t.isalpha()]
+        alone = [i for i, t in enumerate(texts) if not t.isalpha()]
+        for at in range(0, len(letters), 512):
+            some = letters[at: at + 512]
+            # a word of letters alone ends at its one word-end id, so many can share a call
+            ids = np.array(self.tokenizer.encode(" ".join(texts[i] for i in some), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) == len(some):
+                for i, piece in zip(some, np.split(ids, ends[:-1])):
+                    self[plain[i]] = piece.tobytes()
+            else:
+                alone += some
+        for i, e in zip(alone, self.tokenizer.encode_batch([texts[i] for i in alone], add_special_tokens=False)):
+            self[plain[i]] = np.array(e.ids, dtype="<u4").tobytes()
         for w in cut:
             self[w] = self[w[:-1]] + self[w[-1:]]
 
