@@ -7,6 +7,27 @@ import corpus_pipeline
 from flowsift.llm import ann, licenses, linededup, mixing, neardup, packing, quality, recompress, secrets, toxicity
 from flowsift.llm.queries import tokenizer_path
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, row string, k_id string"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty and very long texts, ties, repeated rows, clashing extra columns."""
+    words = [f"w{i}" for i in range(3000)]
+    base = " ".join(words[:120])
+    near = " ".join(words[:60] + ["changed"] + words[61:120])
+    texts = [None, "", "   \n\t ", "one", base, base, near, " ".join(words) * 4, base + " tail " + " ".join(words[500:620]),
+             " ".join(words[500:620]), "a b c d", "a b c d", "x " * 300, "line one here\nline one here\n" + base]
+    rows = [(i, t, "en", ["s1", "s2", None][i % 3], 1, 7, "r", "k") for i, t in enumerate(texts)]
+    rows += [rows[4], (None, base, None, None, None, None, None, None), (None, None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
 LABELS = "doc_id long, quality int, toxic int"
 ONE_ROW_EACH = {
     "licenses": licenses.license_scan,
