@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,11 +35,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting is provided and used as is. Only when it is unset
-    (local tests) do we create a scratch folder of our own.
+    (local tests) do we create a scratch folder of our own; on any other master that folder would be
+    another one for each executor, so an unset setting is an error there.
     """
     ship_package(spark)
     cur = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not cur:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cur = tempfile.mkdtemp(prefix="flowsift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", cur)
     if not spark.sparkContext.getCheckpointDir():
@@ -54,6 +58,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def parquet_if_there(spark: SparkSession, path: str, schema=None):
+    """The Parquet table at ``path``, or None where the path does not exist. Any other failure is raised."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` as a Parquet table in the shared checkpoint folder and
     reading it back: computed once, and re-readable by any executor after a loss."""

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowsift.session import parquet_if_there
 from flowsift.operators.alerts import current_view
 from flowsift.schemas import ACKS, ALERTS
 
@@ -36,9 +37,8 @@ def read_alerts(spark: SparkSession, table: str) -> DataFrame:
 
 def current(spark: SparkSession, table: str) -> DataFrame:
     alerts = read_alerts(spark, table)
-    try:
-        acks = spark.read.schema(ACKS).parquet(f"{table}/acks")
-    except Exception:  # noqa: BLE001 - no acknowledgement written yet
+    acks = parquet_if_there(spark, f"{table}/acks", ACKS)
+    if acks is None:  # none written yet
         acks = spark.createDataFrame([], ACKS)
     return current_view(alerts, acks)
 

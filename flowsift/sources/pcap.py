@@ -133,7 +133,7 @@ def _pcapng(f, first4: bytes) -> Iterator[tuple[int, int, bytes]]:
             bom = f.read(4)
             e = "<" if struct.unpack("<I", bom)[0] == 0x1A2B3C4D else ">"
             blen = struct.unpack(e + "I", blen_raw)[0]
-            f.read(blen - 16)
+            f.read(blen - 12)  # type, length and byte order are read
             ifaces = []
             block = None
             continue

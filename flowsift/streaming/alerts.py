@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from flowsift.session import parquet_if_there
 from flowsift.config import DEFAULT_CONFIG, DetectionConfig
 from flowsift.operators import alerts as al
 from flowsift.operators import findings as fd
@@ -141,12 +142,7 @@ def latest_buffer_sink(table: str, n: int = al.LIVE_BUFFER):
     a replayed batch rewrites it, so the buffer is exactly-once."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = None
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(f"{table}/snapshot={batch_id - 1}")
-            except Exception:  # noqa: BLE001 - the previous batch had no snapshot yet
-                prev = None
+        prev = parquet_if_there(spark, f"{table}/snapshot={batch_id - 1}") if batch_id > 0 else None
         rows = batch if prev is None else prev.unionByName(batch)
         al.latest(rows, n).write.mode("overwrite").parquet(f"{table}/snapshot={batch_id}")
     return write

@@ -59,3 +59,20 @@ def test_pcap_replay_end_to_end(spark, tmp_path):
 def test_missing_capture(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_captures(spark, str(tmp_path / "nope.pcap"))
+
+
+def test_pcapng_blocks():
+    import io
+    import struct
+
+    from flowsift.sources.pcap import _pcapng
+
+    def block(kind, body):
+        n = 12 + len(body)
+        return struct.pack("<II", kind, n) + body + struct.pack("<I", n)
+
+    section = block(0x0A0D0D0A, struct.pack("<IHHq", 0x1A2B3C4D, 1, 0, -1))
+    interface = block(1, struct.pack("<HHI", 101, 0, 65535))
+    packets = [block(6, struct.pack("<IIIII", 0, 0, 1_000_000 + i, 4, 4) + bytes([69, 0, 0, i])) for i in range(2)]
+    f = io.BytesIO(section + interface + b"".join(packets))
+    assert list(_pcapng(f, f.read(4))) == [(101, 1_000_000 + i, bytes([69, 0, 0, i])) for i in range(2)]
