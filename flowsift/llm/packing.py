@@ -11,8 +11,10 @@ partitions' totals (one row each) give the offsets. Only narrow rows are sorted;
 to meet their place. Tokenizing is never repeated: its output is a scratch table.
 
 Words are tokenized through a bounded memory of words already seen (kept by each Python worker);
-that is exact for tokenizers that lower-case, never join text across white space and split
-punctuation from letters, as the one used here. Tests compare it with whole texts.
+that is exact for tokenizers that lower-case and never join text across white space, as the one used
+here. New words of printable ASCII or of Latin, Greek and Cyrillic letters are cut into pieces here
+and go straight to the tokenizer's merges; all others, and every word where the tokenizer's
+configuration is not the known one, go through the whole tokenizer. Tests compare it with whole texts.
 
 Defined cases: null and empty texts are the closing id alone; a null id is returned as null;
 repeated rows are packed each; an empty table gives no pieces; other columns are ignored.
@@ -21,6 +23,9 @@ repeated rows are packed each; an empty table gives no pieces; other columns are
 from __future__ import annotations
 
 import itertools
+import json
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -60,6 +65,25 @@ def vector(own: np.ndarray, table: np.ndarray) -> np.ndarray:
     return total / len(own) - 1
 
 
+#: Normalizer and pre-tokenizer (fixed values of the public tokenizer) under which words may be cut here.
+KNOWN_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same split for lower-cased printable ASCII.
+ASCII_PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+ASCII_WORD = re.compile(rb"[!-~]+")
+#: ASCII marks: a run of them at a word's end is a piece of its own.
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
+#: Latin, Greek and Cyrillic lie below; later blocks go through the whole tokenizer.
+FAST_BELOW = "\u0530"
+
+
+def _byte_chars() -> dict[int, int]:
+    """Byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [i for i in range(256) if i not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
 class Words(dict):
     """Token ids (little-endian unsigned 32-bit) of each word, remembered up to a bound."""
 
@@ -68,45 +92,64 @@ class Words(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.is_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.model, self.byte_chars = self.tokenizer.model, _byte_chars()
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
+        normalizers = [n["type"] for n in (config.get("normalizer") or {}).get("normalizers", [])]
+        splits = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.known = (normalizers == KNOWN_NORMALIZERS and [p["type"] for p in splits] == ["Split", "ByteLevel"]
+                      and splits[0]["pattern"].get("Regex") == KNOWN_SPLIT)
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece, given in the byte-level alphabet."""
+        ids = [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def learn(self, words: set[bytes]) -> None:
         if len(self) > REMEMBERED_WORDS:
             self.clear()
-        new = [w for w in words if w not in self]
-        # a final comma or stop after an ASCII letter is a piece of its own
-        cut = {w for w in new if w[-1:] in (b",", b".") and w[-2:-1].isalpha()}
-        plain = {w[:-1] for w in cut} | {b",", b"."} | {w for w in new if w not in cut}
-        plain = [w for w in plain if w not in self]
-        texts = [w.decode("utf-8", "replace") for w in plain]
-        letters = [i for i, t in enumerate(texts) if t.isalpha()]
-        alone = [i for i, t in enumerate(texts) if not t.isalpha()]
-        for at in range(0, len(letters), 512):
-            some = letters[at: at + 512]
-            # a word of letters alone ends at its one word-end id, so many can share a call
-            ids = np.array(self.tokenizer.encode(" ".join(texts[i] for i in some), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(self.is_end[ids]) + 1
-            if len(ends) == len(some):
-                for i, piece in zip(some, np.split(ids, ends[:-1])):
-                    self[plain[i]] = piece.tobytes()
+        alone: list[bytes] = []
+        letters: list[tuple[bytes, str]] = []
+        for w in words:
+            if w in self:
+                continue
+            if not self.known or b"<|" in w:  # may hold a special token
+                alone.append(w)
+            elif ASCII_WORD.fullmatch(w):
+                pieces = ASCII_PIECE.findall(w.lower())
+                for p in pieces:
+                    if p not in self:
+                        self[p] = self.piece(p.decode("ascii"))
+                self[w] = b"".join([self[p] for p in pieces])
             else:
-                alone += some
-        for i, e in zip(alone, self.tokenizer.encode_batch([texts[i] for i in alone], add_special_tokens=False)):
-            self[plain[i]] = np.array(e.ids, dtype="<u4").tobytes()
-        for w in cut:
-            self[w] = self[w[:-1]] + self[w[-1:]]
+                text = w.rstrip(MARKS).decode("utf-8", "replace")
+                if text.isalpha() and max(text) < FAST_BELOW:
+                    letters.append((w, text))
+                else:
+                    alone.append(w)
+        if letters:
+            normal = self.tokenizer.normalizer.normalize_str(" ".join([t for _, t in letters])).split(" ")
+            for (w, _), t in zip(letters, normal, strict=True):
+                if t.isalpha():
+                    tail = w[len(w.rstrip(MARKS)):]
+                    if tail and tail not in self:
+                        self[tail] = self.piece(tail.decode("ascii"))
+                    self[w] = self.piece(t.encode().decode("latin-1").translate(self.byte_chars)) + (self[tail] if tail else b"")
+                else:
+                    alone.append(w)
+        texts = [w.decode("utf-8", "replace") for w in alone]
+        for w, e in zip(alone, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            self[w] = np.array(e.ids, dtype="<u4").tobytes()
 
 
 #: One memory for each tokenizer in a Python worker, kept between its tasks.
 _KNOWN: dict[str, Words] = {}
 
 
-def _split(text: str | None) -> list[bytes]:
+def _split(text: bytes | None) -> list[bytes]:
     """Words at ASCII white space, A-Z lower-cased as the tokenizer will (not where the text may hold
     a special token's string)."""
-    data = (text or "").encode("utf-8", "replace")
+    data = text or b""
     return (data if b"<|" in data else data.lower()).split()
 
 
@@ -125,7 +168,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: st
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                split = [_split(x) for x in part.column(1).to_pylist()]
+                split = [_split(x) for x in part.column(1).cast(pa.binary()).to_pylist()]
                 known.learn(set(itertools.chain.from_iterable(split)))
                 ids, n, v = [], [], []
                 for words in split:
