@@ -1,11 +1,10 @@
 """Continuous detection over the flow stream (T2op, T4op, S5, S9, S10, T8op).
 
 * T4op: rules are the same ``Column`` expressions as in batch (a stateless projection).
-* T2op: the scan detector keeps, per source, the latest time each target was seen
-  (``applyInPandasWithState`` keyed by source). Flows of a micro-batch are handled in
-  ``last_seen`` order with equal times counted together (the batch RANGE semantics);
-  targets older than the window are pruned from state, and an event-time timer clears a
-  source once the watermark leaves its window.
+* T2op: the scan detector keeps, per source (and capture, as in batch), every flow within the
+  window of what may still come (``applyInPandasWithState``). A flow is counted once the
+  watermark has passed it, so late flows within the lateness count as in batch; an event-time
+  timer counts what waits and clears a source once the watermark leaves its window.
 * S5: alerts are appended per micro-batch into ``<table>/batch_id=<n>`` with overwrite, so
   a replayed batch rewrites the same folder: exactly-once output with at-least-once runs.
 * S9/T8op: a notification callback gets the payloads of alerts at or above a severity
@@ -16,9 +15,9 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,54 +31,81 @@ from flowsift.operators import rules as ru
 from flowsift.operators import scans as sc
 from flowsift.schemas import FLOWS
 from flowsift.sources.rulefiles import Rule
+from flowsift.streaming.flows import check_late, run_available
 
-COUNT_SCHEMA = ("src_ip string, flow_id string, dst_ip string, src_port int, dst_port int, protocol int, "
-                "last_seen_us long, distinct_ports long, distinct_hosts long")
+COUNT_SCHEMA = ("capture_id string, src_ip string, flow_id string, dst_ip string, src_port int, dst_port int, "
+                "protocol int, last_seen_us long, distinct_ports long, distinct_hosts long")
+SCAN_COLUMNS = ["flow_id", "dst_ip", "src_port", "dst_port", "protocol", "last_seen_us"]
+SCAN_INPUT = ("capture_id string, src_ip string, flow_id string, dst_ip string, src_port int, dst_port int, "
+              "protocol int, last_seen_us long")
+SCAN_STATE = ("done_us long, flow_id array<string>, dst_ip array<string>, src_port array<int>, dst_port array<int>, "
+              "protocol array<int>, last_seen_us array<long>")
+
+
+def _distinct_in_window(t: np.ndarray, target: np.ndarray, at: np.ndarray, w: int) -> np.ndarray:
+    """Distinct targets seen in [x - w, x] for each x of ``at``: a sighting covers the time until its
+    target's next one, w at most, and covers of one target never overlap."""
+    order = np.lexsort((t, target))
+    t, target = t[order], target[order]
+    end = t + w + 1
+    again = target[1:] == target[:-1]
+    end[:-1][again] = np.minimum(end[:-1], t[1:])[again]
+    return np.searchsorted(np.sort(t), at, "right") - np.searchsorted(np.sort(end), at, "right")
 
 
 def _scan_state(cfg: DetectionConfig):
     w = cfg.window_us
     cols = [c.split(" ")[0] for c in COUNT_SCHEMA.split(", ")]
+    kinds = {"src_port": "int32", "dst_port": "int32", "protocol": "int32", "last_seen_us": "int64"}
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        done, parts = -1, []
+        if state.exists:
+            done, *kept = state.get
+            parts.append(pd.DataFrame(dict(zip(SCAN_COLUMNS, map(list, kept)))).astype(kinds))
+        if not state.hasTimedOut:
+            parts += [b[SCAN_COLUMNS] for b in batches]
+        rows = pd.concat(parts, ignore_index=True)
+        # no flow at or before the watermark can still come: windows that end there are complete
+        now = max(done, state.getCurrentWatermarkMs() * 1000)
+        t = rows["last_seen_us"].to_numpy("int64")
+        ready = (t > done) & (t <= now)
+        out = rows[ready].copy()
+        host = pd.factorize(rows["dst_ip"], use_na_sentinel=False)[0]
+        port = rows.assign(h=host).groupby(["h", "dst_port"], dropna=False, sort=False).ngroup().to_numpy()
+        out["distinct_ports"] = _distinct_in_window(t, port, t[ready], w)
+        out["distinct_hosts"] = _distinct_in_window(t, host, t[ready], w)
+        for i, c in enumerate(_stream_scope(cfg)):
+            out[c] = key[i]
+        if "capture_id" not in out:
+            out["capture_id"] = None
+        keep = rows[t > now - w - 1]
+        if len(keep):
+            state.update((now, *[keep[c].tolist() for c in SCAN_COLUMNS]))
+            waiting = keep["last_seen_us"][keep["last_seen_us"] > now]
+            due_us = int(waiting.min()) if len(waiting) else int(keep["last_seen_us"].max()) + w
+            state.setTimeoutTimestamp(max(due_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        else:
             state.remove()
-            yield pd.DataFrame([], columns=cols)
-            return
-        st = json.loads(state.get[0]) if state.exists else {"p": {}, "h": {}}
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(["last_seen_us", "flow_id"])
-        out = []
-        for t, grp in pdf.groupby("last_seen_us", sort=True):
-            t = int(t)
-            for r in grp.itertuples(index=False):
-                pk, hk = f"{r.dst_ip}|{int(r.dst_port)}", r.dst_ip
-                st["p"][pk] = max(st["p"].get(pk, t), t)
-                st["h"][hk] = max(st["h"].get(hk, t), t)
-            lo = t - w
-            ports = sum(1 for v in st["p"].values() if lo <= v <= t)
-            hosts = sum(1 for v in st["h"].values() if lo <= v <= t)
-            for r in grp.itertuples(index=False):
-                out.append((key[0], r.flow_id, r.dst_ip, int(r.src_port), int(r.dst_port), int(r.protocol), t,
-                            ports, hosts))
-        newest = int(pdf["last_seen_us"].max())
-        for k in ("p", "h"):
-            st[k] = {a: v for a, v in st[k].items() if v >= newest - w}
-        state.update((json.dumps(st),))
-        state.setTimeoutTimestamp(max(int(math.ceil((newest + w) / 1000)) + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=cols)
+        yield out[cols]
     return step
 
 
+def _stream_scope(cfg: DetectionConfig) -> list[str]:
+    return ["src_ip"] if cfg.across_captures else ["capture_id", "src_ip"]
+
+
 def stream_scan_findings(flows: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG,
                          watermark: str = "0 seconds") -> DataFrame:
-    """T2op: scan findings over a streaming flow table (state keyed by source)."""
+    """T2op: scan findings over a streaming flow table (state keyed like the batch form). A flow's
+    finding comes once the watermark has passed its ``last_seen``."""
     from flowsift.session import ship_package
 
     ship_package(flows.sparkSession)
     f = flows.withColumn("_ts", F.timestamp_micros("last_seen_us")).withWatermark("_ts", watermark)
-    counts = (f.select("src_ip", "flow_id", "dst_ip", "src_port", "dst_port", "protocol", "last_seen_us", "_ts")
-              .groupBy("src_ip")
-              .applyInPandasWithState(_scan_state(cfg), COUNT_SCHEMA, "targets string", "append",
+    counts = (f.select("capture_id", "src_ip", *SCAN_COLUMNS, "_ts")
+              .groupBy(*_stream_scope(cfg))
+              .applyInPandasWithState(_scan_state(cfg), COUNT_SCHEMA, SCAN_STATE, "append",
                                       GroupStateTimeout.EventTimeTimeout))
     return sc.scan_findings(None, cfg, counts=counts)
 
@@ -115,17 +141,38 @@ def alert_sink(table: str, notify: Callable[[list[dict]], None] | None = None,
 
 def run_detection_to_end(spark: SparkSession, flows_dir: str, alerts_table: str, checkpoint: str,
                          rules: list[Rule], cfg: DetectionConfig = DEFAULT_CONFIG,
-                         notify: Callable[[list[dict]], None] | None = None) -> DataFrame:
+                         notify: Callable[[list[dict]], None] | None = None,
+                         lateness_s: int | None = None, allow_late: bool = False,
+                         max_files_per_trigger: int | None = None) -> DataFrame:
     """Second query over the flow table written by the flow stream: rules + scan state ->
-    alerts appended by ``foreachBatch``. Returns the alert table."""
-    flows = spark.readStream.schema(FLOWS).parquet(flows_dir)
-    findings = fd.union_findings(stream_rule_findings(flows, rules), stream_scan_findings(flows, cfg))
+    alerts appended by ``foreachBatch``. Returns the alert table.
+
+    ``lateness_s`` (idle and active limit and ten minutes, if not given) is how far a flow's
+    ``last_seen`` may lie behind the newest one of earlier micro-batches; later flows raise
+    ``LateRows`` unless ``allow_late``. The flushing flow is a second source of the scan state only."""
+    if lateness_s is None:
+        lateness_s = (cfg.idle_us + cfg.active_us) // 1_000_000 + 600
+    end_dir = checkpoint.rstrip("/") + "-end"
+    spark.createDataFrame([], SCAN_INPUT).write.mode("append").parquet(end_dir)
+    reader = spark.readStream.schema(FLOWS)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    flows = reader.parquet(flows_dir)
+    seen = flows.select("capture_id", "src_ip", *SCAN_COLUMNS).unionByName(
+        spark.readStream.schema(SCAN_INPUT).parquet(end_dir))
+    findings = fd.union_findings(stream_rule_findings(flows, rules),
+                                 stream_scan_findings(seen, cfg, f"{int(lateness_s)} seconds"))
     alerts = fd.alerts_from_findings(findings)
-    q = (alerts.writeStream.foreachBatch(alert_sink(alerts_table, notify))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    writer = (alerts.writeStream.foreachBatch(alert_sink(alerts_table, notify))
+              .option("checkpointLocation", checkpoint))
+    progress: list[dict] = []
+    run_available(spark, writer, progress)
+    newest = spark.read.schema(FLOWS).parquet(flows_dir).agg(F.max("last_seen_us")).first()[0] or 0
+    end_us = int(newest) + cfg.window_us + (int(lateness_s) + 10) * 1_000_000
+    spark.createDataFrame([("__end__", "0.0.0.0", "", "0.0.0.0", 0, 0, 0, end_us)], SCAN_INPUT).write.mode("append").parquet(end_dir)
+    run_available(spark, writer, progress)  # moves the watermark past every flow
+    run_available(spark, writer, progress)  # a batch in which the last windows are counted
+    check_late(progress, allow_late)
     return spark.read.parquet(alerts_table).drop("batch_id")
 
 

@@ -6,11 +6,11 @@ in arrival order *before* its timer (a packet arriving exactly at the idle or ac
 opens a new flow, like the batch form); FIN/RST closes the flow with the packet. The
 event-time timer is the earlier of ``last + idle`` and ``first + active``; it fires once the
 watermark passes it, so the stream emits the same flows as the batch sessionizer on
-in-order input. Rows older than the watermark are dropped by Spark and counted in
-``numRowsDroppedByWatermark`` (the watermark delay is the lateness budget).
+input whose disorder stays within the watermark delay (the lateness). Spark leaves out older
+rows and counts them in ``numRowsDroppedByWatermark``; ``run_to_end`` raises on them.
 
-The flush at end of input (T3op) is a sentinel packet far in the future: it moves the
-watermark past every timer. ``run_to_end`` drives a file source to completion that way.
+The flush at end of input (T3op) is a sentinel packet far in the future, in a second source
+beside the checkpoint: it moves the watermark past every timer.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowsift.config import DEFAULT_CONFIG, FLAG_LETTERS, DetectionConfig
@@ -143,34 +144,62 @@ def sentinel_packet(spark: SparkSession, after_us: int, capture_id: str = "__end
         [(capture_id, 0, after_us, "0.0.0.0", "0.0.0.0", 0, None, None, 0, None, None, 0)], PACKETS)
 
 
+class LateRows(RuntimeError):
+    """Rows came later than the lateness allows and were left out of the result."""
+
+
+def run_available(spark: SparkSession, writer: DataStreamWriter, progress: list[dict]) -> None:
+    """One ``availableNow`` run of a stream writer; the progress reports of all its micro-batches are
+    added to ``progress``."""
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, 1_000_000)
+    try:
+        q = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(kept, before)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    progress.extend(dict(p) for p in q.recentProgress)
+
+
+def check_late(progress: list[dict], allow_late: bool) -> None:
+    from flowsift.streaming.progress import counters
+
+    late = counters(progress)["dropped_late"]
+    if late and not allow_late:
+        raise LateRows(f"{late} rows were later than the stream's lateness; give a larger lateness_s")
+
+
 def run_to_end(spark: SparkSession, packets_dir: str, out_dir: str, checkpoint: str,
                cfg: DetectionConfig = DEFAULT_CONFIG, end_us: int | None = None,
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    """Drive the flow stream over a folder of packet files to completion (availableNow),
-    append a sentinel so every open flow is flushed, and return the flows written."""
+               max_files_per_trigger: int | None = None, lateness_s: int = 600, allow_late: bool = False,
+               progress: list[dict] | None = None) -> DataFrame:
+    """Drive the flow stream over a folder of packet files to completion (availableNow), flush
+    every open flow, and return the flows written.
+
+    ``lateness_s`` is how far a packet's time may lie behind the newest one of earlier micro-batches;
+    later packets raise :class:`LateRows` unless ``allow_late``. The flushing sentinel is a second
+    source beside the checkpoint: the input folder is only read. Progress reports are added to
+    ``progress`` (G11 counters: ``flowsift.streaming.progress.counters``)."""
     from flowsift.schemas import PACKETS
-
     from flowsift.sources.packets import stream_packets
 
+    end_dir = checkpoint.rstrip("/") + "-end"
+    spark.createDataFrame([], PACKETS).write.mode("append").parquet(end_dir)
     src = stream_packets(spark, packets_dir, max_files_per_trigger=max_files_per_trigger)
-    flows = stream_flows(src, cfg)
-
-    progress: list[dict] = []
-
-    def run_once():
-        q = (flows.writeStream.format("parquet").option("path", out_dir)
-             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
-        progress.extend(dict(p) for p in q.recentProgress)
-
-    run_once()
+    src = src.unionByName(stream_packets(spark, end_dir))
+    flows = stream_flows(src, cfg, f"{int(lateness_s)} seconds")
+    writer = (flows.writeStream.format("parquet").option("path", out_dir)
+              .option("checkpointLocation", checkpoint).outputMode("append"))
+    progress = [] if progress is None else progress
+    run_available(spark, writer, progress)
     if end_us is None:
         end_us = spark.read.schema(PACKETS).parquet(packets_dir).agg(F.max("ts_us")).first()[0] or 0
-    end_us = int(end_us) + cfg.active_us + cfg.idle_us + 10 * 1_000_000
-    sentinel_packet(spark, end_us).write.mode("append").parquet(packets_dir)
-    run_once()  # moves the watermark past every timer
-    run_once()  # a batch in which the timers fire
-    run_to_end.last_progress = progress  # G11 counters: flowsift.streaming.progress.counters
+    end_us = int(end_us) + cfg.active_us + cfg.idle_us + (int(lateness_s) + 10) * 1_000_000
+    sentinel_packet(spark, end_us).write.mode("append").parquet(end_dir)
+    run_available(spark, writer, progress)  # moves the watermark past every timer
+    run_available(spark, writer, progress)  # a batch in which the timers fire
+    check_late(progress, allow_late)
     return spark.read.parquet(out_dir).where(F.col("capture_id") != "__end__")

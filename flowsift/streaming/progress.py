@@ -2,7 +2,7 @@
 
 packets_seen = input rows over all progress reports; flows_emitted = rows written by the
 sink (None when the sink does not report it, as file sinks); active_flows = keys held in the flow tracker's state after the latest batch;
-dropped_late = rows dropped by the watermark (late packets are counted, never merged).
+dropped_late = rows dropped by the watermark (the ``run_*_to_end`` functions raise on them).
 """
 
 from __future__ import annotations

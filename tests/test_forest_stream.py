@@ -30,14 +30,16 @@ def test_stream_equals_batch(spark):
     p = make_packets(spark, demo_capture_rows(), capture_id="demo")
     pk = scratch_path(spark, "t-stream-pk")
     p.write.parquet(pk)
-    s = run_to_end(spark, pk, scratch_path(spark, "t-stream-out"), scratch_path(spark, "t-stream-ck"))
+    progress = []
+    s = run_to_end(spark, pk, scratch_path(spark, "t-stream-out"), scratch_path(spark, "t-stream-ck"), progress=progress)
+    assert spark.read.parquet(pk).count() == 90  # the input folder is only read
     cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
     b = fl.flows(p).select(*cols)
     s = s.select(*cols)
     assert s.count() == 26
     from flowsift.streaming.progress import counters
 
-    c = counters(run_to_end.last_progress)
+    c = counters(progress)
     assert c["packets_seen"] == 91 and c["dropped_late"] == 0  # 90 packets + the sentinel
     assert c["active_flows"] >= 0
     assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
@@ -93,3 +95,55 @@ def test_stream_state_across_micro_batches(spark):
     b = fl.flows(p).select(*cols)
     s = s.select(*cols)
     assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
+
+
+def test_stream_out_of_order_over_micro_batches(spark):
+    """Files whose times run backwards: within the lateness the flows equal batch, beyond it the run raises."""
+    import time as _time
+
+    import pytest
+
+    from flowsift.streaming.flows import LateRows, run_to_end
+
+    p = make_packets(spark, demo_capture_rows(), capture_id="demo")
+    p = p.withColumn("ts_us", F.when(F.col("pkt_idx") >= 45, F.col("ts_us") - 40_000_000).otherwise(F.col("ts_us")))
+    pk = scratch_path(spark, "t-stream-late")
+    for lo in range(0, 90, 23):
+        p.where((F.col("pkt_idx") >= lo) & (F.col("pkt_idx") < lo + 23)).coalesce(1).write.mode("append").parquet(pk)
+        _time.sleep(1.1)
+    args = lambda n: (spark, pk, scratch_path(spark, f"t-late-out{n}"), scratch_path(spark, f"t-late-ck{n}"))
+    s = run_to_end(*args(0), max_files_per_trigger=1, lateness_s=600)
+    cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
+    b, s = fl.flows(p).select(*cols), s.select(*cols)
+    assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
+    with pytest.raises(LateRows):
+        run_to_end(*args(1), max_files_per_trigger=1, lateness_s=0)
+
+
+def test_stream_scans_equal_batch_when_flows_come_late(spark):
+    """19 ports at 80 s and again at 100 s, then a 20th at 85 s in a later micro-batch; a second capture
+    with the same source stays apart."""
+    import time as _time
+
+    from flowsift.operators import scans as sc
+    from flowsift.schemas import FLOWS
+    from flowsift.streaming.alerts import run_detection_to_end
+
+    s = 1_000_000
+    seen = [("a", t * s, port) for t in (80, 100) for port in range(1, 20)] + [("b", 90 * s, p) for p in range(30, 42)]
+    rows = [(c, f"{c}-{i}", t, port) for i, (c, t, port) in enumerate(seen)] + [("a", "late", 85 * s, 20)]
+    named = {f.name: f.dataType for f in FLOWS.fields}
+    base = spark.createDataFrame(rows, "capture_id string, flow_id string, last_seen_us long, dst_port int").select(
+        "*", F.lit("10.0.0.1").alias("src_ip"), F.lit("10.0.0.2").alias("dst_ip"), F.lit(999).alias("src_port"),
+        F.lit(6).alias("protocol"), F.col("last_seen_us").alias("first_pkt_idx"))
+    flows = base.select(*[(F.col(c) if c in base.columns else F.lit(None)).cast(t).alias(c) for c, t in named.items()])
+    path = scratch_path(spark, "t-scan-late")
+    for part in (F.col("flow_id") != "late", F.col("flow_id") == "late"):
+        flows.where(part).coalesce(1).write.mode("append").parquet(path)
+        _time.sleep(1.1)
+    got = run_detection_to_end(spark, path, scratch_path(spark, "t-scan-alerts"), scratch_path(spark, "t-scan-ck"), [],
+                               max_files_per_trigger=1)
+    want = sc.scan_findings(flows)
+    assert want.count() == 20
+    key = ["src_ip", "dst_port", "rule_id", "description"]
+    assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
