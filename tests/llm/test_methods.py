@@ -197,21 +197,14 @@ def test_every_query_runs_and_sql_matches(spark):
 
 def test_packing_words_equal_whole_tokenizer():
     """Words cut here give the ids of the whole text: marks, contractions, digits, case, other scripts."""
-    import random
-
-    import numpy as np
-
-    from flowsift.llm.packing import Words, _split
-    from flowsift.llm.queries import tokenizer_path
-
-    words = Words(tokenizer_path())
+    words = packing.Words(tokenizer_path())
     assert words.known
     r = random.Random(3)
     letters = "abcZQ'sdtlrevm019.,!\"#<|>éİΣςσßЖжñ中文あ한́ \x1c\x85-_ ǅŉªԱ\U0001f642­ﬁ"
     texts = ["".join(r.choices(letters, k=r.randint(0, 40))) for _ in range(3000)]
     texts += ["", "don't 'tis WE'LL!", "a<|endoftext|>B C", "été, naïve...", "x" * 3000]
     for text in texts:
-        split = _split(text.encode())
+        split = packing._split(text.encode())
         words.learn(set(split))
         whole = words.tokenizer.encode(text, add_special_tokens=False).ids
         assert b"".join(words[w] for w in split) == np.array(whole, dtype="<u4").tobytes(), text
