@@ -12,12 +12,11 @@ share a band are candidates, and a link needs its exact similarity on the full s
 1. For every candidate, the shingles that no other candidate has are counted. Each bucket's hub is
    the member with the smallest share of them (the one closest to a common original), and every
    member is compared with its hub only.
-2. Buckets whose members now lie in several components choose a second hub, at random, among the
-   members outside the largest component; those are compared with it (clusters of cut-off copies,
-   say, which are close to each other but not to the original).
-3. Of buckets still open, the members outside the largest component are compared with the members of
-   other components, save where the shingles that a set has alone already rule out the similarity
-   (an exact bound). After that each candidate pair is compared, connected or ruled out, so the
+2. The members of buckets that still hold several components are compared across components by
+   prefixes: with shingles in one order, rare ones first, two sets of the wanted similarity share one
+   among the first fifth of each (an exact bound, as are the size and place filters beside it). So
+   documents that share a frequent passage, and bands by it, but are too different for a link do not
+   meet in pairs. After that each candidate pair is compared, connected or ruled out, and the
    components are those of all candidate pairs.
 
 Defined cases: null, empty and shorter texts as the query contract says; rows without an id take no
@@ -32,10 +31,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import scratch
-from .graph import components
+from .graph import components, extended
 from .hashing import U, WordHashes, constants, mix, split_words, windows
 
 PERMUTATIONS = 50
@@ -51,6 +51,11 @@ def shingles(text: str | None, k: int, words: WordHashes) -> np.ndarray:
     return np.unique(windows(h, k) if len(h) >= k else windows(h, len(h), seed=len(h) + 1))
 
 
+def set_key(s: np.ndarray) -> bytes | None:
+    """128-bit name of a shingle set."""
+    return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
+
+
 def min_max(s: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smallest and largest hash of the set under each permutation, in slices of bounded size."""
     low = np.full(len(factors), ~U(0), dtype=U)
@@ -84,7 +89,7 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str, permutations
             for text in b.column(1).to_pylist():
                 s = shingles(text, k, words)
                 n.append(len(s))
-                keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                keys.append(set_key(s))
                 out.append(bands(*min_max(s, factors)).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64()))],
@@ -116,33 +121,61 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return scratch(p.mapInArrow(exact, "a long, b long"), "near-links")
 
 
-def own_shingles(texts: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, own): size of each candidate's set, and how many of its shingles no other
-    candidate has. One aggregation by shingle, combined on the map side."""
+def shingle_rows(texts: DataFrame, k: int) -> DataFrame:
+    """(doc_id, t, n, s): one row for each distinct shingle of each text, with the set's name and size."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for b in batches:
-            s = [shingles(x, k, words).view(np.int64) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.list_(pa.int64()))], ["doc_id", "s"])
+            s = [shingles(x, k, words) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([set_key(x) for x in s], pa.binary()), pa.array([len(x) for x in s], pa.int64()),
+                 pa.array([x.view(np.int64) for x in s], pa.list_(pa.int64()))], ["doc_id", "set_key", "n", "s"])
 
-    each = texts.mapInArrow(sets, "doc_id long, s array<long>").select("doc_id", F.explode("s").alias("s"))
-    seen = each.groupBy("s").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"))
-    by_doc = seen.where("low = top").groupBy(F.col("low").alias("doc_id")).agg(F.count(F.lit(1)).alias("own"))
-    sizes = texts.mapInArrow(sets, "doc_id long, s array<long>").groupBy("doc_id").agg(F.max(F.size("s")).alias("n"))
-    return sizes.join(by_doc, "doc_id", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n"), F.coalesce("own", F.lit(0)).alias("own"))
+    d = texts.mapInArrow(sets, "doc_id long, set_key binary, n long, s array<long>")
+    return d.select("doc_id", F.xxhash64("set_key").alias("t"), "n", F.explode("s").alias("s"))
 
 
-def open_buckets(members: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Members (with ``part``, their component so far) of buckets with several components, and each
-    such bucket's largest one (``main``). Members whose set has too many shingles of its own for any
-    link leave: no pair can share more than what is found elsewhere of either set."""
+def own_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """(t, own): how many shingles a candidate set has that no other has (none: no row). One
+    aggregation by shingle, combined on the map side."""
+    seen = shingle_rows(texts, k).groupBy("s").agg(F.min("t").alias("low"), F.max("t").alias("top"))
+    return seen.where("low = top").groupBy(F.col("low").alias("t")).agg(F.count(F.lit(1)).alias("own"))
+
+
+def open_members(members: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, part) of the members of buckets with several components (``part``: the component so
+    far). Members whose set has too many shingles of its own for any link leave: no pair can share
+    more than what is found elsewhere of either set."""
     m = members.join(label, members.rep == label.node, "left").select(
         "band", "rep", "n", "own", F.coalesce("component", "rep").alias("part"))
     m = m.where(F.col("n") * percent <= (F.col("n") - F.col("own")) * 100)
-    sizes = m.groupBy("band", "part").agg(F.count(F.lit(1)).alias("c"))
-    largest = sizes.groupBy("band").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    return scratch(m.join(largest.where("parts > 1").select("band", "main"), "band"), "near-open")
+    several = m.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("top")).where("low < top")
+    m = m.join(several.select("band"), "band", "left_semi")
+    return m.select(F.col("rep").alias("doc_id"), "part").distinct()
+
+
+def prefix_pairs(open_docs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``open_docs`` from different components that can still have the similarity.
+
+    A shingle's frequency and name give the order; ``place`` counts from 1 and includes the shingles
+    found in one set only, which come first and never match. For each shingle the members of its most
+    frequent component meet the others only, never each other."""
+    each = scratch(shingle_rows(texts.join(open_docs, "doc_id", "left_semi"), k), "near-open-shingles")
+    often = each.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    order = W.partitionBy("doc_id", "t")
+    p = each.join(often, "s").join(open_docs, "doc_id")
+    p = p.withColumn("place", F.row_number().over(order.orderBy("c", "s")) + F.col("n") - F.count(F.lit(1)).over(order))
+    p = p.where((F.col("n") - F.col("place") + 1) * 100 >= F.col("n") * percent)
+    p = scratch(p.select("s", "doc_id", "n", "part", "place"), "near-prefixes")
+    by_part = p.groupBy("s", "part").agg(F.count(F.lit(1)).alias("c"))
+    main = by_part.groupBy("s").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    p = p.join(main.where("parts > 1").select("s", "main"), "s")
+    rest = p.where("part <> main").select("s", F.col("doc_id").alias("r"), F.col("part").alias("rp"), F.col("n").alias("rn"),
+                                          F.col("place").alias("rplace"))
+    most = F.least(F.col("n") - F.col("place"), F.col("rn") - F.col("rplace")) + 1
+    pairs = rest.join(p, "s").where((F.col("rp") != F.col("part")) & (
+        most * 100 >= (F.col("n") + F.col("rn") - most) * percent))
+    return pairs.select(F.least("r", "doc_id").alias("a"), F.greatest("r", "doc_id").alias("b")).distinct()
 
 
 def near_dups(docs: DataFrame, k: int = 5, percent: int = 80, permutations: int = PERMUTATIONS,
@@ -152,7 +185,7 @@ def near_dups(docs: DataFrame, k: int = 5, percent: int = 80, permutations: int
     reps = signed.where("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     reps = scratch(reps, "near-classes")
     buckets = signed.join(reps, [signed.set_key == reps.set_key, signed.doc_id == reps.rep], "left_semi")
-    buckets = buckets.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("band"))
+    buckets = buckets.select(F.col("doc_id").alias("rep"), F.xxhash64(signed.set_key).alias("t"), "n", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("top")).where("low < top")
     members = scratch(buckets.join(shared.select("band"), "band"), "near-buckets")
     # the texts that any candidate pair can need, moved once
@@ -161,29 +194,17 @@ def near_dups(docs: DataFrame, k: int = 5, percent: int = 80, permutations: int
     texts = scratch(texts.join(ids, "doc_id", "left_semi"), "near-texts")
 
     own = scratch(own_shingles(texts, k), "near-own")
-    members = members.join(own, members.rep == own.doc_id).drop("doc_id")
+    members = members.join(own, "t", "left").select("band", "rep", "n", F.coalesce("own", F.lit(0)).alias("own"))
     hubs = members.groupBy("band").agg(F.min_by("rep", F.struct(F.col("own") / F.col("n"), "rep")).alias("hub"))
     members = scratch(members.join(hubs, "band"), "near-buckets")
     first = scratch(members.where("rep <> hub").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
                     .distinct(), "near-pairs")
-    links = verify(first, texts, k, percent)
-    members = members.drop("hub")
-
-    rest = open_buckets(members, components(links), percent).where("part <> main")
-    hubs = rest.groupBy("band").agg(F.min_by("rep", F.xxhash64("band", "rep")).alias("hub"))
-    second = rest.join(hubs, "band").where("rep <> hub").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
-    second = scratch(second.distinct().join(first, ["a", "b"], "left_anti"), "near-pairs")
-    links = links.unionByName(verify(second, texts, k, percent))
-
-    m = open_buckets(members, components(links), percent)
-    rest = m.where("part <> main").select("band", F.col("rep").alias("r"), F.col("part").alias("p"),
-                                          F.col("n").alias("rn"), F.col("own").alias("ro"))
-    most = F.least(F.col("n") - F.col("own"), F.col("rn") - F.col("ro"))
-    third = rest.join(m, "band").where((F.col("p") != F.col("part")) & (most * 100 >= (F.col("n") + F.col("rn") - most) * percent))
-    third = third.select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b"))
-    third = scratch(third.distinct().join(first.unionByName(second), ["a", "b"], "left_anti"), "near-pairs")
-    links = links.unionByName(verify(third, texts, k, percent))
-    label = components(links)
+    label = components(verify(first, texts, k, percent))
+
+    open_docs = scratch(open_members(members, label, percent), "near-open")
+    if not open_docs.isEmpty():
+        pairs = prefix_pairs(open_docs, texts, k, percent).join(first, ["a", "b"], "left_anti")
+        label = extended(label, verify(scratch(pairs, "near-pairs"), texts, k, percent))
 
     reps = reps.join(label, reps.rep == label.node, "left").select(
         "set_key", F.coalesce("component", "rep").alias("component_id"))
