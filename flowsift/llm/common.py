@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, once executors can import this package: to be called before a Python function for them is made."""
+    ship_package(df.sparkSession)
+    return df
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a zstd Parquet table in the shared checkpoint folder and read back:
     cuts lineage, survives lost executors, and later stages never repeat the work above it."""

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, shipped
 from .graph import components, extended
 from .hashing import U, WordHashes, constants, mix, split_words, windows
 
@@ -95,7 +95,7 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str, permutations
                 [b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64()))],
                 ["doc_id", "n", "set_key", "bands"])
 
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    d = shipped(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return d.mapInArrow(sign, "doc_id long, n long, set_key binary, bands array<long>")
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, shipped
 from .hashing import U, mix
 from .hilbert import hilbert_keys, to_cells
 
@@ -183,7 +183,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: st
                     [pa.array(itertools.islice(rows, part.num_rows), pa.int64()), part.column(0), pa.array(n, pa.int64()),
                      pa.array(v, pa.list_(pa.float64())), pa.array(ids, pa.binary())], ["row", "doc_id", "n", "v", "ids"])
 
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    d = shipped(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return scratch(d.mapInArrow(read, "row long, doc_id long, n long, v array<double>, ids binary"), "pack-ids")
 
 

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, doc_key, join_key, scratch
+from .common import KEY, doc_key, join_key, scratch, shipped
 from .hashing import U, WordHashes, constants, mix, split_words, windows
 
 WIDTH = 50
@@ -250,7 +250,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     """(id, n_words, n_removed, sha, kept) for each row of ``docs``: ``sha`` is the SHA-256 of the
     kept words joined by one space; ``kept`` is that string where words were removed, else null (the
     text's own words stand)."""
-    keyed = docs.select(*doc_key(F.col(id_col), F.col(text_col)), F.col(text_col).cast("string").alias("text"))
+    keyed = shipped(docs).select(*doc_key(F.col(id_col), F.col(text_col)), F.col(text_col).cast("string").alias("text"))
     scanned = scratch(scan(keyed, width), "rep-symbols")
     rows = scanned.where("sha is not null").select("row", *KEY, "n", "sha")
     runs = scanned.where("name is not null").select("row", F.col("k_id").alias("doc_id"), "name", "u1", "u2", "first", "count")

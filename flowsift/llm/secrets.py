@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, shipped
 
 # The contract's patterns, kinds in listed order.
 KINDS = ("assign", "access", "hex", "random")
@@ -139,7 +139,7 @@ SCANNED = ("doc_id long, base array<struct<start:long,kind:int,stop:long>>, "
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: float = FDR) -> DataFrame:
     """(id, base, found): arrays of spans (start, kind, stop) in code points, end exclusive; ``base``
     by the patterns, ``found`` the tokens that the battery adds. One row for each row of ``docs``."""
-    counts = character_counts(docs, text_col)
+    counts = character_counts(shipped(docs), text_col)
     span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("stop", pa.int64())]))
     token = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("length", pa.int32()), ("e", pa.int32()), ("random", pa.bool_())]))
 

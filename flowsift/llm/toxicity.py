@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, shipped
 
 MAX_ROWS = 16_384
 MAX_WORDS = 2_048
@@ -125,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ws, pa.list_(pa.string())), pa.array(sentences, pa.list_(pa.string()))],
                                              ["y", "ws", "sentences"])
 
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    d = shipped(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sample = d.join(known, "id").select("y", "text").mapInArrow(read, "y int, ws array<string>, sentences array<string>")
     sample = scratch(sample, "toxic-sample")
     n, toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
@@ -152,6 +152,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the model's score of every whole text."""
+    shipped(docs)
+
     @F.pandas_udf("double")
     def scores(texts):
         return texts.map(lambda x: model.score(x if isinstance(x, str) else None))
