@@ -84,6 +84,17 @@ def test_components_of_a_path(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_components_extended_by_links(spark):
+    """Further links join components, and nodes that no link had touched before."""
+    from flowsift.llm.graph import components, extended
+
+    label = components(spark.createDataFrame([(1, 2), (3, 4), (4, 5), (8, 9)], "a long, b long"))
+    more = spark.createDataFrame([(5, 2), (7, 9), (20, 21), (4, 3)], "a long, b long")
+    got = {r.node: r.component for r in extended(label, more).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 7: 7, 8: 7, 9: 7, 20: 20, 21: 20}
+    assert {r.node: r.component for r in extended(label, more.limit(0)).collect()} == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3, 8: 8, 9: 8}
+
+
 def test_water_filling_and_takes(spark):
     rows = [(i, "w " * n, s) for i, (s, n) in enumerate([("a", 10), ("b", 400), ("b", 100), ("c", 30), (None, 60)] * 3)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
