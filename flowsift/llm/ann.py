@@ -5,6 +5,11 @@ vectors by Hilbert key. Each order is range-partitioned in Spark and cut into bl
 compared with the two neighbouring blocks in whose middle it lies, which are its key window. Windows
 of all curves merge and the best are kept, by exact inner products in double precision.
 
+The windows are a fixed number of rows, so what they find is only a lower bound for each query's last
+score. A sweep then compares the queries with the rest of the table, piece by piece along the first
+curve, leaving out a piece only where its centre and radius prove that no inner product in it reaches
+that score. So the result is exact at every table size.
+
 Equal vectors are one entry (with the ``k + 1`` smallest ids, more can never be returned), so a
 vector that a third of all rows share costs one place in an order and one search.
 
@@ -30,6 +35,8 @@ from .hilbert import hilbert_keys, to_cells
 
 CURVES, DIMENSIONS, BITS = 16, 4, 8
 BLOCK = 3072
+#: The sweep: entries that meet in one task from either side, and entries under one bound.
+SIDE, PIECE = 4096, 256
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -101,9 +108,8 @@ def ordered(entries: DataFrame, curves: int, seed: int) -> DataFrame:
     return k.join(entries.select("h1", "h2", "v", "asked"), ["h1", "h2"])
 
 
-def search(entries: DataFrame, k: int, curves: int, block: int, seed: int) -> DataFrame:
+def search(o: DataFrame, k: int, block: int) -> DataFrame:
     """(q1, q2, h1, h2, score): for each asked entry the k + 1 best entries of each of its windows."""
-    o = ordered(entries, curves, seed)
     half = F.col("place") % block < block // 2
     b = F.floor(F.col("place") / block)
     # group g holds blocks g and g + 1; a query asks the group in whose middle it lies
@@ -132,20 +138,83 @@ def search(entries: DataFrame, k: int, curves: int, block: int, seed: int) -> Da
         best, "q1 long, q2 int, h1 long, h2 int, score double")
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, curves: int = CURVES, block: int = BLOCK, seed: int = 5,
-            id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, id, score) of the ``k`` nearest found; ``is_query`` is over the column ``id``."""
-    rows = scratch(usable(vectors, id_col, vec_col), "ann-rows")
-    entries = scratch(classes(rows, k, is_query), "ann-entries")
-    found = search(entries, k, curves, block, seed).groupBy("q1", "q2", "h1", "h2").agg(F.max("score").alias("score"))
-    ids = entries.select("h1", "h2", "ids")
+def best_rows(found: DataFrame, entries: DataFrame, k: int) -> DataFrame:
+    """(q1, q2, near): of the pairs found, the k + 1 best rows of each asked vector, in order."""
+    found = found.groupBy("q1", "q2", "h1", "h2").agg(F.max("score").alias("score"))
     first = F.row_number().over(W.partitionBy("q1", "q2").orderBy(F.desc("score"), F.get("ids", F.lit(0))))
-    found = found.join(ids, ["h1", "h2"]).withColumn("r", first).where(F.col("r") <= k + 1)
+    found = found.join(entries.select("h1", "h2", "ids"), ["h1", "h2"]).withColumn("r", first).where(F.col("r") <= k + 1)
     # of the best entries, the best rows: one list of at most k + 1 for each asked vector
     found = found.select("q1", "q2", "score", F.explode("ids").alias("id"))
     first = F.row_number().over(W.partitionBy("q1", "q2").orderBy(F.desc("score"), "id"))
     found = found.withColumn("r", first).where(F.col("r") <= k + 1)
-    found = found.groupBy("q1", "q2").agg(F.array_sort(F.collect_list(F.struct("r", "id", "score"))).alias("near"))
+    return found.groupBy("q1", "q2").agg(F.array_sort(F.collect_list(F.struct("r", "id", "score"))).alias("near"))
+
+
+def sweep(line: DataFrame, near: DataFrame, entries: DataFrame, k: int, side: int) -> DataFrame:
+    """(q1, q2, h1, h2, score): every entry whose score reaches the last of an asked entry's ``near``, at
+    most k + 1 for each ``side`` entries of ``line`` (place, h1, h2, v, asked). Pieces are left out by proof only."""
+    least = F.when(F.size("near") > k, F.element_at("near", -1)["score"]).otherwise(float("-inf"))
+    line = line.withColumn("side", F.floor(F.col("place") / side))
+    counts = line.groupBy("side").agg(F.count_if("asked").alias("n"))  # a row for each side
+    before = F.sum("n").over(W.orderBy("side")) - F.col("n")
+    groups = scratch(counts.select("side", F.floor(before / side).alias("g")), "ann-groups")
+    asked = line.where("asked").join(near.select(F.col("q1").alias("h1"), F.col("q2").alias("h2"), least.alias("least")),
+                                     ["h1", "h2"], "left").join(groups, "side")
+    asked = asked.select("g", "h1", "h2", "v", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
+    asked = asked.join(groups.select("side").distinct()).toDF("g", "h1", "h2", "v", "least", "side")  # new names for the cogroup
+    held = line.join(entries.select("h1", "h2", F.get("ids", F.lit(0)).alias("id")), ["h1", "h2"])
+    held = held.select("side", "place", "h1", "h2", "v", "id").join(groups.select("g").distinct())
+
+    def reach(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        """At most 2 * side queries and side entries, whatever the table's size."""
+        out = {"q1": [], "q2": [], "h1": [], "h2": [], "score": []}
+        if len(q) and len(x):
+            x = x.sort_values("place")
+            v, h1, h2, id_ = np.stack(x["v"]), x["h1"].to_numpy(), x["h2"].to_numpy(), x["id"].to_numpy()
+            for at in range(0, len(q), 1024):
+                part = q.iloc[at: at + 1024]
+                w, q1, q2 = np.stack(part["v"]), part["h1"].to_numpy(), part["h2"].to_numpy()
+                norm = np.linalg.norm(w, axis=1)
+                # sums of another order differ in the last places
+                least = part["least"].to_numpy() - 1e-9 * norm * np.linalg.norm(v, axis=1).max()
+
+                def first_of(i: np.ndarray, j: np.ndarray, score: np.ndarray) -> tuple:
+                    """The k + 1 best of each query, ties to the smaller id."""
+                    by = np.lexsort((id_[j], -score, i))
+                    i, j, score = i[by], j[by], score[by]
+                    few = np.arange(len(i)) - np.searchsorted(i, i) <= k
+                    return i[few], j[few], score[few]
+
+                hits = []
+                for p in range(0, len(v), PIECE):
+                    piece = v[p: p + PIECE]
+                    centre = piece.mean(axis=0)
+                    radius = np.linalg.norm(piece - centre, axis=1).max()
+                    open_ = np.flatnonzero(w @ centre + norm * radius >= least)
+                    score = w[open_] @ piece.T
+                    i, j = np.nonzero(score >= least[open_, None])
+                    hits.append((open_[i], p + j, score[i, j]))
+                    if sum(len(z[0]) for z in hits) > 64 * PIECE * (k + 1):  # a low bound lets much through
+                        hits = [first_of(*(np.concatenate(y) for y in zip(*hits)))]
+                i, j, score = first_of(*(np.concatenate(y) for y in zip(*hits)))
+                for c, a in zip(out, (q1[i], q2[i], h1[j], h2[j], score)):
+                    out[c].append(a)
+        return pd.DataFrame({c: np.concatenate(a) if a else [] for c, a in out.items()})
+
+    return asked.groupBy("g", "side").cogroup(held.groupBy("g", "side")).applyInPandas(
+        reach, "q1 long, q2 int, h1 long, h2 int, score double")
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, curves: int = CURVES, block: int = BLOCK, seed: int = 5,
+            id_col: str = "vec_id", vec_col: str = "embedding", side: int = SIDE) -> DataFrame:
+    """(query_id, rank, id, score) of the ``k`` nearest; ``is_query`` is over the column ``id``."""
+    rows = scratch(usable(vectors, id_col, vec_col), "ann-rows")
+    entries = scratch(classes(rows, k, is_query), "ann-entries")
+    o = ordered(entries, curves, seed)
+    found = scratch(search(o, k, block), "ann-windows")
+    line = scratch(o.where("curve = 0").drop("curve"), "ann-line")
+    rest = sweep(line, best_rows(found, entries, k), entries, k, side)
+    found = best_rows(found.unionByName(rest), entries, k)
     q = rows.where(is_query).select("id", F.col("h1").alias("q1"), F.col("h2").alias("q2")).join(found, ["q1", "q2"])
     near = F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k)
     q = q.select(F.col("id").alias("query_id"), F.posexplode(near).alias("at", "x"))

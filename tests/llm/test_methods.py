@@ -144,6 +144,19 @@ def test_ann_recall(spark):
     assert np.mean([len(got[50 * i] & set(b)) / 20 for i, b in enumerate(best.tolist())]) >= 0.9
 
 
+def test_ann_exact_beyond_the_windows(spark):
+    """Isotropic vectors, which small windows lose: the sweep finds every neighbour, over several sides."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(3000, 32))
+    v = spark.createDataFrame([(i, [float(c) for c in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got: dict[int, list] = {}
+    for row in ann.nearest(v, F.col("id") % 20 == 0, curves=2, block=64, side=128).orderBy("query_id", "rank").collect():
+        got.setdefault(row.query_id, []).append(row.vec_id)
+    s = x[::20] @ x.T
+    s[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
+    assert [got[20 * i] for i in range(150)] == np.argsort(-s, axis=1)[:, :20].tolist()
+
+
 def test_license_blocks(spark):
     filler = " ".join(f"filler{i}" for i in range(300))
     notice = licenses.TEMPLATES["gpl-3.0-notice"].replace("program", "library")
