@@ -7,9 +7,10 @@ the sites are built per line and merged by the aggregation; lines whose estimate
 the limit than the sketch's error are decided by it, and near-threshold lines get exact distinct
 counts.
 
-A document loses its boilerplate lines if that takes at most half of its words. Otherwise it is a
-copy of something rather than a page with boilerplate, and is left whole to the near-duplicate
-stage; so no document is emptied.
+``clean`` (the pipeline) cuts them from every document that has a line of its own; a document of
+boilerplate alone is a copy of something rather than a page with boilerplate, and is left whole to
+the near-duplicate stage; so no document is emptied. ``line_dedup`` by itself follows the rule of its
+SQL twin: a document loses its boilerplate lines if that takes at most half of its words.
 
 Defined cases: null and empty texts have no lines and stay as they are; a null site is a site of
 its own; rows that agree in id and text are each cleaned; other columns pass through.
@@ -54,9 +55,10 @@ def boilerplate(lines: DataFrame, min_sites: int) -> tuple[DataFrame, DataFrame]
 
 
 def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text",
-               site_col: str = "source") -> DataFrame:
+               site_col: str = "source", spare_copies_only: bool = False) -> DataFrame:
     """``docs`` with ``_l_lines`` (lines), ``_l_boilerplate`` (boilerplate lines found) and
-    ``_l_kept`` (array of the lines that stay; null text: null)."""
+    ``_l_kept`` (array of the lines that stay; null text: null). With ``spare_copies_only`` a document
+    is spared only if it has no line of its own, else if boilerplate makes more than half of its words."""
     lines = scratch(line_table(docs, id_col, text_col, site_col), "lines")
     often, names = boilerplate(lines, min_sites)
     hits = often.join(names, LINE, "left_semi").groupBy(*KEY).agg(F.collect_set(F.struct("place", "n")).alias("_l_hits"))
@@ -66,7 +68,7 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_i
     raw = F.split(text, "\n")
     n_words: Column = F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), ""))
     lost = F.aggregate("_l_hits", F.lit(0), lambda a, x: a + x["n"])
-    cut = F.col("_l_hits").isNotNull() & (lost * 2 <= n_words)
+    cut = F.col("_l_hits").isNotNull() & ((lost < n_words) if spare_copies_only else (lost * 2 <= n_words))
     places = F.col("_l_hits.place")
     kept = F.when(cut, F.filter(raw, lambda x, i: ~F.array_contains(places, i))).otherwise(raw)
     return d.select("doc.*", F.coalesce(F.size(raw), F.lit(0)).alias("_l_lines"),
@@ -75,6 +77,7 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_i
 
 
 def clean(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` with the boilerplate lines cut from ``text_col``; all rows and columns stay."""
-    d = line_dedup(docs, text_col=text_col, **settings)
+    """``docs`` with the boilerplate lines cut from ``text_col`` wherever a document has lines of its own;
+    all rows and columns stay."""
+    d = line_dedup(docs, text_col=text_col, spare_copies_only=True, **settings)
     return d.withColumn(text_col, F.array_join("_l_kept", "\n")).select(*docs.columns)
