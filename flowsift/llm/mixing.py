@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import scratch, words
+from .common import KEY, doc_key, scratch, words
 
 #: Hex digits of the seeded hash that name a bucket: 65,536 buckets for each source.
 BUCKET_DIGITS = 4
@@ -60,10 +60,15 @@ def weigh(sources: DataFrame, weights: Sequence[int]) -> DataFrame:
 
 
 def sizes(docs: DataFrame, seed: int, id_col: str = "doc_id", text_col: str = "text",
-          source_col: str = "source") -> DataFrame:
-    """Narrow pass over the texts: (doc_id, source, size, key, bucket)."""
+          source_col: str = "source", by_text: bool = False) -> DataFrame:
+    """Narrow pass over the texts: (doc_id, source, size, key, bucket). The key is drawn from the id or,
+    with ``by_text``, from id and text, whose columns KEY are then added."""
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    own = doc_key(F.col(id_col), F.col(text_col)) if by_text else []
+    if by_text:
+        ident = F.concat_ws(":", ident, *[x.cast("string") for x in own[1:]])
     return docs.select(
+        *own,
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.size(words(F.col(text_col))).cast("long").alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), ident).cast("binary")).alias("key"),
@@ -72,14 +77,15 @@ def sizes(docs: DataFrame, seed: int, id_col: str = "doc_id", text_col: str = "t
 
 def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share_pct: int = 150, max_epochs: int = 2,
         seed: int = 17, whole: bool = False, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for each document.
+        source_col: str = "source", by_text: bool = False) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) for each document, with ``by_text`` KEY before.
 
     ``taken`` counts words, repeats included. The document at the cut gives the words still owed,
     so each source takes floor(target) words exactly; with ``whole`` it is taken entirely if at
-    least half of it is owed, else not at all (then ``taken`` is a multiple of ``size``).
+    least half of it is owed, else not at all (then ``taken`` is a multiple of ``size``). With
+    ``by_text`` rows that share an id, or have none, draw by their texts, each on its own.
     """
-    d = scratch(sizes(docs, seed, id_col, text_col, source_col), "mix-sizes")
+    d = scratch(sizes(docs, seed, id_col, text_col, source_col, by_text), "mix-sizes")
     by_bucket = d.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     by_bucket = scratch(by_bucket, "mix-buckets")
     sources = by_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
@@ -102,18 +108,21 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share_pct: int = 15
     extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before")))
     if whole:
         extra = F.when((extra > 0) & (extra * 2 >= F.col("size")), F.col("size")).otherwise(0)
-    return d.select("doc_id", "source", "size", "source_size", "target",
+    return d.select(*(KEY if by_text else []), "doc_id", "source", "size", "source_size", "target",
                     (F.col("reps") * F.col("size") + extra).cast("long").alias("taken"))
 
 
-def materialize_mix(docs: DataFrame, **settings) -> DataFrame:
+def materialize_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    **settings) -> DataFrame:
     """The mixed documents themselves: each row of ``docs`` as often as the mix takes it (whole
-    documents). Rows that share id and source with different texts share the mean of their takes,
-    rounded; with unique ids, as in any corpus, that is the document's own take."""
-    taken = mix(docs, whole=True, **settings)
-    taken = taken.groupBy("doc_id", "source").agg(
-        F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("__times"))
-    d = docs.join(taken, docs.doc_id.eqNullSafe(taken.doc_id) & docs.source.eqNullSafe(taken.source), "inner")
-    keep = [docs[c] for c in docs.columns]
-    d = d.select(*keep, F.col("__times")).where(F.col("__times") > 0)
-    return d.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__copy")).drop("__copy")
+    documents). Rows draw by id and text, so null or shared ids change nothing; only rows equal in id,
+    text and source share a take, the mean of theirs, rounded."""
+    taken = mix(docs, whole=True, by_text=True, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
+    taken = taken.groupBy(*KEY, F.col("source").alias("k_source")).agg(
+        F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("times"))
+    taken = taken.where("times > 0").withColumnsRenamed({k: f"t_{k}" for k in [*KEY, "k_source"]})
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")  # its names clash with none
+    d = docs.select(whole, *doc_key(F.col(id_col), F.col(text_col)), F.col(source_col).cast("string").alias("k_source"))
+    same = [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in [*KEY, "k_source"]]
+    d = d.join(taken, same[0] & same[1] & same[2] & same[3])
+    return d.select("doc", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")
