@@ -1,7 +1,9 @@
 """Secret scan: stated patterns, and a randomness test battery for everything else.
 
 Beside three patterns (assignments, access keys, long hex), every token of 20 or more characters
-of a base64-like alphabet is a candidate. Its encoding is the smallest listed alphabet that holds
+of a base64-like alphabet is a candidate ('=' is padding and ends it, so a name before '=' is no part
+of it). A token that no listed alphabet holds mixes '+' or '/' with '-' or '_': its parts between the
+one pair and its parts between the other are candidates instead. Its encoding is the smallest listed alphabet that holds
 all its characters. Three tests ask whether the token can be uniformly random in that alphabet:
 chi-squared over the alphabet, Wald-Wolfowitz runs about the alphabet's middle, and lag-1 serial
 correlation. A token that fails none of them is weighed against ordinary text: e = the likelihood
@@ -37,7 +39,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # the runs of [0-9a-f]+ that have 32 characters
 MARKS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+#: Parts of a token that mixes the separators of both base64 forms.
+PARTS = (re.compile(r"[A-Za-z0-9+/]{20,}"), re.compile(r"[A-Za-z0-9_-]{20,}"))
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = (DIGITS + LOWER[:6], DIGITS + UPPER[:6], LOWER, UPPER, UPPER + "234567", DIGITS + LOWER, DIGITS + UPPER,
              UPPER + LOWER, UPPER + LOWER + DIGITS, UPPER + LOWER + DIGITS + "+/", UPPER + LOWER + DIGITS + "-_")
@@ -50,8 +54,8 @@ FDR = 1e-4
 
 
 def encoding(token: str) -> str | None:
-    """Smallest listed alphabet with all characters of the token (padding aside)."""
-    chars = set(token.rstrip("="))
+    """Smallest listed alphabet with all characters of the token."""
+    chars = set(token)
     return next((a for a in sorted(ALPHABETS, key=len) if chars <= set(a)), None) if chars else None
 
 
@@ -105,15 +109,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def candidates(text: str, counts: list[int]) -> list[tuple[int, int, int, int, bool]]:
     """(start, end, length class, eighths of log e, passes the battery) of each candidate token."""
-    out = []
+    spans: dict[tuple[int, int], str] = {}
     for m in CANDIDATE.finditer(text):
-        token = m[0].rstrip("=")
+        if encoding(m[0]) is not None:
+            spans[m.span()] = m[0]
+        else:
+            spans.update((x.span(), x[0]) for part in PARTS for x in part.finditer(text, *m.span()))
+    out = []
+    for (start, stop), token in sorted(spans.items()):
         alphabet = encoding(token)
-        if alphabet is None or len(token) < 20:
-            continue
         length = sum(len(token) > x for x in LENGTHS)
         e = min(BINS, max(0, int(8 * log_e(token, alphabet, counts))))
-        out.append((m.start(), m.start() + len(token), length, e, min(battery(token, alphabet)) >= MIN_P))
+        out.append((start, stop, length, e, min(battery(token, alphabet)) >= MIN_P))
     return out
 
 
@@ -158,6 +165,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     limits = thresholds(d.select(F.inline("tokens")), fdr)
     found = F.filter("tokens", lambda t: t["random"] & F.coalesce(
         *[F.when(t["length"] == k, t["e"] >= v) for k, v in limits.items()], F.lit(False)))
+    # of parts that lie one in the other, the outer one
+    found = F.filter(found, lambda t: ~F.exists(found, lambda o: (o["start"] <= t["start"]) & (o["stop"] >= t["stop"])
+                                               & (o["stop"] - o["start"] > t["stop"] - t["start"])))
     found = F.transform(found, lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["stop"].alias("stop")))
     return d.select(F.col("doc_id").alias(id_col), "base", found.alias("found"))
 
