@@ -3,7 +3,9 @@
 ``spark.read.format("pcap").load(dir_or_file)`` reads a folder of pcap / pcapng files:
 one input partition per file, records streamed with constant memory, header fields only
 (``struct.unpack``). Each frame becomes one packet row with ``capture_id`` = file path and
-``pkt_idx`` = ordinal in the file; frames without IPv4/IPv6 are skipped (P4). Protocol
+``pkt_idx`` = ordinal in the file; frames without IPv4/IPv6 are skipped (P4), a link type that
+is not known raises. pcapng packet blocks of types 6, 3 and 2 are read; a simple block (3) has no time
+of its own and takes that of the packet before it (0 if there is none). Protocol
 classification (P3): TCP 6, UDP 17, ICMPv4 1; ICMPv6, other protocols and non-first
 fragments 0. ``length`` is the captured frame length; TCP flags use the letter order
 F S R P A U E C N ("SA", "FA", "FPU" ...).
@@ -23,7 +25,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from flowsift.schemas import PACKETS
 
 FLAG_ORDER = "FSRPAUECN"
-ETH, RAW, LINUX_SLL, IPV4_LT, IPV6_LT = 1, 101, 113, 228, 229
+NULL, ETH, RAW, LOOP, LINUX_SLL, IPV4_LT, IPV6_LT, LINUX_SLL2 = 0, 1, 101, 108, 113, 228, 229, 276
+#: Address families of IP in loopback headers (IPv4; IPv6 of Linux, BSDs and macOS).
+IP_FAMILIES = (2, 10, 24, 28, 30)
 
 
 def _tcp_flags(bits: int) -> str:
@@ -88,9 +92,14 @@ def _l3_offset(linktype: int, buf: bytes) -> int | None:
         return off if etype in (0x0800, 0x86DD) else None
     if linktype == LINUX_SLL:
         return 16 if len(buf) >= 16 and struct.unpack_from("!H", buf, 14)[0] in (0x0800, 0x86DD) else None
+    if linktype == LINUX_SLL2:
+        return 20 if len(buf) >= 20 and struct.unpack_from("!H", buf, 0)[0] in (0x0800, 0x86DD) else None
+    if linktype in (NULL, LOOP):  # NULL: in the byte order of the capturing host
+        orders = ("!I",) if linktype == LOOP else ("<I", ">I")
+        return 4 if len(buf) >= 4 and any(struct.unpack_from(o, buf, 0)[0] in IP_FAMILIES for o in orders) else None
     if linktype in (RAW, IPV4_LT, IPV6_LT):
         return 0
-    return None
+    raise ValueError(f"link type {linktype} is not known")
 
 
 def _frames(f) -> Iterator[tuple[int, int, bytes]]:
@@ -119,7 +128,8 @@ def _frames(f) -> Iterator[tuple[int, int, bytes]]:
 
 def _pcapng(f, first4: bytes) -> Iterator[tuple[int, int, bytes]]:
     e = "<"
-    ifaces: list[tuple[int, int]] = []  # (linktype, ticks per second)
+    ifaces: list[tuple[int, int, int]] = []  # (linktype, ticks per second, snap length)
+    ts_us = 0
     block = first4
     while True:
         if block is None:
@@ -142,7 +152,7 @@ def _pcapng(f, first4: bytes) -> Iterator[tuple[int, int, bytes]]:
         body = f.read(blen - 8)
         block = None
         if btype == 1:  # interface description
-            lt = struct.unpack_from(e + "H", body, 0)[0]
+            lt, snap = struct.unpack_from(e + "HxxI", body, 0)
             tps, pos = 1_000_000, 8
             while pos + 4 <= len(body) - 4:
                 code, ln = struct.unpack_from(e + "HH", body, pos)
@@ -152,12 +162,19 @@ def _pcapng(f, first4: bytes) -> Iterator[tuple[int, int, bytes]]:
                     r = body[pos + 4]
                     tps = 2 ** (r & 0x7F) if r & 0x80 else 10 ** r
                 pos += 4 + ((ln + 3) // 4) * 4
-            ifaces.append((lt, tps))
-        elif btype == 6 and ifaces:  # enhanced packet
-            iface, hi, lo, cap = struct.unpack_from(e + "IIII", body, 0)
-            lt, tps = ifaces[iface] if iface < len(ifaces) else ifaces[0]
-            ticks = (hi << 32) | lo
-            yield lt, ticks * 1_000_000 // tps, body[20:20 + cap]
+            ifaces.append((lt, tps, snap))
+        elif btype in (2, 3, 6):  # packet (obsolete), simple packet, enhanced packet
+            iface = 0 if btype == 3 else struct.unpack_from(e + ("I" if btype == 6 else "H"), body, 0)[0]
+            if iface >= len(ifaces):
+                raise ValueError(f"packet block of interface {iface}, which is not described")
+            lt, tps, snap = ifaces[iface]
+            if btype == 3:
+                size = struct.unpack_from(e + "I", body, 0)[0]
+                yield lt, ts_us, body[4:-4][:min(size, snap or size)]
+                continue
+            hi, lo, cap = struct.unpack_from(e + "III", body, 4)
+            ts_us = ((hi << 32) | lo) * 1_000_000 // tps
+            yield lt, ts_us, body[20:20 + cap]
 
 
 def parse_capture(path: str) -> Iterator[tuple]:
