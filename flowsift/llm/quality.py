@@ -1,9 +1,9 @@
-"""Quality rules as a short-circuit cascade (native).
+"""Quality rules as an ordered cascade (native).
 
 Every rule is a reject condition over a text's statistics. ``plan`` times each rule and counts its
-rejections on a bounded sample; ``cascade`` then tests the rules one after another, the one with
-most rejections per second first, in a CASE that stops at the first rejection. The verdict does
-not depend on the order, only the cost does.
+rejections on a bounded sample; ``cascade`` then tests the rules in one CASE, the one with most
+rejections per second first. The order changes neither the verdict nor the work: all statistics are
+returned, so they are computed for every row, and the CASE compares finished numbers.
 
 Defined cases: a null or empty text has no words and no lines with words; repeated rows are judged
 alike; other columns pass through untouched (statistics carry the prefix ``_q_`` while they live).
