@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, licenses, linededup, mixing, neardup, packing, quality, recompress, secrets, toxicity
-from .common import table
+from . import ann, bpe, centroids, licenses, linededup, mixing, neardup, packing, quality, recompress, runs, secrets, toxicity
+from .common import table, words
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +93,45 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _spans(F.concat("base", "found")).alias("spans"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    d = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path).withColumn("ids_sha256", F.sha2("ids", 256)), path)
+    return d.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text), a tenth of them (by crc32 of the id) made periodic from some word on; rows without
+    an id stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    d = docs.select("doc_id", "text", words(F.col("text")).alias("w"), h.alias("h"))
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    at = (g % n).cast("int")
+    period = (1 + F.floor((n - at) / (3 + g % 8))).cast("int")
+    repeats = F.ceil((n - at) / period).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", at + 1, period), repeats)), F.lit(1), n - at)
+    text = F.array_join(F.concat(F.slice("w", F.lit(1), at), tail), " ")
+    return d.select("doc_id", F.when((F.col("h") % 10 == 0) & (n > 0), text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = runs.find_runs(planted(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    d = d.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                 F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+                 F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    length = -F.col("best.l")
+    return d.select("doc_id", "n_runs", F.col("best.s").alias("start"), length.alias("length"), F.col("best.p").alias("period"),
+                    F.floor(length * 1000 / F.col("best.p")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    components = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return d.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                    F.sha2(components.cast("binary"), 256).alias("centroid_sha256"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_substrings": op2_substrings,
@@ -104,4 +143,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op11_bpe": op11_bpe,
+    "op12_runs": op12_runs,
+    "op13_centroids": op13_centroids,
 }

@@ -126,6 +126,63 @@ SELECT doc_id, n_lines::BIGINT AS n_lines, n_boilerplate::BIGINT AS n_boilerplat
        sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256 FROM k
 """
 
+#: crc32 of a decimal id, bit by bit: 256 + byte starts a byte, 0 shifts by one bit.
+CRC = r"""xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda b: [256 + ord(b)::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, x: CASE WHEN x >= 256 THEN xor(c, x - 256) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {W} AS w, {CRC} AS h FROM documents),
+a AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+b AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+m AS MATERIALIZED (SELECT rid, doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN
+        list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w END AS w FROM b),
+s AS (SELECT rid, p, w[p + 1:p + 6] AS gram FROM (SELECT rid, w, unnest(range(len(w) - 5)) AS p FROM m)),
+e AS (SELECT x.rid, x.p, y.p - x.p AS q FROM s x JOIN s y ON x.rid = y.rid AND x.gram = y.gram AND x.p < y.p),
+i AS MATERIALIZED (SELECT rid, q, min(p) AS s, max(p) + 6 + q AS e
+      FROM (SELECT *, p - row_number() OVER (PARTITION BY rid, q ORDER BY p) AS island FROM e) GROUP BY rid, q, island),
+r AS MATERIALIZED (SELECT rid, s, e - s AS len, q FROM i WHERE e - s >= greatest(12, 2 * q) AND NOT EXISTS (
+        SELECT 1 FROM i k WHERE k.rid = i.rid AND k.q < i.q AND k.s <= i.s AND k.e >= i.e)),
+o AS (SELECT rid, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+             first(s ORDER BY len DESC, s, q) AS start, first(len ORDER BY len DESC, s, q) AS length,
+             first(q ORDER BY len DESC, s, q) AS period FROM r GROUP BY rid),
+g AS (SELECT DISTINCT rid, unnest(range(s + q, s + len)) AS p FROM r),
+k AS (SELECT rid, string_agg(v, ' ' ORDER BY p) AS kept
+      FROM (SELECT rid, unnest(w) AS v, unnest(range(len(w))) AS p FROM m) ANTI JOIN g USING (rid, p) GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+       (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM m LEFT JOIN o USING (rid) LEFT JOIN k USING (rid)
+"""
+
+
+def _op13(k: int = 40, rounds: int = 5, length: int = 64) -> str:
+    """All distances in every round. Components are whole numbers in doubles: sums below 2**53 are exact."""
+    steps = [rf"""
+WITH x AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+      FROM embeddings WHERE len(embedding) = {length} AND len(list_filter(embedding, lambda x: isfinite(x))) = {length}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+      FROM (SELECT sha256('2:' || vec_id) AS h, v FROM x ORDER BY h, v LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        steps.append(rf"""
+a{r} AS MATERIALIZED (SELECT rid, vec_id, x.v, c, list_inner_product(x.v, x.v) - 2 * list_inner_product(x.v, y.v)
+             + list_inner_product(y.v, y.v) AS d
+      FROM x, c{r} y QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1)""")
+        if r < rounds:
+            steps.append(rf"""
+c{r + 1} AS MATERIALIZED (SELECT y.c, coalesce(z.v, y.v) AS v FROM c{r} y LEFT JOIN
+      (SELECT c, list(((s - ((s % n + n) % n)) // n)::DOUBLE ORDER BY i) AS v
+       FROM (SELECT c, i, sum(e)::HUGEINT AS s, count(*) AS n
+             FROM (SELECT c, unnest(v)::BIGINT AS e, unnest(range({length})) AS i FROM a{r}) GROUP BY c, i)
+       GROUP BY c) z ON y.c = z.c)""")
+    return ",".join(steps) + rf"""
+SELECT vec_id, a.c::INT AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(y.v, lambda e: e::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} y ON a.c = y.c
+"""
+
+
 ORACLE = {
     "op1_licenses": _op1(),
     "op2_substrings": OP2,
@@ -133,4 +190,6 @@ ORACLE = {
     "op6_near_dups": OP6,
     "op8_line_dedup": OP8,
     "op9_quality": OP9,
+    "op12_runs": OP12,
+    "op13_centroids": _op13(),
 }
