@@ -17,15 +17,13 @@ Plan shape (batch):
 2. ``groupBy(key, segment)`` with partial aggregation: map-side combine leaves one
    partial row per (segment, bucket) before the second exchange. Moments are exact
    integers (DECIMAL(38,0)), so results do not depend on summation order.
-3. G3 only touches segments whose span reaches ``active``. Cuts are found by an
-   iterative frontier; each round advances every long segment by up to ``K`` cuts and
-   reads only the packets inside a ``K * (active + idle)`` time window, so a task's input
-   is bounded by packet rate x time, never by the segment size.
+3. G3 only touches segments whose span reaches ``active``; their cuts come from sparse
+   pointer doubling (``flowsift.operators.activecut``): about log2(cells) rounds of
+   equi-joins over tables that halve from round to round, nothing per segment in one task.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -33,6 +31,7 @@ from pyspark.storagelevel import StorageLevel
 from flowsift.config import DEFAULT_CONFIG, FEATURES, FLAG_LETTERS, MIN_DURATION_S, US, DetectionConfig
 from flowsift.functions.flags import flag_count_columns, is_terminator
 from flowsift.functions.keys import port0, with_flow_key
+from flowsift.operators.activecut import active_cuts
 from flowsift.operators.stitch import latest_marker
 from flowsift.schemas import FLOW_KEY, FLOWS
 from flowsift.session import ensure_checkpoint_dir, materialize
@@ -41,7 +40,8 @@ KEY = list(FLOW_KEY)
 FLAG_FEATURES = [name for _, name in FLAG_LETTERS]
 FLOW_COLUMNS = [f.name for f in FLOWS.fields]
 DEC = "decimal(38,0)"
-CUTS_PER_ROUND = 16
+CUTS = ("capture_id string, lo_ip string, hi_ip string, lo_port int, hi_port int, protocol int, "
+        "seg_idx long, cut_idx long, cut_ts long")
 
 
 # ---------------------------------------------------------------------------
@@ -215,72 +215,6 @@ def finalize_flows(agg: DataFrame, start_col: str = "start_idx",
     )
 
 
-# ---------------------------------------------------------------------------
-# Greedy active-timeout cut on long segments
-# ---------------------------------------------------------------------------
-
-def _cut_schema() -> str:
-    return ("capture_id string, lo_ip string, hi_ip string, lo_port int, hi_port int, protocol int, "
-            "seg_idx long, cut_idx long, cut_ts long, step int")
-
-
-def _fold_cuts(active_us: int, k: int):
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pkt_idx", kind="stable")
-        idx = pdf["pkt_idx"].to_numpy()
-        ts = pdf["ts_us"].to_numpy()
-        c_idx, c_ts = int(pdf["c_idx"].iat[0]), int(pdf["c_ts"].iat[0])
-        out = []
-        pos = 0
-        for step in range(1, k + 1):
-            thr = c_ts + active_us
-            hit = (idx[pos:] > c_idx) & (ts[pos:] >= thr)
-            if not hit.any():
-                break
-            j = pos + int(hit.argmax())
-            c_idx, c_ts, pos = int(idx[j]), int(ts[j]), j + 1
-            out.append((c_idx, c_ts, step))
-        first = pdf.iloc[0]
-        return pd.DataFrame(
-            [(first["capture_id"], first["lo_ip"], first["hi_ip"], int(first["lo_port"]),
-              int(first["hi_port"]), int(first["protocol"]), int(first["seg_idx"]), ci, ct, st)
-             for ci, ct, st in out],
-            columns=[*KEY, "seg_idx", "cut_idx", "cut_ts", "step"])
-    return fold
-
-
-def active_cuts(long_pkts: DataFrame, long_segs: DataFrame, cfg: DetectionConfig) -> DataFrame:
-    """Greedy cut points of every long segment (excluding the segment start).
-
-    ``long_pkts``: (key, seg_idx, pkt_idx, ts_us) of packets with ts >= seg start + active
-    (only those can be cuts). ``long_segs``: (key, seg_idx, seg_ts).
-    Each round joins the frontier (one row per unfinished segment) with the packets in a
-    bounded time window and folds up to ``CUTS_PER_ROUND`` cuts per segment.
-    """
-    spark = long_pkts.sparkSession
-    a, idle, k = cfg.active_us, cfg.idle_us, CUTS_PER_ROUND
-    frontier = long_segs.select(*KEY, "seg_idx", F.col("seg_idx").alias("c_idx"),
-                                F.col("seg_ts").alias("c_ts"))
-    found = []
-    while True:
-        cand = (long_pkts.join(frontier, [*KEY, "seg_idx"])
-                .where((F.col("pkt_idx") > F.col("c_idx"))
-                       & (F.col("ts_us") >= F.col("c_ts") + a)
-                       & (F.col("ts_us") < F.col("c_ts") + k * (a + idle))))
-        res = (cand.groupBy(*KEY, "seg_idx")
-               .applyInPandas(_fold_cuts(a, k), _cut_schema()))
-        res = materialize(res, "flow-cuts")
-        found.append(res.select(*KEY, "seg_idx", "cut_idx", "cut_ts"))
-        frontier = (res.where(F.col("step") == k)
-                    .select(*KEY, "seg_idx", F.col("cut_idx").alias("c_idx"), F.col("cut_ts").alias("c_ts")))
-        if frontier.isEmpty():
-            break
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out if found else spark.createDataFrame([], _cut_schema()).drop("step")
-
-
 # ---------------------------------------------------------------------------
 # public entry points
 # ---------------------------------------------------------------------------
@@ -295,7 +229,7 @@ def flows_no_active(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -
 def sessionize(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> tuple[DataFrame, DataFrame]:
     """G1-G4 complete -> (flows, active cuts). Segments that never reach ``active`` are final
     after one aggregation; the rest (found by a count over segment rows) go through the
-    G3 frontier. The per-packet segment table is persisted (recomputable from lineage if an
+    G3 doubling. The per-packet segment table is persisted (recomputable from lineage if an
     executor is lost) and the small segment aggregate is written to the shared checkpoint folder."""
     ensure_checkpoint_dir(packets.sparkSession)
     a = cfg.active_us
@@ -309,20 +243,24 @@ def sessionize(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> tup
         .agg(*flow_aggregates(), F.max(F.col("ts_us") - F.col("seg.ts_us")).alias("_span")),
         "flow-segments")
     long_segs = seg_agg.where(F.col("_span") >= a).select(
-        *KEY, F.col("start_idx").alias("seg_idx"), F.col("first_seen_us").alias("seg_ts"))
+        *KEY, F.col("start_idx").alias("seg_idx"), F.col("_span").alias("span"))
     short = finalize_flows(seg_agg.where(F.col("_span") < a))
-    no_cuts = packets.sparkSession.createDataFrame([], _cut_schema()).drop("step")
-    if long_segs.isEmpty():
+    top = long_segs.agg(F.max("span")).first()[0]
+    if top is None:  # no long segment
         out = materialize(short, "flows")
         for c in cached:
             c.unpersist()
-        return out, no_cuts
+        return out, packets.sparkSession.createDataFrame([], CUTS)
 
     lp = (seg.withColumn("seg_idx", F.col("seg.pkt_idx"))
           .join(long_segs.select(*KEY, "seg_idx"), [*KEY, "seg_idx"], "left_semi"))
-    elig = materialize(lp.where(F.col("ts_us") - F.col("seg.ts_us") >= a)
-                       .select(*KEY, "seg_idx", "pkt_idx", "ts_us"), "flow-long-packets")
-    cuts = active_cuts(elig, long_segs, cfg)
+    rel = F.col("ts_us") - F.col("seg.ts_us")
+    elig = materialize(lp.where((rel >= a) | (F.col("pkt_idx") == F.col("seg_idx")))
+                       .select(*KEY, "seg_idx", "pkt_idx", "ts_us", rel.alias("rel_us")), "flow-long-packets")
+    found, _ = active_cuts(elig.select("capture_id", "seg_idx", "pkt_idx", "rel_us"), top // a + 1, a)
+    found = materialize(found, "flow-cuts")
+    cuts = elig.join(found.withColumnRenamed("cut_idx", "pkt_idx"), ["capture_id", "seg_idx", "pkt_idx"]).select(
+        *KEY, "seg_idx", F.col("pkt_idx").alias("cut_idx"), F.col("ts_us").alias("cut_ts"))
 
     # assign every packet of a long segment to the latest cut at or before it
     marks = cuts.select(*KEY, F.col("cut_idx").alias("pkt_idx"), F.lit(True).alias("is_cut"))

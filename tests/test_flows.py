@@ -113,3 +113,40 @@ def test_sessionizer_matches_sequential_model_with_many_cuts(spark):
     got2 = sorted(r.first_pkt_idx for r in fl.flows(make_packets(spark, rows2), cfg).collect())
     assert got2 == _sequential_starts(rows2, cfg.idle_us, cfg.active_us)
     assert len(got2) == 50
+
+
+def test_ten_thousand_cuts_in_logarithmic_rounds(spark):
+    """One segment of 10,000 cuts, out of order in places, and short ones beside it."""
+    import random
+
+    from flowsift.operators.activecut import active_cuts
+
+    rnd = random.Random(11)
+    segments = {}
+    for seg, n in ((0, 40_000), (100_000, 3), (200_000, 700)):
+        t, packets = 0, [(seg, 0)]
+        for i in range(1, n):
+            t += rnd.choice([0, 30, 90, 400, 480, 999])
+            packets.append((seg + i, max(0, t - rnd.choice([0, 0, 0, 350]))))
+        segments[seg] = packets
+    want = set()
+    for seg, packets in segments.items():
+        cut = 0
+        for idx, rel in packets:
+            if rel >= cut + 1000:
+                cut = rel
+                want.add((seg, idx))
+    rows = [("c", seg, idx, rel) for seg, ps in segments.items() for idx, rel in ps if rel >= 1000 or idx == seg]
+    df = spark.createDataFrame(rows, "capture_id string, seg_idx long, pkt_idx long, rel_us long")
+    cells = max(r[3] for r in rows) // 1000 + 1
+    got, rounds = active_cuts(df, cells, 1000)
+    assert {(r.seg_idx, r.cut_idx) for r in got.collect()} == want
+    assert len(want) > 10_000 and rounds <= 15
+
+
+def test_no_python_in_the_sessionizer():
+    import inspect
+
+    from flowsift.operators import activecut
+
+    assert not any(word in inspect.getsource(m) for m in (fl, activecut) for word in ("applyInPandas", "mapInPandas", "import pandas"))
