@@ -85,9 +85,9 @@ class DetectionConfig:
     # consecutive packet ordinals, and stitched across bucket edges, so a single
     # flood key never lands in one task.
     packet_bucket: int = 1 << 20
-    # Flows of one source are windowed in time buckets of this width (µs) for the
-    # sliding distinct count, stitched the same way.
-    scan_time_bucket_us: int = 3600 * US
+    # Flows of one source are dealt into time buckets for the sliding distinct count, at
+    # least as wide as the scan window (this width in µs, if that is more).
+    scan_time_bucket_us: int = 0
     # Scan state and open flows are kept per capture (CLI behaviour) unless set.
     across_captures: bool = False
 

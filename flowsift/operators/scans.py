@@ -5,25 +5,26 @@ its source touched in the closed window ``[last_seen - w, last_seen]`` (all flow
 the source whose ``last_seen`` falls in it, the flow itself included).
 
 ``COUNT(DISTINCT ...) OVER (RANGE ...)`` is not available in Spark, and a per-row set
-(``collect_set`` over the frame) grows with the window. Instead, interval events:
-each occurrence of a target at time x covers ``[x, min(x + w, next occurrence))``;
-emit +1 at x and -1 at the cover end, add a 0-weight probe at each flow's
-``last_seen``, and take a running sum per source ordered by time. Coverage intervals of
-one target never overlap, so the running sum is the number of distinct targets.
-Both ordered scans are bucketed by time and stitched (``flowsift.operators.stitch``),
-so one hot source or one hot (source, target) pair is spread over many tasks.
+(``collect_set`` over the frame) grows with the window. Instead, interval events: each
+occurrence of a target at time x covers ``[x, min(x + w, next occurrence))``; the running
+sum of +1 at x and -1 at the cover's end is the number of distinct targets.
+
+Time is cut into buckets a little wider than the window, and every flow is handed to its own
+bucket and to the next one. A bucket then holds all that its flows' windows reach, the next
+occurrence of each target included, so both ``lead`` scans and the running sum stay inside
+(scope, bucket): one exchange, one pass over the flows, no stitching, and a hot source is
+spread over as many tasks as it has buckets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.config import (
     DEFAULT_CONFIG, DETECTOR_SIGNATURE, HOST_SWEEP_ID, HOST_SWEEP_NAME, PORT_SCAN_ID,
     PORT_SCAN_NAME, DetectionConfig,
 )
-from flowsift.operators.stitch import next_value, prefix_sum
 
 SCAN_FINDING_ORDER = 1000  # after every signature rule, before the anomaly finding
 # flow identity carried by every finding, so alerts need no join back to flows
@@ -34,36 +35,40 @@ def _scope(cfg: DetectionConfig) -> list[str]:
     return ["src_ip"] if cfg.across_captures else ["capture_id", "src_ip"]
 
 
-def _cover_events(occ: DataFrame, scope: list[str], target: list[str], cfg: DetectionConfig,
-                  weight_col: str) -> DataFrame:
-    """+1 / -1 events of the coverage intervals of one target kind."""
-    w1 = cfg.window_us + 1
-    occ = occ.withColumn("tb", F.expr(f"t div {int(cfg.scan_time_bucket_us)}"))
-    occ = next_value(occ, [*scope, *target], "tb", ["t", "first_pkt_idx"], F.col("t"), "t_next")
-    end = F.least(F.col("t") + w1, F.coalesce(F.col("t_next"), F.col("t") + w1))
-    starts = occ.select(*scope, "t", F.lit(1).alias(weight_col))
-    ends = occ.select(*scope, end.alias("t"), F.lit(-1).alias(weight_col))
-    return starts.unionByName(ends)
-
-
 def window_counts(flows: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per flow, ``distinct_ports`` and ``distinct_hosts`` in the sliding window."""
     scope = _scope(cfg)
-    occ = flows.select(*scope, "dst_ip", "dst_port", "first_pkt_idx",
-                       F.col("last_seen_us").alias("t"))
-    ports = _cover_events(occ, scope, ["dst_ip", "dst_port"], cfg, "wp").withColumn("wh", F.lit(0))
-    hosts = _cover_events(occ, scope, ["dst_ip"], cfg, "wh").withColumn("wp", F.lit(0))
-    probe_cols = [c for c in IDENTITY if c not in scope]
-    probes = flows.select(*scope, F.col("last_seen_us").alias("t"),
-                          F.struct(*probe_cols).alias("probe"),
-                          F.lit(0).alias("wp"), F.lit(0).alias("wh"))
-    ev = (ports.unionByName(hosts).withColumn("probe", F.lit(None).cast(probes.schema["probe"].dataType))
-          .unionByName(probes)
-          .withColumn("tb", F.expr(f"t div {int(cfg.scan_time_bucket_us)}")))
-    run = prefix_sum(ev, scope, "tb", "t", ["wp", "wh"], ["distinct_ports", "distinct_hosts"])
-    return (run.where(F.col("probe").isNotNull())
-            .select(*[c for c in scope if c != "capture_id"], "probe.*",
-                    F.col("distinct_ports").cast("long"), F.col("distinct_hosts").cast("long")))
+    cover = cfg.window_us + 1  # both ends of the window count
+    width = max(cover, int(cfg.scan_time_bucket_us))
+    rest = [c for c in IDENTITY if c not in scope]
+    own = F.expr(f"last_seen_us div {width}")
+    f = flows.select(*scope, *rest, "first_pkt_idx", F.explode(F.array(
+        F.struct(own.alias("bucket"), F.lit(True).alias("asks")),
+        F.struct((own + 1).alias("bucket"), F.lit(False).alias("asks")))).alias("b"))
+    f = f.select(*scope, *rest, "first_pkt_idx", "b.bucket", "b.asks")
+    place = [*scope, "bucket"]
+    f = f.repartition(*place)
+
+    t = F.col("last_seen_us")
+
+    def covered(target: list[str]) -> Column:
+        following = Window.partitionBy(*place, *target).orderBy(t, "first_pkt_idx")
+        return F.least(t + cover, F.coalesce(F.lead(t).over(following), t + cover))
+
+    f = f.withColumn("ports_end", covered(["dst_ip", "dst_port"])).withColumn("hosts_end", covered(["dst_ip"]))
+    probe = F.when(F.col("asks"), F.struct(*rest))
+
+    def event(at: Column, ports: int, hosts: int, flow: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(ports).alias("ports"), F.lit(hosts).alias("hosts"), flow.alias("flow"))
+
+    none = F.when(F.lit(False), F.struct(*rest))
+    e = f.select(*place, F.explode(F.array(
+        event(t, 1, 1, probe), event(F.col("ports_end"), -1, 0, none), event(F.col("hosts_end"), 0, -1, none))).alias("e"))
+    running = Window.partitionBy(*place).orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    e = e.select(*place, "e.*").select(
+        *scope, "flow", F.sum("ports").over(running).alias("distinct_ports"), F.sum("hosts").over(running).alias("distinct_hosts"))
+    return e.where(F.col("flow").isNotNull()).select(
+        *[c for c in scope if c != "capture_id"], "flow.*", "distinct_ports", "distinct_hosts")
 
 
 def scan_findings(flows: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG,

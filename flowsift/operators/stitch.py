@@ -53,21 +53,3 @@ def prefix_sum(df: DataFrame, part: Sequence[str], bucket: str, order: str,
     for o in outs:
         df = df.withColumn(o, F.col(f"_loc_{o}") + F.col(f"_carry_{o}")).drop(f"_loc_{o}", f"_carry_{o}")
     return df
-
-
-def next_value(df: DataFrame, part: Sequence[str], bucket: str, order: Sequence[str],
-               value: Column, out: str) -> DataFrame:
-    """``out`` = ``value`` of the next row of ``part`` in ``order`` (null on the last row),
-    looking across bucket edges through the first row of the next non-empty bucket.
-    """
-    part, order = list(part), list(order)
-    wl = Window.partitionBy(*part, bucket).orderBy(*order)
-    df = df.withColumn("_v", value).withColumn("_nxt", F.lead("_v").over(wl))
-    summ = df.groupBy(*part, bucket).agg(F.min_by("_v", F.struct(*order)).alias("_bfirst"))
-    wb = Window.partitionBy(*part).orderBy(bucket)
-    summ = summ.select(*part, bucket, F.lead("_bfirst").over(wb).alias("_carry"))
-    last_in_bucket = F.lead(F.lit(1)).over(wl).isNull()
-    return (df.withColumn("_last", last_in_bucket)
-            .join(summ, [*part, bucket], "left")
-            .withColumn(out, F.when(F.col("_last"), F.col("_carry")).otherwise(F.col("_nxt")))
-            .drop("_v", "_nxt", "_carry", "_last"))

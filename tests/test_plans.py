@@ -34,3 +34,10 @@ def test_listing_is_top_k_and_stats_one_pass(spark):
     assert "TakeOrderedAndProject" in _plan(al.list_alerts(d.alerts, limit=5))
     plan = _plan(al.stats_grouping_sets(d.alerts))
     assert plan.count("Expand") == 1
+
+
+def test_scan_windows_take_one_exchange_and_one_scan(spark):
+    from flowsift.operators import scans as sc
+
+    plan = _plan(sc.scan_findings(fl.flows(make_packets(spark, demo_capture_rows()))))
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1 and "Join" not in plan
