@@ -1,17 +1,21 @@
 """Distributed isolation forest (M4, M5, M7, S8) after Liu, Ting & Zhou (ICDM 2008).
 
-Fit: every tree gets its own subsample of ``psi = min(256, n)`` rows, chosen as the rows
-with the smallest ``xxhash64(id, tree, seed)``. Rows first pass a hash pre-filter that
-keeps about ``4 * psi`` candidates per tree (so the row x tree pairing never
-materialises), then a window over each tree's candidates (bounded) keeps the exact
-``psi`` smallest. ``groupBy(tree).applyInPandas`` grows the trees in parallel; each task
-sees at most ``psi`` rows. The model is a node table of at most ``trees * (2 psi - 1)``
-rows plus a few scalars - a proven bound, which is what makes broadcasting it safe.
-
-Score: ``mapInPandas`` walks all trees for an Arrow batch of rows at once (numpy), giving
-the paper score ``2 ** (-E[h(x)] / c(psi))`` in (0, 1]; higher = more anomalous.
-Scaling the features (M3) does not change this forest: split points are drawn uniformly
-in each node's per-feature range, so an affine rescaling maps splits onto splits.
+Sample: a pool of the rows with the smallest ``md5(id|seed)``, at most ``POOL`` of them however many
+rows there are (a hash pre-filter leaves about twice as many to rank); every tree takes its ``psi``
+rows from the pool by ``md5(id|tree|seed)``. Only pool rows are paired with trees.
+
+Fit: all trees grow together, a level at a time. One aggregation gives each (tree, node) its size and
+every feature's range; the split feature (among those that vary) and the threshold (uniform in the
+range) are drawn from ``md5(tree|node|seed)``, so the forest is a function of the rows alone, whatever
+the partitions, and SQL can grow the same trees. Rows then move to node 2k or 2k + 1. A level moves
+trees x psi rows; nothing is grown in Python or in one task. The node table has at most
+trees x (2 psi - 1) rows - a proven bound, which is what makes broadcasting it safe.
+
+Score: ``mapInPandas`` walks all trees for an Arrow batch of rows at once (numpy), giving the paper
+score ``2 ** (-E[h(x)] / c(psi))`` in (0, 1]; higher = more anomalous. Path lengths are summed as whole
+millionths, so the sum does not depend on its order.
+Scaling the features (M3) does not change this forest: split points are drawn uniformly in each node's
+per-feature range, so an affine rescaling maps splits onto splits.
 """
 
 from __future__ import annotations
@@ -19,10 +23,11 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import dataclass, field
-from pathlib import Path
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +35,15 @@ from pyspark.sql import types as T
 from flowsift.config import ANOMALY_ID, ANOMALY_NAME, DETECTOR_ANOMALY, FEATURES
 from flowsift.operators.metrics import calibrate, severity_band
 from flowsift.operators.selection import percentile_linear
+from flowsift.session import materialize
 
 EULER = 0.5772156649015329
 ANOMALY_FINDING_ORDER = 2000
-NODE_SCHEMA = ("tree_id int, node_id int, feature int, threshold double, left int, right int, "
-               "size long, depth int")
+NODE_SCHEMA = "tree_id int, node_id long, feature int, threshold double, size long, depth int"
+#: Rows that the trees' samples are drawn from, at most.
+POOL = 1 << 14
+#: Path lengths are whole numbers of this part of a split.
+PATH_UNIT = 1_000_000
 
 
 def c_factor(n: np.ndarray | float) -> np.ndarray:
@@ -81,10 +90,12 @@ class IForestModel:
     def load(spark: SparkSession, path: str, expect_features: list[str] | None = None) -> IForestModel | None:
         """A missing model gives None (the scorer then yields no findings); a model built
         on other feature columns raises."""
-        local = not path.startswith(("s3:", "s3a:", "gs:", "abfs:", "hdfs:"))
-        if local and not Path(path, "model_meta").exists():
+        try:
+            meta = json.loads(spark.read.text(f"{path}/model_meta").first()["value"])
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
-        meta = json.loads(spark.read.text(f"{path}/model_meta").first()["value"])
         if expect_features is not None and meta["feature_columns"] != list(expect_features):
             raise ValueError("model feature columns differ from the current feature schema")
         nodes = spark.read.parquet(f"{path}/model_nodes").toPandas()  # bounded: trees x (2 psi - 1)
@@ -93,71 +104,70 @@ class IForestModel:
                             meta["feature_columns"], cal["lo"], cal["hi"], meta.get("metadata", {}))
 
 
-def _grow(seed: int, max_depth: int):
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_h", kind="stable")
-        tree_id = int(pdf["tree_id"].iat[0])
-        X = np.vstack(pdf["x"].to_numpy()).astype(float)
-        rng = np.random.default_rng([seed, tree_id])
-        rows: list[tuple] = []
-
-        def make(idx: np.ndarray, depth: int) -> int:
-            nid = len(rows)
-            rows.append(None)
-            n = len(idx)
-            if depth >= max_depth or n <= 1:
-                rows[nid] = (tree_id, nid, -1, 0.0, -1, -1, n, depth)
-                return nid
-            sub = X[idx]
-            lo, hi = sub.min(axis=0), sub.max(axis=0)
-            cand = np.flatnonzero(hi > lo)
-            if cand.size == 0:
-                rows[nid] = (tree_id, nid, -1, 0.0, -1, -1, n, depth)
-                return nid
-            f = int(rng.choice(cand))
-            thr = float(rng.uniform(lo[f], hi[f]))
-            go_left = sub[:, f] <= thr
-            left = make(idx[go_left], depth + 1)
-            right = make(idx[~go_left], depth + 1)
-            rows[nid] = (tree_id, nid, f, thr, left, right, n, depth)
-            return nid
-
-        make(np.arange(len(X)), 0)
-        return pd.DataFrame(rows, columns=["tree_id", "node_id", "feature", "threshold", "left", "right",
-                                           "size", "depth"])
-    return grow
+def _uniform(text: Column, place: int) -> Column:
+    """A number in [0, 1) from 13 hex digits of md5(text), from ``place`` on (exact in a double)."""
+    return F.conv(F.substring(F.md5(text), place, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def _key(*parts: Column | str | int) -> Column:
+    return F.concat_ws("|", *[F.col(x).cast("string") if isinstance(x, str) else F.lit(str(x)) for x in parts])
+
+
+def pooled_sample(train: DataFrame, id_col: str, x_col: str, n_trees: int, psi: int, n: int, seed: int) -> DataFrame:
+    """(tree_id, id, x): ``psi`` rows for each tree, drawn from the pool (rows of equal id are told apart by ``x``)."""
+    rows = train.select(F.col(id_col).cast("string").alias("id"), F.col(x_col).alias("x"))
+    rows = rows.withColumn("h", F.md5(_key("id", seed)))
+    size = min(n, max(POOL, psi))
+    share = 2.0 * size / n
+    while True:
+        # the pool's rows have the smallest hashes: a cut of the hash range that holds enough of them
+        low = rows if share >= 1.0 else rows.where(F.col("h") < F.lit(f"{int(share * (1 << 52)):013x}"))
+        pool = materialize(low.orderBy("h", "id", "x").limit(size).select("id", "x"), "iforest-pool")
+        if share >= 1.0 or pool.count() == size:
+            break
+        share *= 2
+    tree = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id")
+    pairs = pool.select("id", "x", tree).withColumn("h", F.md5(_key("id", "tree_id", seed)))
+    w = Window.partitionBy("tree_id").orderBy("h", "id", "x")  # at most POOL rows a tree
+    return pairs.withColumn("r", F.row_number().over(w)).where(F.col("r") <= psi).select("tree_id", "id", "x")
 
 
 def fit(train: DataFrame, id_col: str, x_col: str = "x", n_trees: int = 200, max_samples: int = 256,
         seed: int = 42, feature_names: list[str] | None = None) -> IForestModel:
     """M4: fit ``n_trees`` isolation trees on ``train`` (rows with an id and a feature array)."""
-    from flowsift.session import ship_package
-
-    ship_package(train.sparkSession)
     n = train.count()
     if n == 0:
         raise ValueError("no training rows")
     psi = min(max_samples, n)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    oversample = 4.0
-    while True:
-        p = min(1.0, oversample * psi / n)
-        thr = int(p * (1 << 31))
-        h = lambda t: F.xxhash64(F.col(id_col).cast("string"), t, F.lit(seed))
-        trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                         lambda t: F.pmod(h(t), F.lit(1 << 31)) < F.lit(thr))
-        cand = (train.select(id_col, x_col, F.explode(trees).alias("tree_id"))
-                .withColumn("_h", F.xxhash64(F.col(id_col).cast("string"), F.col("tree_id"), F.lit(seed))))
-        w = Window.partitionBy("tree_id").orderBy("_h", id_col)  # ~4 psi rows per tree
-        sample = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r")
-        sizes = sample.groupBy("tree_id").count().collect()  # n_trees rows
-        if len(sizes) == n_trees and all(r["count"] == psi for r in sizes) or p >= 1.0:
-            break
-        oversample *= 4
-    nodes = (sample.select("tree_id", "_h", F.col(x_col).alias("x"))
-             .groupBy("tree_id").applyInPandas(_grow(seed, max_depth), NODE_SCHEMA)
-             .toPandas())  # bounded: n_trees x (2 psi - 1) rows
     d = int(len(train.select(x_col).first()[0]))
+    rows = materialize(pooled_sample(train, id_col, x_col, n_trees, psi, n, seed).select(
+        "tree_id", F.lit(1).cast("long").alias("node_id"), "x"), "iforest-level-0")
+    levels = []
+    for depth in range(max_depth + 1):
+        ranges = rows.groupBy("tree_id", "node_id").agg(
+            F.count(F.lit(1)).alias("size"),
+            F.array(*[F.struct(F.lit(i).alias("f"), F.min(F.get("x", F.lit(i))).alias("lo"), F.max(F.get("x", F.lit(i))).alias("hi"))
+                      for i in range(d)]).alias("features"))
+        varying = F.filter("features", lambda r: (r["hi"] > r["lo"]) & (F.col("size") > 1) & F.lit(depth < max_depth))
+        drawn = _key("tree_id", "node_id", seed)
+        split = F.get("varying", F.floor(_uniform(drawn, 1) * F.size("varying")).cast("int"))
+        nodes = ranges.select("tree_id", "node_id", "size", varying.alias("varying")).select(
+            "tree_id", "node_id", "size", split.alias("s"), _uniform(drawn, 14).alias("u"))
+        nodes = materialize(nodes.select(
+            "tree_id", "node_id", F.coalesce("s.f", F.lit(-1)).alias("feature"),
+            F.coalesce(F.col("s.lo") + F.col("u") * (F.col("s.hi") - F.col("s.lo")), F.lit(0.0)).alias("threshold"),
+            "size", F.lit(depth).alias("depth")), f"iforest-nodes-{depth}")
+        levels.append(nodes)
+        if depth == max_depth:
+            break
+        inner = nodes.where("feature >= 0").select("tree_id", "node_id", "feature", "threshold")
+        right = (F.get("x", F.col("feature")) > F.col("threshold")).cast("long")
+        rows = materialize(rows.join(inner, ["tree_id", "node_id"]).select(
+            "tree_id", (F.col("node_id") * 2 + right).alias("node_id"), "x"), f"iforest-level-{depth + 1}")
+        if rows.isEmpty():
+            break
+    nodes = reduce(DataFrame.unionByName, levels).toPandas()  # bounded: n_trees x (2 psi - 1) rows
     return IForestModel(nodes, n_trees, psi, d, seed, list(feature_names or []),
                         metadata={"n_train": n, "n_estimators": n_trees, "max_samples": psi})
 
@@ -167,12 +177,11 @@ def _pack(model: IForestModel):
     width = int(nd["node_id"].max()) + 1
     shape = (model.n_trees, width)
     arr = {k: np.full(shape, fill, dtype=dt) for k, fill, dt in
-           (("feature", -1, np.int32), ("threshold", 0.0, float), ("left", -1, np.int32),
-            ("right", -1, np.int32), ("size", 0, np.int64), ("depth", 0, np.int32))}
+           (("feature", -1, np.int32), ("threshold", 0.0, float), ("size", 0, np.int64), ("depth", 0, np.int32))}
     t, i = nd["tree_id"].to_numpy(), nd["node_id"].to_numpy()
     for k in arr:
         arr[k][t, i] = nd[k].to_numpy()
-    arr["leaf_path"] = arr["depth"] + c_factor(arr["size"])
+    arr["leaf_path"] = np.rint((arr["depth"] + c_factor(arr["size"])) * PATH_UNIT).astype(np.int64)
     return arr
 
 
@@ -195,20 +204,19 @@ def score_frame(df: DataFrame, model: IForestModel, x_col: str = "x", out: str =
                 continue
             X = np.vstack(pdf[x_col].to_numpy()).astype(float)
             rows = np.arange(len(X))
-            total = np.zeros(len(X))
+            total = np.zeros(len(X), dtype=np.int64)
             for t in range(n_trees):
-                feat, thr, left, right = a["feature"][t], a["threshold"][t], a["left"][t], a["right"][t]
-                node = np.zeros(len(X), dtype=np.int64)
+                feat, thr = a["feature"][t], a["threshold"][t]
+                node = np.ones(len(X), dtype=np.int64)
                 while True:
                     f = feat[node]
                     inner = f >= 0
                     if not inner.any():
                         break
                     xv = X[rows, np.where(inner, f, 0)]
-                    nxt = np.where(xv <= thr[node], left[node], right[node])
-                    node = np.where(inner, nxt, node)
+                    node = np.where(inner, 2 * node + (xv > thr[node]), node)
                 total += a["leaf_path"][t][node]
-            yield pdf.assign(**{out: np.power(2.0, -(total / n_trees) / cpsi)})
+            yield pdf.assign(**{out: np.power(2.0, -(total / float(n_trees * PATH_UNIT)) / cpsi)})
 
     return df.mapInPandas(run, schema)
 

@@ -421,15 +421,16 @@ def classification_report_q(spark, sf_dir):
     return classification_report(_unit_docs(spark, sf_dir), "score", "label")
 
 
-# --- isolation forest (rows-only checks: no SQL twin is registered) -------------
+# --- isolation forest ------------------------------------------------------------
 
-def _flow_model(spark, sf_dir, labelled=None):
+def _flow_model(spark, sf_dir, flows):
+    """(model fitted on the benign training flows, labelled flows)."""
     from flowsift.operators import iforest as ifo
-    from flowsift.operators.training import benign_train, stratified_split
-
+    from flowsift.operators.training import benign_train, labelled_flows, stratified_split
     from flowsift.session import materialize
 
-    lab = materialize(_labelled(spark, sf_dir), "labelled-flows") if labelled is None else labelled
+    found = fd.union_findings(ru.rule_findings(flows, load_rules()), sc.scan_findings(flows))
+    lab = materialize(labelled_flows(flows, found), "labelled-flows")
     train = materialize(benign_train(stratified_split(lab, "flow_id"))
                         .select("flow_id", ifo.feature_vector().alias("x")), "iforest-train")
     model = ifo.fit(train, "flow_id", feature_names=list(FEATURES))
@@ -442,10 +443,10 @@ def iforest_scores(spark, sf_dir):
     from flowsift.operators import iforest as ifo
     from flowsift.operators.metrics import calibrate
 
-    model, lab = _flow_model(spark, sf_dir)
+    model, lab = _flow_model(spark, sf_dir, _flows(spark, sf_dir))
     scored = ifo.score_frame(lab.select("flow_id", "label", ifo.feature_vector().alias("x")), model)
-    return scored.select("flow_id", "label", "raw_score",
-                         calibrate(F.col("raw_score"), model.calib_lo, model.calib_hi).alias("score"))
+    scored = scored.withColumn("score", calibrate(F.col("raw_score"), model.calib_lo, model.calib_hi))
+    return scored.select("flow_id", "label", _sci("raw_score").alias("raw_score"), _sci("score").alias("score"))
 
 
 @register("anomaly_findings")
@@ -453,8 +454,8 @@ def anomaly_findings(spark, sf_dir):
     from flowsift.operators import iforest as ifo
 
     f = _flows(spark, sf_dir)
-    model, _ = _flow_model(spark, sf_dir)
-    return ifo.anomaly_findings(f, model)
+    model, _ = _flow_model(spark, sf_dir, f)
+    return ifo.anomaly_findings(f, model).withColumn("confidence", F.round("confidence", 9))
 
 
 @register("iforest_embeddings")
@@ -465,7 +466,7 @@ def iforest_embeddings(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings").select(
         "vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
     model = ifo.fit(emb.where(F.col("label") == 0), "vec_id")
-    return ifo.score_frame(emb, model).select("vec_id", "label", "raw_score")
+    return ifo.score_frame(emb, model).select("vec_id", "label", _sci("raw_score").alias("raw_score"))
 
 
 # --- streaming (T1op-T6op): equal to the batch oracle ----------------------------

@@ -225,3 +225,36 @@ def _stream_sql() -> None:
 
 
 _stream_sql()
+
+
+def _forest_sql() -> None:
+    from flowsift.config import ANOMALY_ID, ANOMALY_NAME
+    from flowsift.plans.oracle_forest import calibrated_ctes, forest_ctes, score_ctes
+
+    x = "[" + ", ".join(f"coalesce({f}::DOUBLE, 0.0)" for f in FEATURES) + "]"
+    labelled = [*o.detection_ctes(load_rules()),
+                ("lab", """SELECT f.*, CASE WHEN f.flow_id IN (SELECT flow_id FROM findings) THEN 1 ELSE 0 END AS label FROM flows f"""),
+                ("spl", """SELECT l.*, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5(flow_id || '|42'), flow_id)
+  <= floor(count(*) OVER (PARTITION BY label) * 0.25 + 0.5) THEN 'test' ELSE 'train' END AS split FROM lab l"""),
+                ("train_rows", f"SELECT flow_id AS id, {x} AS x FROM spl WHERE split = 'train' AND label = 0"),
+                ("all_rows", f"SELECT flow_id AS id, {x} AS x FROM spl"),
+                *forest_ctes("train_rows", len(FEATURES)), *score_ctes("all_rows", "scored"),
+                ("train_scored", "SELECT * FROM scored WHERE id IN (SELECT id FROM train_rows)"),
+                *calibrated_ctes("scored", "train_scored", "calibrated")]
+    ORACLE["iforest_scores"] = o.sql(labelled, """SELECT flow_id, label, printf('%.9e', raw) AS raw_score,
+  printf('%.9e', score) AS score FROM calibrated JOIN spl ON id = flow_id""")
+    ORACLE["anomaly_findings"] = o.sql(labelled, f"""SELECT {o.IDENT}, 2000 AS finding_order, 'anomaly' AS detector,
+  '{ANOMALY_ID}' AS rule_id, '{ANOMALY_NAME}' AS name,
+  CASE WHEN score >= 0.9 THEN 'critical' WHEN score >= 0.7 THEN 'high' ELSE 'medium' END AS severity,
+  round(score, 9) AS confidence,
+  printf('Isolation-forest anomaly score %.3f for flow %s:%d -> %s:%d', score, src_ip, src_port, dst_ip, dst_port) AS description,
+  to_json({{'anomaly_score': round(score, 4), 'src_ip': src_ip, 'dst_ip': dst_ip, 'dst_port': dst_port}}) AS evidence
+FROM calibrated JOIN spl ON id = flow_id WHERE score >= 0.5""")
+    emb = [("e", "SELECT vec_id, label, vec_id::VARCHAR AS id, embedding::DOUBLE[] AS x FROM embeddings"),
+           ("normal", "SELECT id, x FROM e WHERE label = 0"),
+           *forest_ctes("normal", 64), *score_ctes("e", "scored")]
+    ORACLE["iforest_embeddings"] = o.sql(emb, """SELECT vec_id, label, printf('%.9e', raw) AS raw_score
+FROM scored JOIN e USING (id)""")
+
+
+_forest_sql()
