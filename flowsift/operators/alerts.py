@@ -8,13 +8,15 @@ left join. Listing and top-k use ``orderBy(...).offset().limit()``, which plans
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.config import SEVERITIES
 
 MAX_LIST_LIMIT = 1000
 LIVE_BUFFER = 200
+#: Largest counts of a dimension that the nested summary carries.
+KEPT = 1000
 
 
 def severity_rank(col: str | Column = "severity") -> Column:
@@ -47,6 +49,20 @@ def list_alerts(alerts: DataFrame, limit: int = 100, offset: int = 0, severity:
     return page.offset(offset).limit(limit) if offset else page.limit(limit)
 
 
+def list_after(alerts: DataFrame, cursor: tuple | None = None, limit: int = 100, severity: str | None = None,
+               src_ip: str | None = None, detector: str | None = None) -> DataFrame:
+    """O1 by cursor: the page after the row ``cursor`` = (created_at, id) of the same order as :func:`list_alerts`.
+    The bound on ``created_at`` reaches the scan, so rows of earlier pages are not sorted again."""
+    if not 1 <= limit <= MAX_LIST_LIMIT:
+        raise ValueError(f"limit must be in 1..{MAX_LIST_LIMIT}")
+    rows = filter_alerts(alerts, severity, src_ip, detector)
+    if cursor is not None:
+        at, last = F.lit(cursor[0]).cast("timestamp_ntz"), F.lit(cursor[1])
+        rows = rows.where(F.col("created_at") <= at)
+        rows = rows.where((F.col("created_at") < at) | (F.col("id") > last))
+    return rows.orderBy(F.desc("created_at"), F.asc("id")).limit(limit)
+
+
 def get_alert(alerts: DataFrame, alert_id: str | Column) -> DataFrame:
     """The row with this id, or nothing."""
     v = alert_id if isinstance(alert_id, Column) else F.lit(alert_id)
@@ -91,15 +107,23 @@ def stats_grouping_sets(alerts: DataFrame) -> DataFrame:
 
 
 def stats(alerts: DataFrame, top_n: int = 10) -> DataFrame:
-    """A5 nested: one row (total, by_severity map, by_detector map, top_src_ips list)."""
-    rows = stats_grouping_sets(alerts)
-    kv = F.struct(F.col("key"), F.col("n"))
-    top = F.slice(F.sort_array(F.collect_list(F.when(F.col("dim") == "src_ip",
-                                                     F.struct((-F.col("n")).alias("neg"), "key", "n")))), 1, top_n)
+    """A5 nested: one row (total, by_severity map, by_detector map, top_src_ips list).
+
+    Each partition keeps its ``KEPT`` largest counts of a dimension before the exchange (window group limit), so
+    the one row is made from a bounded number of sources however many there are. Severities and detectors are
+    fixed vocabularies, far fewer than ``KEPT``."""
+    if not 1 <= top_n <= KEPT:
+        raise ValueError(f"top_n must be in 1..{KEPT}")
+    order = Window.partitionBy("dim").orderBy(F.desc("n"), F.asc("key"))
+    rows = stats_grouping_sets(alerts).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= KEPT)
+
+    def entries(dim: str) -> Column:
+        return F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("dim") == dim, F.struct("key", "n")))))
+
+    top = F.slice(F.array_sort(F.collect_list(F.when(F.col("dim") == "src_ip", F.struct("nth", "key", "n")))), 1, top_n)
     return rows.agg(
         F.max(F.when(F.col("dim") == "total", F.col("n"))).alias("total"),
-        F.map_from_entries(F.collect_list(F.when(F.col("dim") == "severity", kv))).alias("by_severity"),
-        F.map_from_entries(F.collect_list(F.when(F.col("dim") == "detector", kv))).alias("by_detector"),
+        entries("severity").alias("by_severity"), entries("detector").alias("by_detector"),
         F.transform(top, lambda x: F.struct(x["key"].alias("src_ip"), x["n"].alias("n"))).alias("top_src_ips"),
     )
 
@@ -118,8 +142,6 @@ def severity_share(alerts: DataFrame) -> DataFrame:
 
 
 def _whole():
-    from pyspark.sql import Window
-
     return Window.partitionBy(F.lit(0))  # 4 rows only
 
 

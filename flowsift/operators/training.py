@@ -81,3 +81,31 @@ def training_metadata(split_df: DataFrame, label_col: str = "label") -> DataFram
         F.count_if(F.col("split") == "test").alias("n_test"),
         F.count_if((F.col("split") == "test") & (F.col(label_col) == 1)).alias("n_test_attack"),
     )
+
+
+def training_run(labelled: DataFrame, id_col: str, features=FEATURES, label_col: str = "label", test_frac: float = 0.25,
+                 seed: int = 42, n_trees: int = 200, max_samples: int = 256, threshold: float = 0.5):
+    """The whole run (M1-M6, M8-M11): split, fit on the benign training rows, calibrate on their scores, judge the
+    test split. Returns the model; ``metadata`` holds the parameters and ``report``, a name and a number each,
+    and is saved with it."""
+    from flowsift.operators import iforest as ifo
+    from flowsift.operators.metrics import average_precision, calibrate, classification_report, roc_auc
+    from flowsift.session import materialize
+
+    split = stratified_split(labelled, id_col, label_col, test_frac, seed)
+    split = materialize(split.select(id_col, F.col(label_col).alias("label"), "split", ifo.feature_vector(features).alias("x")), "train-split")
+    train = benign_train(split)
+    model = ifo.fit(train, id_col, n_trees=n_trees, max_samples=max_samples, seed=seed, feature_names=list(features))
+    needed = split.where((F.col("split") == "test") | (F.col("label") == 0))
+    scored = materialize(ifo.score_frame(needed, model).select("split", "label", "raw_score"), "train-scores")
+    model = ifo.calibrate_model(model, benign_train(scored))
+    test = scored.where(F.col("split") == "test").select(
+        "label", calibrate(F.col("raw_score"), model.calib_lo, model.calib_hi).alias("score"))
+    report = {k: float(v) for k, v in training_metadata(split).first().asDict().items()}
+    report |= {"calib_lo": model.calib_lo, "calib_hi": model.calib_hi,
+               "roc_auc": roc_auc(test, "score", "label").first()[0],
+               "average_precision": average_precision(test, "score", "label").first()[0]}
+    for r in classification_report(test, "score", "label", threshold).collect():  # five rows
+        report |= {f"{r['class']} {m}": float(r[m]) for m in ("precision", "recall", "f1_score", "support")}
+    model.metadata |= {"test_frac": test_frac, "threshold": threshold, "report": report}
+    return model

@@ -37,7 +37,8 @@ RULE_QUERY_NAMES = {
 # acknowledgement log used by the J1 queries: the analyst acknowledges every low-severity
 # alert, and also sends ids of flows that carry no such alert (unknown ids)
 ACK_RULE = "TCP_HALF_OPEN_PROBE"
-FEED_LIVE, FEED_PAGE = 200, 100
+# the live buffer and a page of stored alerts that overlaps it in part
+FEED_LIVE, FEED_PAGE, FEED_OFFSET = 200, 100, 150
 
 
 def register(name: str):
@@ -180,6 +181,28 @@ def rule_findings_longform(spark, sf_dir):
     return ru.rule_findings_longform(_flows(spark, sf_dir), load_rules())
 
 
+#: Every operator, and each on a value of another type, an unknown field, no condition.
+EDGE_CONDITIONS = {
+    "eq": [("total_packets", "eq", 1)], "eq_text": [("total_packets", "eq", "1")], "ne": [("dst_port", "ne", 443)],
+    "ne_text": [("dst_port", "ne", "443")], "gt": [("total_bytes", "gt", 60)], "gt_text": [("total_bytes", "gt", "60")],
+    "gte": [("total_bytes", "gte", 60)], "lt": [("duration_s", "lt", 0.5)], "lte": [("syn_count", "lte", 1)],
+    "in": [("protocol", "in", [1, 17])], "in_mixed": [("dst_port", "in", [22, "80", 53.0, None])], "in_empty": [("protocol", "in", [])],
+    "in_scalar": [("protocol", "in", 6)], "eq_true": [("syn_count", "eq", True)], "unknown_field": [("ttl", "eq", 64)],
+    "unknown_field_ne": [("ttl", "ne", 64)], "two": [("protocol", "eq", 6), ("fin_count", "gt", 0)], "always": [],
+}
+
+
+def edge_rules():
+    from flowsift.sources.rulefiles import Condition, Rule
+
+    return [Rule(name, name, "low", "", tuple(Condition(*c) for c in conditions)) for name, conditions in EDGE_CONDITIONS.items()]
+
+
+@register("rule_ops_edge_cases")
+def rule_ops_edge_cases(spark, sf_dir):
+    return ru.rule_findings(_flows(spark, sf_dir), edge_rules()).select("flow_id", "rule_id")
+
+
 # --- scans ------------------------------------------------------------------
 
 @register("scan_window_counts")
@@ -217,9 +240,31 @@ def alert_list_filtered(spark, sf_dir):
 
 @register("alert_get")
 def alert_get(spark, sf_dir):
-    a = alerts_table(spark, sf_dir)
-    first_id = a.agg(F.min("id").alias("mid"))
-    return a.join(first_id, a["id"] == first_id["mid"], "left_semi")
+    """P14 through the alert store: written as one batch, then looked up by id."""
+    from flowsift.session import scratch_path
+    from flowsift.sources import alertstore as st
+
+    table = scratch_path(spark, "alert-store")
+    st.append_alerts(alerts_table(spark, sf_dir), table)
+    first_id = st.read_alerts(spark, table).agg(F.min("id")).first()[0]
+    return st.lookup(spark, table, first_id)
+
+
+@register("alert_page_after")
+def alert_page_after(spark, sf_dir):
+    """O1 by cursor through the alert store: the third page of a hundred."""
+    from flowsift.session import scratch_path
+    from flowsift.sources import alertstore as st
+
+    table = scratch_path(spark, "alert-store")
+    st.append_alerts(alerts_table(spark, sf_dir), table)
+    cursor = None
+    for _ in range(2):
+        last = st.page_after(spark, table, cursor).orderBy(F.asc("created_at"), F.desc("id")).select("created_at", "id").first()
+        if last is None:
+            break
+        cursor = (last.created_at, last.id)
+    return st.page_after(spark, table, cursor)
 
 
 @register("alert_ack_view")
@@ -259,6 +304,12 @@ def alert_stats_combined(spark, sf_dir):
     return al.stats_grouping_sets(alerts_table(spark, sf_dir))
 
 
+@register("alert_stats_nested")
+def alert_stats_nested(spark, sf_dir):
+    nested = al.stats(alerts_table(spark, sf_dir))
+    return nested.select(F.to_json(F.struct("total", "by_severity", "by_detector", "top_src_ips")).alias("stats"))
+
+
 @register("severity_share")
 def severity_share(spark, sf_dir):
     return al.severity_share(alerts_table(spark, sf_dir))
@@ -283,7 +334,7 @@ def live_latest(spark, sf_dir):
 def feed_merge(spark, sf_dir):
     a = alerts_table(spark, sf_dir)
     live = al.latest(a, FEED_LIVE)
-    persisted = al.list_alerts(a, limit=FEED_PAGE)
+    persisted = al.list_alerts(a, limit=FEED_PAGE, offset=FEED_OFFSET)
     return al.feed_merge(live, persisted).select("id", "origin")
 
 
@@ -458,6 +509,19 @@ def anomaly_findings(spark, sf_dir):
     return ifo.anomaly_findings(f, model).withColumn("confidence", F.round("confidence", 9))
 
 
+@register("train_report")
+def train_report(spark, sf_dir):
+    """The training run on the labelled flows; its report is read back from the saved model."""
+    from flowsift.operators import iforest as ifo
+    from flowsift.operators.training import training_run
+    from flowsift.session import scratch_path
+
+    path = scratch_path(spark, "model")
+    training_run(_labelled(spark, sf_dir), "flow_id").save(spark, path)
+    saved = ifo.IForestModel.load(spark, path, expect_features=list(FEATURES)).metadata["report"]
+    return spark.createDataFrame(list(saved.items()), "name string, value double").select("name", _sci("value").alias("value"))
+
+
 @register("iforest_embeddings")
 def iforest_embeddings(spark, sf_dir):
     from flowsift.operators import iforest as ifo

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from flowsift.config import DEFAULT_CONFIG, FEATURES, FLAG_LETTERS, DetectionConfig
 from flowsift.plans import oracle as o
-from flowsift.plans.catalog import ACK_RULE, FEED_LIVE, FEED_PAGE, RULE_QUERY_NAMES
+from flowsift.plans.catalog import ACK_RULE, FEED_LIVE, FEED_OFFSET, FEED_PAGE, RULE_QUERY_NAMES
 from flowsift.sources.rulefiles import load_rules
 
 ORACLE: dict[str, str] = {}
@@ -70,6 +70,21 @@ ORDER BY n DESC, src_ip LIMIT 10""")
 UNION ALL SELECT 'severity', severity, count(id) FROM alerts GROUP BY severity
 UNION ALL SELECT 'detector', detector, count(id) FROM alerts GROUP BY detector
 UNION ALL SELECT 'src_ip', src_ip, count(id) FROM alerts GROUP BY src_ip""")
+    counted = "string_agg('\"' || {k} || '\":' || n, ',' ORDER BY {k}) FROM (SELECT {k}, count(*) AS n FROM alerts GROUP BY {k})"
+    q["alert_stats_nested"] = _det_sql(f"""SELECT '{{"total":' || (SELECT count(*) FROM alerts)
+  || ',"by_severity":{{' || (SELECT {counted.format(k='severity')}) || '}},"by_detector":{{' || (SELECT {counted.format(k='detector')})
+  || '}},"top_src_ips":[' || (SELECT string_agg('{{"src_ip":"' || src_ip || '","n":' || n || '}}', ',' ORDER BY n DESC, src_ip)
+    FROM (SELECT src_ip, count(*) AS n FROM alerts GROUP BY src_ip ORDER BY n DESC, src_ip LIMIT 10)) || ']}}' AS stats""")
+    q["alert_page_after"] = _det_sql("SELECT * FROM alerts ORDER BY created_at DESC, id LIMIT 100 OFFSET 200")
+    # the rules of EDGE_RULES, written out by hand: one predicate each
+    q["rule_ops_edge_cases"] = _flows_sql("""SELECT flow_id, rule_id FROM flows, (SELECT unnest([
+  {'r': 'eq', 'm': total_packets = 1}, {'r': 'eq_text', 'm': false}, {'r': 'ne', 'm': dst_port <> 443},
+  {'r': 'ne_text', 'm': true}, {'r': 'gt', 'm': total_bytes > 60}, {'r': 'gt_text', 'm': false},
+  {'r': 'gte', 'm': total_bytes >= 60}, {'r': 'lt', 'm': duration_s < 0.5}, {'r': 'lte', 'm': syn_count <= 1},
+  {'r': 'in', 'm': protocol IN (1, 17)}, {'r': 'in_mixed', 'm': dst_port IN (22, 53)}, {'r': 'in_empty', 'm': false},
+  {'r': 'in_scalar', 'm': false}, {'r': 'eq_true', 'm': syn_count = 1}, {'r': 'unknown_field', 'm': false},
+  {'r': 'unknown_field_ne', 'm': false}, {'r': 'two', 'm': protocol = 6 AND fin_count > 0}, {'r': 'always', 'm': true}]) AS x) e,
+  LATERAL (SELECT x.r AS rule_id WHERE x.m) h""")
     q["severity_share"] = _det_sql("""SELECT s.pos, s.severity, CAST(coalesce(c.n, 0) AS BIGINT) AS n,
   coalesce(c.n, 0) * 100.0 / greatest(1, (SELECT count(*) FROM alerts)) AS share_pct
 FROM (VALUES (0, 'critical'), (1, 'high'), (2, 'medium'), (3, 'low')) s(pos, severity)
@@ -88,7 +103,7 @@ FROM alerts""")
   FROM (SELECT * FROM alerts ORDER BY created_at DESC, id LIMIT {FEED_LIVE}) l
   UNION ALL
   SELECT id, 1, created_at, name, {src}, {dst}
-  FROM (SELECT * FROM alerts ORDER BY created_at DESC, id LIMIT {FEED_PAGE}) p
+  FROM (SELECT * FROM alerts ORDER BY created_at DESC, id LIMIT {FEED_PAGE} OFFSET {FEED_OFFSET}) p
   WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM alerts ORDER BY created_at DESC, id LIMIT {FEED_LIVE}) l2
     WHERE l2.created_at = p.created_at AND l2.name = p.name
       AND {ep.format(ip='l2.src_ip', port='l2.src_port')} = {ep.format(ip='p.src_ip', port='p.src_port')}
@@ -103,6 +118,42 @@ FROM alerts""")
 _build()
 
 
+def _report_ctes(rows: str) -> list[tuple[str, str]]:
+    """``report``: M10 of ``rows(score, label)`` at 0.5."""
+    cnt = f"""SELECT count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS tp,
+  count(*) FILTER (WHERE score >= 0.5 AND label <> 1) AS fp,
+  count(*) FILTER (WHERE score < 0.5 AND label = 1) AS fn,
+  count(*) FILTER (WHERE score < 0.5 AND label <> 1) AS tn FROM {rows}"""
+
+    def div(a, b):
+        return f"CASE WHEN ({b}) > 0 THEN CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) ELSE 0.0 END"
+
+    pr = f"""SELECT {div('tp', 'tp + fp')} AS p1, {div('tp', 'tp + fn')} AS r1, tp + fn AS s1,
+  {div('tn', 'tn + fn')} AS p0, {div('tn', 'tn + fp')} AS r0, tn + fp AS s0,
+  {div('tp + tn', 'tp + tn + fp + fn')} AS acc FROM cnt"""
+    f1 = """SELECT *, CASE WHEN p1 + r1 > 0 THEN 2.0 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1,
+  CASE WHEN p0 + r0 > 0 THEN 2.0 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0 FROM pr"""
+
+    def w(a, b):
+        return div(f"{a} * s0 + {b} * s1", "s0 + s1")
+
+    rep = f"""SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, CAST(s0 AS BIGINT) AS support FROM f1t
+UNION ALL SELECT '1', p1, r1, f1, CAST(s1 AS BIGINT) FROM f1t
+UNION ALL SELECT 'accuracy', acc, acc, acc, CAST(s0 + s1 AS BIGINT) FROM f1t
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, CAST(s0 + s1 AS BIGINT) FROM f1t
+UNION ALL SELECT 'weighted avg', {w('p0', 'p1')}, {w('r0', 'r1')}, {w('f0', 'f1')}, CAST(s0 + s1 AS BIGINT) FROM f1t"""
+    return [("cnt", cnt), ("pr", pr), ("f1t", f1), ("report", rep)]
+
+
+def _rank_ctes(rows: str) -> list[tuple[str, str]]:
+    """``ranked``: distinct scores of ``rows(score, label)`` with what lies below and at or above each."""
+    return [("grouped", f"""SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+FROM {rows} GROUP BY score"""), ("ranked", """SELECT *, sum(neg) OVER up - neg AS neg_below,
+  sum(pos) OVER down AS tp_ge, sum(pos + neg) OVER down AS pred_ge FROM grouped
+WINDOW up AS (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  down AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")]
+
+
 def _training_sql() -> None:
     q = ORACLE
     feats = {
@@ -189,29 +240,7 @@ FROM c""")
   sum(pos + neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pred_ge FROM g""")],
         """SELECT printf('%.9e', sum((CAST(pos AS DOUBLE) / (SELECT CAST(sum(pos) AS DOUBLE) FROM g))
   * (CAST(tp_ge AS DOUBLE) / CAST(pred_ge AS DOUBLE)))) AS average_precision FROM c""")
-    cnt = """SELECT count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS tp,
-  count(*) FILTER (WHERE score >= 0.5 AND label <> 1) AS fp,
-  count(*) FILTER (WHERE score < 0.5 AND label = 1) AS fn,
-  count(*) FILTER (WHERE score < 0.5 AND label <> 1) AS tn FROM unit"""
-
-    def div(a, b):
-        return f"CASE WHEN ({b}) > 0 THEN CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) ELSE 0.0 END"
-
-    pr = f"""SELECT {div('tp', 'tp + fp')} AS p1, {div('tp', 'tp + fn')} AS r1, tp + fn AS s1,
-  {div('tn', 'tn + fn')} AS p0, {div('tn', 'tn + fp')} AS r0, tn + fp AS s0,
-  {div('tp + tn', 'tp + tn + fp + fn')} AS acc FROM cnt"""
-    f1 = """SELECT *, CASE WHEN p1 + r1 > 0 THEN 2.0 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1,
-  CASE WHEN p0 + r0 > 0 THEN 2.0 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0 FROM pr"""
-
-    def w(a, b):
-        return div(f"{a} * s0 + {b} * s1", "s0 + s1")
-
-    rep = f"""SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, CAST(s0 AS BIGINT) AS support FROM f1t
-UNION ALL SELECT '1', p1, r1, f1, CAST(s1 AS BIGINT) FROM f1t
-UNION ALL SELECT 'accuracy', acc, acc, acc, CAST(s0 + s1 AS BIGINT) FROM f1t
-UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, CAST(s0 + s1 AS BIGINT) FROM f1t
-UNION ALL SELECT 'weighted avg', {w('p0', 'p1')}, {w('r0', 'r1')}, {w('f0', 'f1')}, CAST(s0 + s1 AS BIGINT) FROM f1t"""
-    q["classification_report"] = o.sql(mctes + [("cnt", cnt), ("pr", pr), ("f1t", f1)], rep)
+    q["classification_report"] = o.sql(mctes + _report_ctes("unit"), "SELECT * FROM report")
 
 
 _training_sql()
@@ -250,6 +279,19 @@ def _forest_sql() -> None:
   printf('Isolation-forest anomaly score %.3f for flow %s:%d -> %s:%d', score, src_ip, src_port, dst_ip, dst_port) AS description,
   to_json({{'anomaly_score': round(score, 4), 'src_ip': src_ip, 'dst_ip': dst_ip, 'dst_port': dst_port}}) AS evidence
 FROM calibrated JOIN spl ON id = flow_id WHERE score >= 0.5""")
+    run = [*labelled, ("held", "SELECT score, label FROM calibrated JOIN spl ON id = flow_id WHERE split = 'test'"),
+           *_rank_ctes("held"), *_report_ctes("held")]
+    names = {"rows": "SELECT count(*) FROM spl", "attack_rate": "SELECT avg(label::DOUBLE) FROM spl",
+             "n_train_benign": "SELECT count(*) FROM train_rows", "n_test": "SELECT count(*) FROM held",
+             "n_test_attack": "SELECT count(*) FROM held WHERE label = 1", "calib_lo": "SELECT lo FROM forest_bounds",
+             "calib_hi": "SELECT hi FROM forest_bounds",
+             "roc_auc": """SELECT CASE WHEN sum(pos) * sum(neg) > 0 THEN CAST(sum(pos * neg_below * 2 + pos * neg) AS DOUBLE)
+  / CAST(sum(pos) * sum(neg) * 2 AS DOUBLE) END FROM ranked""",
+             "average_precision": """SELECT sum((CAST(pos AS DOUBLE) / (SELECT CAST(sum(pos) AS DOUBLE) FROM grouped))
+  * (CAST(tp_ge AS DOUBLE) / CAST(pred_ge AS DOUBLE))) FROM ranked"""}
+    parts = [f"SELECT '{n}' AS name, printf('%.9e', ({x})::DOUBLE) AS value" for n, x in names.items()]
+    parts += [f"SELECT class || ' {m}', printf('%.9e', {m}::DOUBLE) FROM report" for m in ("precision", "recall", "f1_score", "support")]
+    ORACLE["train_report"] = o.sql(run, "\nUNION ALL ".join(parts))
     emb = [("e", "SELECT vec_id, label, vec_id::VARCHAR AS id, embedding::DOUBLE[] AS x FROM embeddings"),
            ("normal", "SELECT id, x FROM e WHERE label = 0"),
            *forest_ctes("normal", 64), *score_ctes("e", "scored")]

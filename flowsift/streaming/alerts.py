@@ -5,8 +5,9 @@
   window of what may still come (``applyInPandasWithState``). A flow is counted once the
   watermark has passed it, so late flows within the lateness count as in batch; an event-time
   timer counts what waits and clears a source once the watermark leaves its window.
-* S5: alerts are appended per micro-batch into ``<table>/batch_id=<n>`` with overwrite, so
-  a replayed batch rewrites the same folder: exactly-once output with at-least-once runs.
+* S5: alerts are appended per micro-batch to the same alert store as batch runs (one committed
+  batch a micro-batch), so a replayed one rewrites its folder: exactly-once output with
+  at-least-once runs.
 * S9/T8op: a notification callback gets the payloads of alerts at or above a severity
   floor, per partition on the executors; a failing callback is caught and counted and
   never stops detection.
@@ -30,6 +31,7 @@ from flowsift.operators import findings as fd
 from flowsift.operators import rules as ru
 from flowsift.operators import scans as sc
 from flowsift.schemas import FLOWS
+from flowsift.sources.alertstore import append_alerts, read_alerts
 from flowsift.sources.rulefiles import Rule
 from flowsift.streaming.flows import check_late, run_available
 
@@ -116,10 +118,10 @@ def stream_rule_findings(flows: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def alert_sink(table: str, notify: Callable[[list[dict]], None] | None = None,
-               min_severity: str = "low"):
-    """S5 + S9 as a ``foreachBatch`` function (idempotent per batch id)."""
+               min_severity: str = "low", name: str = "stream"):
+    """S5 + S9 as a ``foreachBatch`` function: micro-batch n is the store's batch ``<name>-<n>``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        append_alerts(batch, table, f"{name}-{batch_id}")
         if notify is None:
             return
         payloads = al.notify_payloads(batch, min_severity)
@@ -173,7 +175,7 @@ def run_detection_to_end(spark: SparkSession, flows_dir: str, alerts_table: str,
     run_available(spark, writer, progress)  # moves the watermark past every flow
     run_available(spark, writer, progress)  # a batch in which the last windows are counted
     check_late(progress, allow_late)
-    return spark.read.parquet(alerts_table).drop("batch_id")
+    return read_alerts(spark, alerts_table)
 
 
 def live_feed(alerts: DataFrame) -> DataFrame:

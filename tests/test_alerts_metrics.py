@@ -81,7 +81,65 @@ def test_notifier_failure_is_isolated(spark, tmp_path):
     sink = alert_sink(str(tmp_path / "sink"), notify=boom, min_severity="high")
     sink(_alerts(spark), 0)
     sink(_alerts(spark), 0)  # a replayed batch rewrites the same folder
-    assert spark.read.parquet(str(tmp_path / "sink")).count() == 4
+    from flowsift.sources import alertstore as st
+
+    assert st.read_alerts(spark, str(tmp_path / "sink")).count() == 4
+    assert st.committed(spark, str(tmp_path / "sink")) == ["stream-0"]
+
+
+def test_appending_twice_changes_nothing(spark, tmp_path):
+    from flowsift.sources import alertstore as st
+
+    table, a = str(tmp_path / "store"), _alerts(spark)
+    assert st.read_alerts(spark, table).count() == 0 and st.page_after(spark, table).count() == 0
+    first = st.append_alerts(a, table)
+    assert st.append_alerts(a.repartition(3).orderBy(F.desc("id")), table) == first  # the same rows, however they lie
+    assert st.read_alerts(spark, table).count() == 4
+    other = a.where("id <> 'id0'").withColumn("id", F.concat("id", F.lit("x")))
+    assert st.append_alerts(other, table) != first and st.read_alerts(spark, table).count() == 7
+    # a batch that was written but not committed is not seen
+    a.withColumn("day", F.to_date("created_at")).write.partitionBy("day").parquet(f"{table}/alerts/batch=torn")
+    assert st.read_alerts(spark, table).count() == 7
+    assert st.lookup(spark, table, "id2").count() == 1 and st.lookup(spark, table, "nowhere").count() == 0
+    empty = st.append_alerts(a.limit(0), table)
+    assert empty in st.committed(spark, table) and st.read_alerts(spark, table).count() == 7
+
+
+def test_pages_by_cursor_read_no_later_days(spark, tmp_path):
+    from flowsift.sources import alertstore as st
+
+    table = str(tmp_path / "store")
+    a = spark.range(3000).select(
+        F.md5(F.col("id").cast("string")).alias("id"),
+        F.expr("timestampadd(MINUTE, cast(id div 2 as int), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("created_at"),
+        *[F.lit("x").alias(c) for c in ("detector", "rule_id", "name", "severity")], F.lit(0.5).alias("confidence"),
+        *[F.lit("x").alias(c) for c in ("description", "src_ip", "dst_ip")],
+        *[F.lit(1).alias(c) for c in ("src_port", "dst_port", "protocol")], F.lit("{}").alias("evidence"), F.lit(False).alias("acknowledged"))
+    st.append_alerts(a, table)
+    want = [r.id for r in a.orderBy(F.desc("created_at"), "id").collect()]
+    got, cursor = [], None
+    for _ in range(4):
+        page = st.page_after(spark, table, cursor, limit=700).collect()
+        page.sort(key=lambda r: r.id)
+        page.sort(key=lambda r: r.created_at, reverse=True)
+        got += [r.id for r in page]
+        cursor = (page[-1].created_at, page[-1].id)
+    assert got == want[:2800]
+    plan = st.page_after(spark, table, cursor, limit=700)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(created_at" in plan and "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_nested_stats_keep_few_rows(spark):
+    from flowsift.operators.alerts import stats
+
+    rows = [(f"i{i}", ["low", "high"][i % 2], "signature", f"10.0.{i % 50}.{i % 7}") for i in range(2000)]
+    a = spark.createDataFrame(rows, "id string, severity string, detector string, src_ip string")
+    got = stats(a, top_n=3).first()
+    assert got.total == 2000 and got.by_severity == {"high": 1000, "low": 1000} and got.by_detector == {"signature": 2000}
+    counts = sorted(((-r["count"], r.src_ip) for r in a.groupBy("src_ip").count().collect()))[:3]
+    assert [(x.src_ip, x.n) for x in got.top_src_ips] == [(k, -n) for n, k in counts]
+    assert "WindowGroupLimit" in stats(a)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_latest_buffer_sink_keeps_newest(spark, tmp_path):
