@@ -95,19 +95,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 OP6 = r"""
-WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, w[p:p + 3] AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS p
+s AS (SELECT DISTINCT rid, w[p:p + 3] AS g FROM (SELECT rid, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS p
                                              FROM d WHERE len(w) > 0)),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
-e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
-r AS (SELECT a AS doc_id, a AS node FROM (SELECT DISTINCT a FROM e) UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.node = e.a),
-m AS (SELECT doc_id, min(node) AS component_id FROM r GROUP BY doc_id)
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+i AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.rid <> b.rid GROUP BY ALL),
+e AS (SELECT a, b FROM i JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (SELECT a AS rid, a AS node FROM (SELECT DISTINCT a FROM e) UNION SELECT r.rid, e.b FROM r JOIN e ON r.node = e.a),
+m AS (SELECT r.rid, min(d.doc_id) AS component_id FROM r JOIN d ON d.rid = r.node GROUP BY r.rid)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
        d.doc_id = coalesce(component_id, d.doc_id) AS kept
-FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+FROM d LEFT JOIN n USING (rid) LEFT JOIN m USING (rid)
 """
 
 OP8 = r"""
