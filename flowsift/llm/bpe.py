@@ -263,6 +263,11 @@ def byte_chars() -> list[str]:
     return [chr(b if b in shown else next(hidden)) for b in range(256)]
 
 
+def normalized(text: str) -> str:
+    """A text of the characters of :data:`SIMPLE`, as the tokenizer's normalizers leave it (white space apart)."""
+    return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()  # no final sigma there
+
+
 class Encoder:
     """Ids of texts."""
 
@@ -276,7 +281,7 @@ class Encoder:
     def cut(self, text: str) -> list[str]:
         """The normalized pieces of a text."""
         if SIMPLE.fullmatch(text):
-            return PIECE.findall(unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower())
+            return PIECE.findall(normalized(text))
         normal = self.library.normalizer.normalize_str(text)
         return [normal[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 

@@ -12,9 +12,10 @@ to meet their place. Tokenizing is never repeated: its output is a scratch table
 
 Words are tokenized through a bounded memory of words already seen (kept by each Python worker);
 that is exact for tokenizers that lower-case and never join text across white space, as the one used
-here. New words of printable ASCII or of Latin, Greek and Cyrillic letters are cut into pieces here
-and go straight to the tokenizer's merges; all others, and every word where the tokenizer's
-configuration is not the known one, go through the whole tokenizer. Tests compare it with whole texts.
+here. New words of ASCII, Latin, Greek and Cyrillic characters are cut into pieces here, a batch at a
+time, and new pieces go straight to the tokenizer's merges; all other words, and every word where the
+tokenizer's configuration is not the known one, go through the whole tokenizer. Tests compare it with
+whole texts.
 
 Defined cases: null and empty texts are the closing id alone; a null id is returned as null;
 repeated rows are packed each; an empty table gives no pieces; other columns are ignored.
@@ -24,24 +25,25 @@ from __future__ import annotations
 
 import itertools
 import json
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .bpe import NORMALIZERS, PATTERN, SIMPLE, byte_chars, normalized
 from .common import scratch, shipped
 from .hashing import U, mix
 from .hilbert import hilbert_keys, to_cells
 
 DIMENSIONS, BITS = 4, 12
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 400_000
 #: Most ids whose packed projections are summed at once (16 bits a lane, up to 2 for each id).
 LANE = 30_000
 
@@ -56,91 +58,104 @@ def projection(ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def vector(own: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Mean projection of a document's ids."""
-    total = np.zeros(DIMENSIONS)
-    for i in range(0, len(own), LANE):
-        packed = int(table[own[i: i + LANE]].sum())
-        total += [(packed >> (16 * k)) & 0xFFFF for k in range(DIMENSIONS)]
-    return total / len(own) - 1
+def vectors(ids: np.ndarray, n: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Mean projection of each document's ids; ``ids`` holds those of all documents, ``n`` their numbers (at least 1).
+    Lanes are added up in stretches that cannot overflow."""
+    starts = np.cumsum(n) - n
+    stretches = -(-n // LANE)
+    owner = np.repeat(np.arange(len(n)), stretches)
+    at = starts[owner] + LANE * (np.arange(len(owner)) - np.repeat(np.cumsum(stretches) - stretches, stretches))
+    packed = np.add.reduceat(table[ids], at)
+    out = np.zeros((len(n), DIMENSIONS))
+    for k in range(DIMENSIONS):
+        out[:, k] = np.bincount(owner, weights=((packed >> U(16 * k)) & U(0xFFFF)).astype(float), minlength=len(n))
+    return out / n[:, None] - 1
 
 
-#: Normalizer and pre-tokenizer (fixed values of the public tokenizer) under which words may be cut here.
-KNOWN_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
-KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same split for lower-cased printable ASCII.
-ASCII_PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-ASCII_WORD = re.compile(rb"[!-~]+")
-#: ASCII marks: a run of them at a word's end is a piece of its own.
-MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
-#: Latin, Greek and Cyrillic lie below; later blocks go through the whole tokenizer.
-FAST_BELOW = "\u0530"
-
-
-def _byte_chars() -> dict[int, int]:
-    """Byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on."""
-    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    hidden = [i for i in range(256) if i not in shown]
-    return {b: 256 + i for i, b in enumerate(hidden)}
+#: The tokenizer's pieces, and the ends of words that are cut together.
+CUT = regex.compile(PATTERN + r"|\n")
+#: Stands for the end of a word among ids (no tokenizer has that many).
+END = 0xFFFFFFFF
 
 
 class Words(dict):
-    """Token ids (little-endian unsigned 32-bit) of each word, remembered up to a bound."""
+    """Token ids (little-endian unsigned 32-bit) of each word, remembered up to a bound: the fuller half turns
+    into the older one, and words met again come back from there, so frequent words are never learned anew."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.byte_chars = self.tokenizer.model, _byte_chars()
+        self.model, self.chars = self.tokenizer.model, dict(enumerate(byte_chars()))
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
         normalizers = [n["type"] for n in (config.get("normalizer") or {}).get("normalizers", [])]
         splits = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
-        self.known = (normalizers == KNOWN_NORMALIZERS and [p["type"] for p in splits] == ["Split", "ByteLevel"]
-                      and splits[0]["pattern"].get("Regex") == KNOWN_SPLIT)
-
-    def piece(self, piece: str) -> bytes:
-        """Ids of one piece, given in the byte-level alphabet."""
-        ids = [t.id for t in self.model.tokenize(piece)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.known = (normalizers == NORMALIZERS and [p["type"] for p in splits] == ["Split", "ByteLevel"]
+                      and splits[0]["pattern"].get("Regex") == PATTERN)
+        self.older: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def learn(self, words: set[bytes]) -> None:
+    def ids(self, texts: list[list[bytes]]) -> list[bytes]:
+        """Ids of each text, given as words; one look into the memory for every word that it holds."""
         if len(self) > REMEMBERED_WORDS:
+            self.older = dict(self)
             self.clear()
-        alone: list[bytes] = []
-        letters: list[tuple[bytes, str]] = []
+        found = [list(map(self.get, words)) for words in texts]
+        missing: set[bytes] = set()
+        for words, known in zip(texts, found):
+            if None in known:
+                missing.update([w for w, k in zip(words, known) if k is None])
+        self.learn(missing)
+        return [b"".join([self[w] if k is None else k for w, k in zip(words, known)]) if None in known else b"".join(known)
+                for words, known in zip(texts, found)]
+
+    def learn(self, words: set[bytes]) -> None:
+        """Takes words into the memory, from its older half or anew."""
+        new = []
         for w in words:
-            if w in self:
-                continue
-            if not self.known or b"<|" in w:  # may hold a special token
-                alone.append(w)
-            elif ASCII_WORD.fullmatch(w):
-                pieces = ASCII_PIECE.findall(w.lower())
-                for p in pieces:
-                    if p not in self:
-                        self[p] = self.piece(p.decode("ascii"))
-                self[w] = b"".join([self[p] for p in pieces])
+            if w in self.older:
+                self[w] = self.older[w]
             else:
-                text = w.rstrip(MARKS).decode("utf-8", "replace")
-                if text.isalpha() and max(text) < FAST_BELOW:
-                    letters.append((w, text))
-                else:
-                    alone.append(w)
-        if letters:
-            normal = self.tokenizer.normalizer.normalize_str(" ".join([t for _, t in letters])).split(" ")
-            for (w, _), t in zip(letters, normal, strict=True):
-                if t.isalpha():
-                    tail = w[len(w.rstrip(MARKS)):]
-                    if tail and tail not in self:
-                        self[tail] = self.piece(tail.decode("ascii"))
-                    self[w] = self.piece(t.encode().decode("latin-1").translate(self.byte_chars)) + (self[tail] if tail else b"")
-                else:
-                    alone.append(w)
+                new.append(w)
+        if not new:
+            return
+        alone: list[bytes] = []
+        if not self.known:
+            alone, new = new, []
+        text = b"\n".join(new).decode("utf-8", "replace")
+        if not SIMPLE.fullmatch(text) or "<|" in text:  # other scripts, or perhaps a special token
+            simple = [SIMPLE.fullmatch(t) is not None and "<|" not in t for t in text.split("\n")]
+            alone += [w for w, s in zip(new, simple) if not s]
+            new = [w for w, s in zip(new, simple) if s]
+            text = b"\n".join(new).decode("utf-8", "replace")
+        if new:
+            self.merge(new, normalized(text))
         texts = [w.decode("utf-8", "replace") for w in alone]
         for w, e in zip(alone, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
             self[w] = np.array(e.ids, dtype="<u4").tobytes()
 
+    def merge(self, words: list[bytes], text: str) -> None:
+        """Ids of words that are cut into pieces together; only new pieces go to the tokenizer's merges."""
+        found = CUT.findall(text)
+        if len(self.pieces) > REMEMBERED_WORDS:
+            self.pieces.clear()
+        self.pieces["\n"] = struct.pack("<I", END)
+        fresh = [p for p in set(found) if p not in self.pieces]
+        tokens = [self.model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.chars)) for p in fresh]
+        data = np.fromiter((t.id for ts in tokens for t in ts), dtype="<u4").tobytes()
+        at = 0
+        for p, ts in zip(fresh, tokens):
+            self.pieces[p] = data[at: at + 4 * len(ts)]
+            at += 4 * len(ts)
+        data = b"".join(map(self.pieces.__getitem__, found))
+        ends = 4 * np.flatnonzero(np.frombuffer(data, dtype="<u4") == END)
+        at = 0
+        for w, end in zip(words, [*ends.tolist(), len(data)]):
+            self[w] = data[at:end]
+            at = end + 4
+
 
 #: One memory for each tokenizer in a Python worker, kept between its tasks.
 _KNOWN: dict[str, Words] = {}
@@ -169,19 +184,15 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: st
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 split = [_split(x) for x in part.column(1).cast(pa.binary()).to_pylist()]
-                known.learn(set(itertools.chain.from_iterable(split)))
-                ids, n, v = [], [], []
-                for words in split:
-                    data = b"".join(map(known.__getitem__, words)) + end
-                    own = np.frombuffer(data, dtype="<u4")
-                    if int(own.max()) >= len(table):
-                        table = projection(np.arange(max(1024, 2 * int(own.max()))))
-                    ids.append(data)
-                    n.append(len(own))
-                    v.append(vector(own, table))
+                ids = [x + end for x in known.ids(split)]
+                n = np.array([len(x) // 4 for x in ids])
+                every = np.frombuffer(b"".join(ids), dtype="<u4")
+                if int(every.max()) >= len(table):
+                    table = projection(np.arange(max(1024, 2 * int(every.max()))))
+                v = vectors(every, n, table)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(itertools.islice(rows, part.num_rows), pa.int64()), part.column(0), pa.array(n, pa.int64()),
-                     pa.array(v, pa.list_(pa.float64())), pa.array(ids, pa.binary())], ["row", "doc_id", "n", "v", "ids"])
+                     pa.array(v.tolist(), pa.list_(pa.float64())), pa.array(ids, pa.binary())], ["row", "doc_id", "n", "v", "ids"])
 
     d = shipped(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return scratch(d.mapInArrow(read, "row long, doc_id long, n long, v array<double>, ids binary"), "pack-ids")
@@ -228,7 +239,8 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 4096, end_id: int =
     """One row for each piece of a document in a sequence: (doc_id, start, length, ids_crc32,
     doc_tokens, sequence_id, offset, ids); ``ids`` (unsigned 32-bit) is null unless ``with_ids``."""
     tokens = tokenized(docs, tokenizer_path, end_id, id_col, text_col)
-    placed = tokens.select("row", "doc_id", "ids").join(places(tokens), "row").select("doc_id", "ids", "at")
+    # the narrow side is hashed, so the ids are not sorted to meet their places
+    placed = tokens.select("row", "doc_id", "ids").join(places(tokens).hint("shuffle_hash"), "row").select("doc_id", "ids", "at")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
