@@ -13,7 +13,8 @@ the near-duplicate stage; so no document is emptied. ``line_dedup`` by itself fo
 SQL twin: a document loses its boilerplate lines if that takes at most half of its words.
 
 Defined cases: null and empty texts have no lines and stay as they are; a null site is a site of
-its own; rows that agree in id and text are each cleaned; other columns pass through.
+its own; rows that agree in id and text are each cleaned; texts of very many lines take time in
+proportion to them; an empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
@@ -33,9 +34,11 @@ LINE = ["l1", "l2"]
 
 def line_table(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
     """One row for each line with a word: document key, place, words, site, line name."""
+    # the key is made below the generator, once a document; beside it, it would be made for every line
     d = docs.select(*doc_key(F.col(id_col), F.col(text_col)),
                     F.coalesce(F.col(site_col).cast("string"), F.lit("\0")).alias("site"),
-                    F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("place", "raw"))
+                    F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("split"))
+    d = d.select(*KEY, "site", F.posexplode("split").alias("place", "raw"))
     d = d.withColumn("line", F.btrim("raw", F.lit(" \t\x0b\x0c\r"))).where(F.length("line") > 0)
     return d.select(*KEY, "place", "site", F.size(F.split("line", SPACES)).alias("n"),
                     F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"))
@@ -61,19 +64,26 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_i
     is spared only if it has no line of its own, else if boilerplate makes more than half of its words."""
     lines = scratch(line_table(docs, id_col, text_col, site_col), "lines")
     often, names = boilerplate(lines, min_sites)
-    hits = often.join(names, LINE, "left_semi").groupBy(*KEY).agg(F.collect_set(F.struct("place", "n")).alias("_l_hits"))
+    hits = often.join(names, LINE, "left_semi").groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("place", "n"))).alias("hits"))
+    hits = hits.select(*KEY, F.col("hits.place").alias("_l_places"),
+                       F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("_l_lost"))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")  # its names clash with none
     d = join_key(docs.select(whole, *doc_key(F.col(id_col), F.col(text_col))), hits)
     text = F.col("doc").getField(text_col)
     raw = F.split(text, "\n")
     n_words: Column = F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), ""))
-    lost = F.aggregate("_l_hits", F.lit(0), lambda a, x: a + x["n"])
-    cut = F.col("_l_hits").isNotNull() & ((lost < n_words) if spare_copies_only else (lost * 2 <= n_words))
-    places = F.col("_l_hits.place")
-    kept = F.when(cut, F.filter(raw, lambda x, i: ~F.array_contains(places, i))).otherwise(raw)
-    return d.select("doc.*", F.coalesce(F.size(raw), F.lit(0)).alias("_l_lines"),
-                    F.when(F.col("_l_hits").isNull(), 0).otherwise(F.size("_l_hits")).alias("_l_boilerplate"),
-                    kept.alias("_l_kept"))
+    cut = (F.col("_l_lost") < n_words) if spare_copies_only else (F.col("_l_lost") * 2 <= n_words)
+    # edges and lines are made once a row: a generator's output is never made anew inside the lambdas below
+    edges = F.when(cut, F.concat(F.array(F.lit(-1)), F.col("_l_places"), F.array(F.size(raw))))
+    d = d.select("doc", "_l_places", F.explode(F.array(F.struct(raw.alias("raw"), edges.alias("edges")))).alias("once"))
+    d = d.select("doc", "_l_places", F.col("once.raw").alias("_l_raw"), F.explode(F.array("once.edges")).alias("_l_edges"))
+    # one flag a line, from the gaps between cut lines; the flag past the last line meets none
+    stays = F.flatten(F.transform(F.sequence(F.lit(0), F.size("_l_edges") - 2), lambda k: F.concat(
+        F.array_repeat(F.lit(True), F.get("_l_edges", k + 1) - F.get("_l_edges", k) - 1), F.array(F.lit(False)))))
+    flagged = F.filter(F.zip_with("_l_raw", stays, lambda x, f: F.struct(x.alias("x"), f.alias("f"))), lambda y: y["f"])
+    kept = F.when(F.col("_l_edges").isNull(), F.col("_l_raw")).otherwise(F.transform(flagged, lambda y: y["x"]))
+    return d.select("doc.*", F.coalesce(F.size("_l_raw"), F.lit(0)).alias("_l_lines"),
+                    F.coalesce(F.size("_l_places"), F.lit(0)).alias("_l_boilerplate"), kept.alias("_l_kept"))
 
 
 def clean(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:
