@@ -7,14 +7,16 @@ one pair and its parts between the other are candidates instead. Its encoding is
 all its characters. Three tests ask whether the token can be uniformly random in that alphabet:
 chi-squared over the alphabet, Wald-Wolfowitz runs about the alphabet's middle, and lag-1 serial
 correlation. A token that fails none of them is weighed against ordinary text: e = the likelihood
-ratio of uniform characters over the corpus's own character frequencies (counted over all texts).
+ratio of uniform characters over the corpus's own character frequencies (counted over all texts, tokens
+that are candidates themselves left out, so that random tokens do not make random text look ordinary).
 E-values grow with the token's length by themselves; discoveries are controlled at ``fdr`` for each
 length class by the e-value form of the Benjamini-Hochberg step (reject the k largest when the k-th
 is at least m / (fdr k)), which holds under any dependence. The step needs only a histogram of
 log e, which Spark sums; its size is fixed.
 
-Defined cases: a null or empty text holds nothing; repeated rows are each scanned; other columns
-are ignored.
+Defined cases: a null or empty text holds nothing; repeated rows are each scanned; very long texts and
+texts of very many tokens take time in proportion to their length; a null id is returned as null; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -125,12 +127,12 @@ def candidates(text: str, counts: list[int]) -> list[tuple[int, int, int, int, b
 
 
 def character_counts(docs: DataFrame, text_col: str) -> list[int]:
-    """How often each ASCII character stands in the corpus: one row of 128 sums for each batch, then
-    one aggregation; 128 numbers reach the driver."""
+    """How often each ASCII character stands in the corpus outside candidate tokens: one row of 128 sums for
+    each partition, then one aggregation; 128 numbers reach the driver."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(256, dtype=np.int64)
         for b in batches:
-            data = "".join(x for x in b.column(0).to_pylist() if x).encode("utf-8", "replace")
+            data = CANDIDATE.sub("", "\n".join(x for x in b.column(0).to_pylist() if x)).encode("utf-8", "replace")
             total += np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256)
         yield pa.RecordBatch.from_pydict({"c": pa.array(range(128), pa.int32()), "n": pa.array(total[:128], pa.int64())})
 
@@ -163,13 +165,26 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     d = scratch(d.mapInArrow(read, SCANNED), "secret-spans")
     limits = thresholds(d.select(F.inline("tokens")), fdr)
-    found = F.filter("tokens", lambda t: t["random"] & F.coalesce(
-        *[F.when(t["length"] == k, t["e"] >= v) for k, v in limits.items()], F.lit(False)))
-    # of parts that lie one in the other, the outer one
-    found = F.filter(found, lambda t: ~F.exists(found, lambda o: (o["start"] <= t["start"]) & (o["stop"] >= t["stop"])
-                                               & (o["stop"] - o["start"] > t["stop"] - t["start"])))
-    found = F.transform(found, lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["stop"].alias("stop")))
-    return d.select(F.col("doc_id").alias(id_col), "base", found.alias("found"))
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [[{"start": s, "kind": 3, "stop": e} for s, e in outermost(
+                [(t["start"], t["stop"]) for t in tokens if t["random"] and t["e"] >= limits.get(t["length"], BINS + 1)])]
+                for tokens in b.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("base"), pa.array(found, span)], ["doc_id", "base", "found"])
+
+    spans = "array<struct<start:long,kind:int,stop:long>>"
+    return d.mapInArrow(decide, f"doc_id long, base {spans}, found {spans}").withColumnRenamed("doc_id", id_col)
+
+
+def outermost(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of spans that lie one in the other, the outer ones, in order: one pass over the sorted spans."""
+    out, reach = [], -1
+    for start, stop in sorted(spans, key=lambda x: (x[0], -x[1])):
+        if stop > reach:
+            out.append((start, stop))
+            reach = stop
+    return out
 
 
 def thresholds(tokens: DataFrame, fdr: float) -> dict[int, int]:
