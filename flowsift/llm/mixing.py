@@ -12,8 +12,8 @@ combined), the bucket holding the cut is found on the bucket sums, and rows are
 that one bucket only, so a source with a third of all rows is no hot spot.
 
 Defined cases: a null text has size 0; a null source is a source of its own and sorts last; a
-source without words gets target 0; repeated rows each take part; an empty table gives an empty
-result. Columns other than id, text and source are ignored.
+source without words gets target 0; repeated rows each take part; very long texts count whole; an
+empty table gives an empty result. Columns other than id, text and source are ignored.
 """
 
 from __future__ import annotations
@@ -61,12 +61,11 @@ def weigh(sources: DataFrame, weights: Sequence[int]) -> DataFrame:
 
 def sizes(docs: DataFrame, seed: int, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source", by_text: bool = False) -> DataFrame:
-    """Narrow pass over the texts: (doc_id, source, size, key, bucket). The key is drawn from the id or,
-    with ``by_text``, from id and text, whose columns KEY are then added."""
-    ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    """Narrow pass over the texts: (doc_id, source, size, key, bucket). The key is drawn from id and text, so
+    rows without an id, or of one id, spread like others; with ``by_text`` the columns KEY are added."""
+    body = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    ident = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), body)
     own = doc_key(F.col(id_col), F.col(text_col)) if by_text else []
-    if by_text:
-        ident = F.concat_ws(":", ident, *[x.cast("string") for x in own[1:]])
     return docs.select(
         *own,
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
@@ -82,8 +81,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share_pct: int = 15
 
     ``taken`` counts words, repeats included. The document at the cut gives the words still owed,
     so each source takes floor(target) words exactly; with ``whole`` it is taken entirely if at
-    least half of it is owed, else not at all (then ``taken`` is a multiple of ``size``). With
-    ``by_text`` rows that share an id, or have none, draw by their texts, each on its own.
+    least half of it is owed, else not at all (then ``taken`` is a multiple of ``size``). Rows
+    that share an id, or have none, draw by their texts, each on its own.
     """
     d = scratch(sizes(docs, seed, id_col, text_col, source_col, by_text), "mix-sizes")
     by_bucket = d.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))

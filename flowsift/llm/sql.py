@@ -51,7 +51,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(kept))::BIGINT AS n_remo
 
 OP4 = rf"""
 WITH d AS (SELECT doc_id, source, len({W})::BIGINT AS size,
-                  md5('17:' || coalesce(doc_id::VARCHAR, 'null')) AS key FROM documents),
+                  md5('17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
                 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END::BIGINT AS weight, 2 * source_size AS cap FROM s),
