@@ -8,8 +8,8 @@ and neutral mentions are not taken for insults. Neutral carrier sentences are pa
 way, which ties the terms together even where the labelled rows hold few of them.
 
 Defined cases: null and empty texts are scored like a text without known words; rows without a
-label or an id train nothing; repeated rows are scored alike; without labelled rows of both kinds
-every score is the base rate; other columns are ignored.
+label or an id train nothing; repeated rows are scored alike; very long texts are read whole; without
+labelled rows of both kinds every score is the base rate; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from .common import scratch, shipped
 
 MAX_ROWS = 16_384
 MAX_WORDS = 2_048
+MAX_SENTENCES = 2_048
 MIN_ROWS = 4
 MIN_Z = 4.0
 THRESHOLD = 0.7
@@ -105,14 +106,17 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray
     return w, bias
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text",
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS,
+          max_sentences: int = MAX_SENTENCES, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
     """Fits on at most about ``max_rows`` labelled rows outside the held-out third, chosen by a hash
-    of their id. The driver receives those rows' known words only: at most ``max_rows`` short lists."""
+    of their id, over the ``max_words`` most telling words and the terms. Pairs come from the
+    ``max_sentences`` mentioning sentences of those rows that have the smallest hash, so the same rows give
+    the same model however they lie. The driver receives known words and those sentences only."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).cast("int").alias("y"))
     share = min(1.0, max_rows / max(known.count(), 1))
-    known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    known = known.where(F.shiftrightunsigned(F.xxhash64("id"), 11) < int(share * (1 << 53)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -121,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
                 ws.append([w.decode() for w in word_set(text)])
                 mention = re.split(r"[.!?\n]+", text or "") if any(t in (text or "").lower() for t in TERMS) else []
                 own = [word_set(x) for x in mention]
-                sentences.append([" ".join(sorted(w.decode() for w in x)) for x in own if any(t.encode() in x for t in TERMS)][:8])
+                sentences.append([" ".join(sorted(w.decode() for w in x)) for x in own if any(t.encode() in x for t in TERMS)])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ws, pa.list_(pa.string())), pa.array(sentences, pa.list_(pa.string()))],
                                              ["y", "ws", "sentences"])
 
@@ -136,12 +140,14 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     seen = sample.select("y", F.explode("ws").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("t"))
     z = (F.col("t") - F.col("c") * rate) / F.sqrt(F.col("c") * rate * (1 - rate))
     chosen = seen.where(F.col("c") >= MIN_ROWS).withColumn("z", z).where(F.abs("z") >= MIN_Z)
-    words = {r.w for r in chosen.orderBy(F.abs("z").desc(), "w").limit(MAX_WORDS).collect()} | TERMS.keys()
+    words = {r.w for r in chosen.orderBy(F.abs("z").desc(), "w").limit(max_words).collect()} | TERMS.keys()
     vocabulary = {w: i for i, w in enumerate(sorted(words))}
     mine = F.array_intersect("ws", F.array(*[F.lit(w) for w in vocabulary]))
-    rows = sample.select("y", mine.alias("ws"), F.slice("sentences", 1, 2).alias("sentences")).toPandas()
+    rows = sample.select("y", F.array_sort(mine).alias("ws")).toPandas()
+    rows = rows.iloc[np.argsort(np.array([f"{y} {' '.join(ws)}" for y, ws in zip(rows["y"], rows["ws"])]), kind="stable")]
+    drawn = sample.select(F.explode("sentences").alias("s")).distinct().orderBy(F.xxhash64("s"), "s").limit(max_sentences)
     place = lambda ws: np.array(sorted(vocabulary[w] for w in ws if w in vocabulary), dtype=int)
-    sentences = [s for x in rows["sentences"] for s in x][:2000] + [c.format(t) for c in CARRIERS for t in TERMS]
+    sentences = sorted(r.s for r in drawn.collect()) + [c.format(t) for c in CARRIERS for t in TERMS]
     pairs = []
     for s in sentences:
         own = word_set(s)
