@@ -68,7 +68,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    judged = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                   always=("chars", "symbols", "lines", "dup_lines", "repeats"))
     n, repeats = F.col("_q_n"), F.col("_q_repeats")
     base_failed = (n < 10) | (repeats * 100 > n * 20)
     return judged.select(

@@ -85,13 +85,16 @@ m AS (SELECT rid, sum(least(5, coalesce(nxt - p, 5)))::BIGINT AS n_repeat_words
 x AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
              (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
              list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls,
-             coalesce(n_repeat_words, 0) AS n_repeat_words
+             coalesce(n_repeat_words, 0) AS n_repeat_words,
+             len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letters
       FROM d LEFT JOIN m USING (rid)),
-y AS (SELECT doc_id, n_words, word_chars, n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+y AS (SELECT doc_id, n_letters, len(list_filter(ls, lambda l: regexp_matches(l, '^[\t-\r ]*[-*•]'))) AS n_bullets,
+             len(list_filter(ls, lambda l: regexp_matches(l, '(\.\.\.|…)[\t-\r ]*$'))) AS n_ellipses, n_words, word_chars, n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
              n_repeat_words, n_words < 10 OR n_repeat_words * 100 > n_words * 20 AS base_failed, len(ls) AS n_lines FROM x)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR n_symbols * 100 > 30 * n_words
-            OR n_dup_lines * 100 > 50 * n_lines) AS kept FROM y
+            OR n_dup_lines * 100 > 50 * n_lines OR n_letters * 100 < 50 * n_words
+            OR n_lines >= 3 AND (n_bullets * 100 >= 90 * n_lines OR n_ellipses * 100 > 30 * n_lines)) AS kept FROM y
 """
 
 OP6 = r"""
