@@ -5,10 +5,11 @@ vectors by Hilbert key. Each order is range-partitioned in Spark and cut into bl
 compared with the two neighbouring blocks in whose middle it lies, which are its key window. Windows
 of all curves merge and the best are kept, by exact inner products in double precision.
 
-The windows are a fixed number of rows, so what they find is only a lower bound for each query's last
-score. A sweep then compares the queries with the rest of the table, piece by piece along the first
-curve, leaving out a piece only where its centre and radius prove that no inner product in it reaches
-that score. So the result is exact at every table size.
+How wide the windows must be is measured: a bounded sample of the queries is compared with the whole table,
+and the blocks are doubled until the windows find the wanted share of their true neighbours. Blocks have a
+largest size, which bounds a task; where the target is not met even then, or ``exact`` is asked for, a
+sweep compares the queries with the rest of the table in blocks, leaving out a piece along the first
+curve where its centre and radius prove that no inner product in it can count. Its result is exact.
 
 Equal vectors are one entry (with the ``k + 1`` smallest ids, more can never be returned), so a
 vector that a third of all rows share costs one place in an order and one search.
@@ -35,6 +36,8 @@ from .hilbert import hilbert_keys, to_cells
 
 CURVES, DIMENSIONS, BITS = 16, 4, 8
 BLOCK = 3072
+#: Largest block, share of the true neighbours that the windows must find, and queries it is measured on.
+MAX_BLOCK, RECALL, SAMPLE = 1 << 16, 0.95, 128
 #: The sweep: entries that meet in one task from either side, and entries under one bound.
 SIDE, PIECE = 4096, 256
 
@@ -150,6 +153,53 @@ def best_rows(found: DataFrame, entries: DataFrame, k: int) -> DataFrame:
     return found.groupBy("q1", "q2").agg(F.array_sort(F.collect_list(F.struct("r", "id", "score"))).alias("near"))
 
 
+def true_neighbours(entries: DataFrame, sample: list, k: int) -> DataFrame:
+    """(q1, q2, h1, h2, score): the k + 1 best entries of each sampled vector, by one pass over all entries."""
+    w = np.array([r.v for r in sample])
+    q1, q2 = np.array([r.h1 for r in sample]), np.array([r.h2 for r in sample])
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Holds k + 1 entries for each of at most SAMPLE vectors between batches."""
+        s, h1, h2 = np.empty((len(w), 0)), np.empty((len(w), 0), np.int64), np.empty((len(w), 0), np.int32)
+        for b in batches:
+            if len(b):
+                s = np.hstack([s, w @ np.stack(b["v"]).T])
+                h1 = np.hstack([h1, np.broadcast_to(b["h1"].to_numpy(), (len(w), len(b)))])
+                h2 = np.hstack([h2, np.broadcast_to(b["h2"].to_numpy(), (len(w), len(b)))])
+                top = np.argpartition(-s, min(k + 1, s.shape[1]) - 1, axis=1)[:, : k + 1]
+                s, h1, h2 = (np.take_along_axis(x, top, axis=1) for x in (s, h1, h2))
+        n = s.shape[1]
+        yield pd.DataFrame({"q1": np.repeat(q1, n), "q2": np.repeat(q2, n).astype(np.int32), "h1": h1.ravel(),
+                            "h2": h2.ravel(), "score": s.ravel()})
+
+    return entries.select("h1", "h2", "v").mapInPandas(best, "q1 long, q2 int, h1 long, h2 int, score double")
+
+
+def recall(near: DataFrame, truth: dict[tuple, set], sample: DataFrame) -> float:
+    """Share of the true neighbours (by vector) that ``near`` holds for the sampled ones."""
+    got = near.join(sample, ["q1", "q2"], "left_semi").collect()  # at most SAMPLE short lists
+    hits = sum(len(truth[r.q1, r.q2] & {x.id for x in r.near}) for r in got)
+    return hits / max(sum(map(len, truth.values())), 1)
+
+
+def windows(o: DataFrame, entries: DataFrame, k: int, block: int, target: float, most: int) -> tuple[DataFrame, float, int]:
+    """(pairs found, recall on the sample, block): windows doubled until they meet the target or their bound."""
+    sample = entries.where("asked").orderBy("h1", "h2").limit(SAMPLE).select("h1", "h2", "v").collect()
+    n = entries.count()
+    if not sample:
+        return search(o, k, block), 1.0, block
+    # (in exact terms a tie beyond the last place is as good as the one before it; ids decide it in both)
+    exact = best_rows(true_neighbours(entries, sample, k), entries, k)
+    truth = {(r.q1, r.q2): {x.id for x in r.near} for r in exact.collect()}
+    few = entries.sparkSession.createDataFrame([(r.h1, r.h2) for r in sample], "q1 long, q2 int")
+    while True:
+        found = scratch(search(o, k, block), "ann-windows")
+        share = recall(best_rows(found, entries, k), truth, few)
+        if share >= target or block >= most or block >= n:
+            return found, share, block
+        block *= 2
+
+
 def sweep(line: DataFrame, near: DataFrame, entries: DataFrame, k: int, side: int) -> DataFrame:
     """(q1, q2, h1, h2, score): every entry whose score reaches the last of an asked entry's ``near``, at
     most k + 1 for each ``side`` entries of ``line`` (place, h1, h2, v, asked). Pieces are left out by proof only."""
@@ -158,12 +208,14 @@ def sweep(line: DataFrame, near: DataFrame, entries: DataFrame, k: int, side: in
     counts = line.groupBy("side").agg(F.count_if("asked").alias("n"))  # a row for each side
     before = F.sum("n").over(W.orderBy("side")) - F.col("n")
     groups = scratch(counts.select("side", F.floor(before / side).alias("g")), "ann-groups")
+    n_sides, n_groups = groups.agg(F.coalesce(F.max("side") + 1, F.lit(0)), F.coalesce(F.max("g") + 1, F.lit(0))).first()
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(max(n, 1) - 1)).cast("array<long>"))
     asked = line.where("asked").join(near.select(F.col("q1").alias("h1"), F.col("q2").alias("h2"), least.alias("least")),
                                      ["h1", "h2"], "left").join(groups, "side")
     asked = asked.select("g", "h1", "h2", "v", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
-    asked = asked.join(groups.select("side").distinct()).toDF("g", "h1", "h2", "v", "least", "side")  # new names for the cogroup
+    asked = asked.select("*", every(n_sides).alias("side")).toDF("g", "h1", "h2", "v", "least", "side")  # new names for the cogroup
     held = line.join(entries.select("h1", "h2", F.get("ids", F.lit(0)).alias("id")), ["h1", "h2"])
-    held = held.select("side", "place", "h1", "h2", "v", "id").join(groups.select("g").distinct())
+    held = held.select("side", "place", "h1", "h2", "v", "id", every(n_groups).alias("g"))
 
     def reach(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         """At most 2 * side queries and side entries, whatever the table's size."""
@@ -206,15 +258,18 @@ def sweep(line: DataFrame, near: DataFrame, entries: DataFrame, k: int, side: in
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, curves: int = CURVES, block: int = BLOCK, seed: int = 5,
-            id_col: str = "vec_id", vec_col: str = "embedding", side: int = SIDE) -> DataFrame:
-    """(query_id, rank, id, score) of the ``k`` nearest; ``is_query`` is over the column ``id``."""
+            id_col: str = "vec_id", vec_col: str = "embedding", side: int = SIDE, target: float = RECALL,
+            most: int = MAX_BLOCK, exact: bool = False) -> DataFrame:
+    """(query_id, rank, id, score) of the ``k`` nearest; ``is_query`` is over the column ``id``. The windows find at
+    least ``target`` of the sampled queries' neighbours, or the sweep is added, as it is with ``exact``."""
     rows = scratch(usable(vectors, id_col, vec_col), "ann-rows")
     entries = scratch(classes(rows, k, is_query), "ann-entries")
-    o = ordered(entries, curves, seed)
-    found = scratch(search(o, k, block), "ann-windows")
-    line = scratch(o.where("curve = 0").drop("curve"), "ann-line")
-    rest = sweep(line, best_rows(found, entries, k), entries, k, side)
-    found = best_rows(found.unionByName(rest), entries, k)
+    o = scratch(ordered(entries, curves, seed), "ann-places")
+    found, share, _ = windows(o, entries, k, block, target, most)
+    if exact or share < target:
+        line = o.where("curve = 0").drop("curve")
+        found = found.unionByName(sweep(line, best_rows(found, entries, k), entries, k, side))
+    found = best_rows(found, entries, k)
     q = rows.where(is_query).select("id", F.col("h1").alias("q1"), F.col("h2").alias("q2")).join(found, ["q1", "q2"])
     near = F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k)
     q = q.select(F.col("id").alias("query_id"), F.posexplode(near).alias("at", "x"))

@@ -150,13 +150,46 @@ def test_ann_exact_beyond_the_windows(spark):
     x = r.normal(size=(3000, 32))
     v = spark.createDataFrame([(i, [float(c) for c in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
     got: dict[int, list] = {}
-    for row in ann.nearest(v, F.col("id") % 20 == 0, curves=2, block=64, side=128).orderBy("query_id", "rank").collect():
+    for row in ann.nearest(v, F.col("id") % 20 == 0, curves=2, block=64, side=128, most=64).orderBy("query_id", "rank").collect():
         got.setdefault(row.query_id, []).append(row.vec_id)
     s = x[::20] @ x.T
     s[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
     assert [got[20 * i] for i in range(150)] == np.argsort(-s, axis=1)[:, :20].tolist()
 
 
+def test_ann_windows_grow_to_the_target(spark):
+    """Isotropic vectors: narrow windows miss the target and are doubled; the recall measured is the true one."""
+    r = np.random.default_rng(9)
+    x = r.normal(size=(3000, 16))
+    v = spark.createDataFrame([(i, [float(c) for c in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = ann.usable(v, "vec_id", "embedding")
+    entries = ann.scratch(ann.classes(rows, 20, F.col("id") % 20 == 0), "t-entries")
+    o = ann.scratch(ann.ordered(entries, 4, 5), "t-places")
+    found, share, block = ann.windows(o, entries, 20, 64, 0.95, 1 << 16)
+    assert block > 64 and 0.95 <= share <= 1
+    narrow, low, _ = ann.windows(o, entries, 20, 64, 0.95, 64)
+    assert low < 0.9
+    got: dict[int, set] = {}
+    for row in ann.nearest(v, F.col("id") % 20 == 0, curves=4, block=64).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    s = x[::20] @ x.T
+    s[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
+    best = np.argsort(-s, axis=1)[:, :20]
+    assert np.mean([len(got[20 * i] & set(b)) / 20 for i, b in enumerate(best.tolist())]) >= 0.9
+
+
+def test_ann_has_no_nested_loop(spark):
+    r = np.random.default_rng(2)
+    v = spark.createDataFrame([(i, [float(c) for c in r.normal(size=4)]) for i in range(200)], "vec_id long, embedding array<double>")
+    entries = ann.scratch(ann.classes(ann.usable(v, "vec_id", "embedding"), 5, F.col("id") % 20 == 0), "t-entries")
+    o = ann.scratch(ann.ordered(entries, 2, 5), "t-places")
+    found = ann.search(o, 5, 64)
+    rest = ann.sweep(o.where("curve = 0").drop("curve"), ann.best_rows(found, entries, 5), entries, 5, 64)
+    for d in (found, rest):
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_license_blocks(spark):
     filler = " ".join(f"filler{i}" for i in range(300))
     notice = licenses.TEMPLATES["gpl-3.0-notice"].replace("program", "library")
@@ -228,7 +261,22 @@ def test_packing_words_equal_whole_tokenizer():
     texts = ["".join(r.choices(letters, k=r.randint(0, 40))) for _ in range(3000)]
     texts += ["", "don't 'tis WE'LL!", "a<|endoftext|>B C", "été, naïve...", "x" * 3000]
     for text in texts:
-        split = packing._split(text.encode())
-        words.learn(set(split))
         whole = words.tokenizer.encode(text, add_special_tokens=False).ids
-        assert b"".join(words[w] for w in split) == np.array(whole, dtype="<u4").tobytes(), text
+        assert words.ids([packing._split(text.encode())]) == [np.array(whole, dtype="<u4").tobytes()], text
+
+
+def test_packing_small_memory_and_long_lanes(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 3)
+    words, r = packing.Words(tokenizer_path()), random.Random(6)
+    for _ in range(60):
+        texts = [" ".join(r.choice("abcdefghij") * r.randint(1, 3) for _ in range(r.randint(0, 12))) for _ in range(4)]
+        whole = [np.array(words.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+        assert words.ids([packing._split(t.encode()) for t in texts]) == whole
+    monkeypatch.setattr(packing, "LANE", 5)
+    ids, n = np.arange(40), np.array([1, 5, 6, 17, 11])
+    table = packing.projection(np.arange(40))
+    got = packing.vectors(ids, n, table)
+    ends = np.cumsum(n)
+    for row, a, b in zip(got, ends - n, ends):
+        signs = np.array([[(int(x) >> (16 * k)) & 0xFFFF for k in range(packing.DIMENSIONS)] for x in table[a:b]])
+        assert np.allclose(row, signs.mean(axis=0) - 1)
