@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from flowsift.config import PROTO_ICMP, PROTO_OTHER, PROTO_TCP, PROTO_UDP
 
 
 def port0(c: str | Column) -> Column:
@@ -32,11 +31,3 @@ def with_flow_key(packets, fwd_col: str = "is_fwd"):
         .withColumn("lo_port", F.when(fwd, port0("src_port")).otherwise(port0("dst_port")))
         .withColumn("hi_port", F.when(fwd, port0("dst_port")).otherwise(port0("src_port")))
     )
-
-
-def classify_protocol(ip_proto: Column, is_first_fragment: Column | None = None) -> Column:
-    """IANA number -> tracked protocol (TCP 6, UDP 17, ICMPv4 1, anything else 0)."""
-    known = ip_proto.isin(PROTO_TCP, PROTO_UDP, PROTO_ICMP)
-    if is_first_fragment is not None:
-        known = known & is_first_fragment
-    return F.when(known, ip_proto).otherwise(F.lit(PROTO_OTHER)).cast("int")

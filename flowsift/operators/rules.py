@@ -6,10 +6,9 @@ Two evaluators with identical results:
   of them in a single projection over the flows (one pass, whole-stage codegen, shared
   sub-expressions, short-circuit ``AND``); matches become an array of structs that is
   exploded - no join, no shuffle.
-* ``rule_findings_longform`` keeps rules as a table: flows are unpivoted to
-  (flow, field, value), joined to the broadcast ``conditions`` table (its size is
-  checked), and a (flow, rule) pair matches when all of its conditions match
-  (relational division). Rules change without touching code.
+* ``rule_findings_longform`` keeps rules as data: an array of rules with their conditions is
+  filtered by ``forall`` conditions on the flow's values (relational division), one generic
+  projection whatever the rules say.
 """
 
 from __future__ import annotations
@@ -21,12 +20,11 @@ from pyspark.sql import functions as F
 
 from flowsift.config import DETECTOR_SIGNATURE, FEATURES, RULE_IDENTITY_FIELDS
 from flowsift.sources.rulefiles import (
-    Condition, Rule, conditions_table, numeric_members, rules_table, value_kind,
+    Condition, Rule, numeric_members, rules_table, value_kind,
 )
 
 RULE_FIELDS: tuple[str, ...] = (*FEATURES, *RULE_IDENTITY_FIELDS)
 OPS = ("eq", "ne", "gt", "gte", "lt", "lte", "in")
-MAX_BROADCAST_CONDITIONS = 100_000
 
 IDENTITY = ("flow_id", "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "last_seen_us")
 FINDING_COLUMNS = (*IDENTITY, "finding_order", "detector", "rule_id", "name", "severity",
@@ -97,50 +95,46 @@ _FINDING_TYPES = (("flow_id", "string"), ("src_ip", "string"), ("dst_ip", "strin
 
 
 def rule_findings_longform(flows: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The same findings with rules held as tables (relational division)."""
-    spark = flows.sparkSession
+    """The same findings with rules held as data (relational division): a flow matches a rule whose
+    conditions all hold on the flow's values. Rules and conditions are one array, the values another, so the
+    division is a ``forall`` inside a projection - no unpivoted flows, no join, no shuffle, whatever the number of
+    rules. The rules are configuration and travel with the plan."""
     for r in rules:  # same compile-time check as the projection form
         for c in r.conditions:
             if c.field in RULE_FIELDS and c.op not in OPS:
                 raise ValueError(f"unknown rule operator: {c.op!r}")
-    rt = rules_table(spark, rules)
-    ct = conditions_table(spark, rules)
-    n_cond = sum(len(r.conditions) for r in rules)
-    # the condition/rule tables are configuration: broadcast them while their size is within
-    # the bound, otherwise let them take part in an ordinary shuffle join
-    small = n_cond <= MAX_BROADCAST_CONDITIONS and len(rules) <= MAX_BROADCAST_CONDITIONS
-    side = F.broadcast if small else (lambda d: d)
-
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("value")) for f in RULE_FIELDS]))
-    long = flows.select("flow_id", stack.alias("kv")).select("flow_id", "kv.field", "kv.value")
-    x, kind, num = F.col("value"), F.col("kind"), F.col("num_value")
-    is_num = kind == "num"
-    match = (F.when(F.col("op") == "eq", is_num & (x == num))
-             .when(F.col("op") == "ne", ~is_num | (x != num))
-             .when(F.col("op") == "gt", is_num & (x > num))
-             .when(F.col("op") == "gte", is_num & (x >= num))
-             .when(F.col("op") == "lt", is_num & (x < num))
-             .when(F.col("op") == "lte", is_num & (x <= num))
-             .when(F.col("op") == "in", (kind == "list") & F.coalesce(
-                 F.array_contains(F.col("list_value"), x), F.lit(False)))
-             .otherwise(F.lit(False)))
-    hits = (long.join(side(ct), "field")
-            .groupBy("flow_id", "rule_id")
-            .agg(F.count_if(match).alias("n_match")))
-    rules_b = side(rt)
-    matched = (hits.join(rules_b, "rule_id")
-               .where(F.col("n_match") == F.col("n_conditions"))
-               .select("flow_id", "rule_id"))
-    always = [r.id for r in rules if not r.conditions]
-    if always:
-        matched = matched.unionByName(
-            flows.select("flow_id", F.explode(F.array(*[F.lit(i) for i in always])).alias("rule_id")))
-    ev = flows.select(*IDENTITY, rule_evidence().alias("evidence"))
-    return (matched.join(rules_b, "rule_id").join(ev, "flow_id")
-            .select(*IDENTITY, F.col("rule_order").alias("finding_order"),
-                    F.lit(DETECTOR_SIGNATURE).alias("detector"), "rule_id", "name", "severity",
-                    "confidence", "description", "evidence"))
+    if not rules:
+        return rule_findings(flows, rules)
+
+    def condition(c: Condition) -> Column:
+        kind = value_kind(c.value)
+        known = c.field in RULE_FIELDS
+        return F.struct(
+            F.lit(RULE_FIELDS.index(c.field) if known else -1).alias("field"), F.lit(c.op).alias("op"),
+            F.lit(kind).alias("kind"), F.lit(float(c.value) if kind == "num" else 0.0).alias("number"),
+            F.array(*[F.lit(x) for x in (numeric_members(c.value) if kind == "list" else [])]).cast("array<double>").alias("members"))
+
+    conditions = "array<struct<field:int,op:string,kind:string,number:double,members:array<double>>>"
+    table = F.array(*[F.struct(
+        F.lit(i).alias("finding_order"), F.lit(r.id).alias("rule_id"), F.lit(r.name).alias("name"),
+        F.lit(r.severity).alias("severity"), F.lit(float(r.confidence)).alias("confidence"),
+        F.lit(r.description).alias("description"), F.array(*[condition(c) for c in r.conditions]).cast(conditions).alias("conditions"))
+        for i, r in enumerate(rules)])
+
+    def holds(c: Column) -> Column:
+        x, v, is_num = F.get("_values", c["field"]), c["number"], c["kind"] == "num"
+        match = (F.when(c["op"] == "eq", is_num & (x == v)).when(c["op"] == "ne", ~is_num | (x != v))
+                 .when(c["op"] == "gt", is_num & (x > v)).when(c["op"] == "gte", is_num & (x >= v))
+                 .when(c["op"] == "lt", is_num & (x < v)).when(c["op"] == "lte", is_num & (x <= v))
+                 .otherwise((c["kind"] == "list") & F.array_contains(c["members"], x)))
+        return (c["field"] >= 0) & F.coalesce(match, F.lit(False))
+
+    values = F.array(*[F.col(f).cast("double") for f in RULE_FIELDS])
+    d = flows.select(*IDENTITY, rule_evidence().alias("evidence"), values.alias("_values"))
+    matched = F.filter(table, lambda r: F.forall(r["conditions"], holds))
+    return (d.select(*IDENTITY, "evidence", F.inline(matched))
+            .select(*IDENTITY, "finding_order", F.lit(DETECTOR_SIGNATURE).alias("detector"),
+                    "rule_id", "name", "severity", "confidence", "description", "evidence"))
 
 
 def rule_count(spark, rules: list[Rule]) -> DataFrame:

@@ -124,6 +124,23 @@ def flows_active_cut(spark, sf_dir):
     return cuts.select(*fl.KEY, "seg_idx", "cut_idx", "cut_ts")
 
 
+@register("flows_across_captures")
+def flows_across_captures(spark, sf_dir):
+    """The packets as three rotated captures of one sensor, each numbered from 0: no flow is cut at a seam."""
+    from flowsift.sources.packets import join_captures
+
+    p = _packets(spark, sf_dir)
+    lo, hi = p.agg(F.min("pkt_idx"), F.max("pkt_idx")).first()
+    width = ((hi or 0) - (lo or 0)) // 3 + 1
+    part = F.expr(f"(pkt_idx - {lo or 0}) div {width}")
+    rotated = p.withColumn("n", part).withColumn("pkt_idx", F.col("pkt_idx") - (lo or 0) - F.col("n") * width).withColumn(
+        "capture_id", F.concat(F.lit("file-"), F.col("n").cast("string"))).drop("n")
+    captures = spark.range(3).select(F.concat(F.lit("file-"), F.col("id").cast("string")).alias("capture_id"),
+                                     F.lit("events").alias("sensor_id"), F.col("id").alias("seq"))
+    f = fl.flows(join_captures(rotated, captures))
+    return f.select("src_ip", "dst_ip", "src_port", "dst_port", "protocol", "first_seen_us", "last_seen_us", "close_reason", *FEATURES)
+
+
 @register("flow_features")
 def flow_features(spark, sf_dir):
     return _flows(spark, sf_dir)
@@ -203,6 +220,11 @@ def rule_ops_edge_cases(spark, sf_dir):
     return ru.rule_findings(_flows(spark, sf_dir), edge_rules()).select("flow_id", "rule_id")
 
 
+@register("rule_ops_longform")
+def rule_ops_longform(spark, sf_dir):
+    return ru.rule_findings_longform(_flows(spark, sf_dir), edge_rules()).select("flow_id", "rule_id")
+
+
 # --- scans ------------------------------------------------------------------
 
 @register("scan_window_counts")
@@ -330,6 +352,14 @@ def live_latest(spark, sf_dir):
     return al.latest(alerts_table(spark, sf_dir)).select("id", "created_at", "rule_id")
 
 
+@register("console_lines")
+def console_lines(spark, sf_dir):
+    from flowsift.sources.alertstore import console_lines as lines
+
+    a = alerts_table(spark, sf_dir)
+    return lines(a).select("id", F.col("value").alias("line"))
+
+
 @register("feed_merge")
 def feed_merge(spark, sf_dir):
     a = alerts_table(spark, sf_dir)
@@ -538,30 +568,78 @@ def iforest_embeddings(spark, sf_dir):
 STREAM_FLOW_COLUMNS = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
 
 
+MICRO_BATCHES = 5
+
+
+def _in_files(rows: DataFrame, time_col: str, path: str) -> str:
+    """Stand-in for a growing folder: the rows in ``MICRO_BATCHES`` files, older times in older files."""
+    lo, hi = rows.agg(F.min(time_col), F.max(time_col)).first()
+    width = ((hi or 0) - (lo or 0)) // MICRO_BATCHES + 1
+    for i in range(MICRO_BATCHES):
+        at = (lo or 0) + i * width
+        part = rows.where((F.col(time_col) >= at) & (F.col(time_col) < at + width))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 @register("stream_flows")
 def stream_flows_q(spark, sf_dir):
+    """The flow tracker over several micro-batches, a file each."""
+    from flowsift.session import scratch_path
+    from flowsift.streaming.flows import run_to_end
+
+    pk = _in_files(_packets(spark, sf_dir), "ts_us", scratch_path(spark, "stream-packets"))
+    out = run_to_end(spark, pk, scratch_path(spark, "stream-flows"), scratch_path(spark, "stream-ckpt"), max_files_per_trigger=1)
+    return out.select(*STREAM_FLOW_COLUMNS)
+
+
+@register("stream_flows_late")
+def stream_flows_late(spark, sf_dir):
+    """T6op: packets that come a file too late go to the side table; the flows are corrected afterwards."""
     from flowsift.session import scratch_path
+    from flowsift.streaming import late
     from flowsift.streaming.flows import run_to_end
 
+    p = _packets(spark, sf_dir)
+    top = (p.agg(F.max("pkt_idx")).first()[0] or 0) + 1
+    width = top // MICRO_BATCHES + 1
+    # packets arrive in the order of their numbers, but every fortieth or so a file later
+    file = F.expr(f"pkt_idx div {width}") + F.when(F.xxhash64("pkt_idx") % 40 == 0, 1).otherwise(0)
     pk = scratch_path(spark, "stream-packets")
-    _packets(spark, sf_dir).write.parquet(pk)
-    out = run_to_end(spark, pk, scratch_path(spark, "stream-flows"), scratch_path(spark, "stream-ckpt"))
+    for i in range(MICRO_BATCHES + 1):
+        p.where(file == i).coalesce(1).write.mode("append").parquet(pk)
+    dealt = scratch_path(spark, "stream-dealt")
+    lateness = 900  # the table's packet kinds run on clocks of their own, up to twelve minutes apart
+    late.split_late(spark, pk, dealt, scratch_path(spark, "stream-deal-ckpt"), lateness, max_files_per_trigger=1)
+    flows = run_to_end(spark, f"{dealt}/on_time/*", scratch_path(spark, "stream-flows"), scratch_path(spark, "stream-ckpt"),
+                       max_files_per_trigger=1, lateness_s=lateness)
+    out = late.corrected_flows(flows, late.dealt(spark, dealt, "on_time"), late.dealt(spark, dealt, "late"))
     return out.select(*STREAM_FLOW_COLUMNS)
 
 
+@register("stream_scans")
+def stream_scans_q(spark, sf_dir):
+    """The scan state alone, over the flow table in several micro-batches."""
+    from flowsift.session import scratch_path
+    from flowsift.streaming.alerts import run_scans_to_end
+
+    f = _in_files(_flows(spark, sf_dir), "last_seen_us", scratch_path(spark, "stream-flow-files"))
+    return run_scans_to_end(spark, f, scratch_path(spark, "stream-scans"), scratch_path(spark, "stream-scans-ckpt"),
+                            max_files_per_trigger=1)
+
+
 @register("stream_alerts")
 def stream_alerts_q(spark, sf_dir):
-    """Packets -> flow stream -> (rules + scan state) stream -> alert table, end to end."""
+    """Packets -> flow stream -> (rules + scan state) stream -> alert store, end to end, in several micro-batches."""
     from flowsift.session import scratch_path
     from flowsift.streaming.alerts import run_detection_to_end
     from flowsift.streaming.flows import run_to_end
 
-    pk = scratch_path(spark, "stream-packets")
-    _packets(spark, sf_dir).write.parquet(pk)
-    flows_dir = scratch_path(spark, "stream-flows")
-    run_to_end(spark, pk, flows_dir, scratch_path(spark, "stream-ckpt"))
+    pk = _in_files(_packets(spark, sf_dir), "ts_us", scratch_path(spark, "stream-packets"))
+    flows = run_to_end(spark, pk, scratch_path(spark, "stream-flow-sink"), scratch_path(spark, "stream-ckpt"), max_files_per_trigger=1)
+    flows_dir = _in_files(flows, "last_seen_us", scratch_path(spark, "stream-flows"))
     return run_detection_to_end(spark, flows_dir, scratch_path(spark, "stream-alerts"),
-                                scratch_path(spark, "stream-alerts-ckpt"), load_rules())
+                                scratch_path(spark, "stream-alerts-ckpt"), load_rules(), max_files_per_trigger=1)
 
 
 @register("training_metadata")

@@ -37,6 +37,8 @@ FROM packets WHERE protocol = 6 AND dst_port <= 1023""")
     q["flows_active_cut"] = _flows_sql("""SELECT capture_id, lo_ip, hi_ip, lo_port, hi_port, protocol, seg_idx,
   cut_idx, cut_ts FROM ch WHERE cut_idx <> seg_idx""")
     q["flow_features"] = _flows_sql("SELECT * FROM flows")
+    q["flows_across_captures"] = _flows_sql(f"""SELECT src_ip, dst_ip, src_port, dst_port, protocol, first_seen_us, last_seen_us,
+  close_reason, {', '.join(FEATURES)} FROM flows""")
     from flowsift.plans.catalog import _PROJECTIONS
 
     for name, cols in _PROJECTIONS.items():
@@ -85,6 +87,7 @@ UNION ALL SELECT 'src_ip', src_ip, count(id) FROM alerts GROUP BY src_ip""")
   {'r': 'in_scalar', 'm': false}, {'r': 'eq_true', 'm': syn_count = 1}, {'r': 'unknown_field', 'm': false},
   {'r': 'unknown_field_ne', 'm': false}, {'r': 'two', 'm': protocol = 6 AND fin_count > 0}, {'r': 'always', 'm': true}]) AS x) e,
   LATERAL (SELECT x.r AS rule_id WHERE x.m) h""")
+    q["rule_ops_longform"] = q["rule_ops_edge_cases"]
     q["severity_share"] = _det_sql("""SELECT s.pos, s.severity, CAST(coalesce(c.n, 0) AS BIGINT) AS n,
   coalesce(c.n, 0) * 100.0 / greatest(1, (SELECT count(*) FROM alerts)) AS share_pct
 FROM (VALUES (0, 'critical'), (1, 'high'), (2, 'medium'), (3, 'low')) s(pos, severity)
@@ -109,6 +112,8 @@ FROM alerts""")
       AND {ep.format(ip='l2.src_ip', port='l2.src_port')} = {ep.format(ip='p.src_ip', port='p.src_port')}
       AND {ep.format(ip='l2.dst_ip', port='l2.dst_port')} = {ep.format(ip='p.dst_ip', port='p.dst_port')})
 ) t""")
+    q["console_lines"] = _det_sql("""SELECT id, printf('ALERT [%s] %s (%s, conf=%.2f) %s:%d -> %s:%d \u2014 %s', upper(severity), name,
+  detector, confidence, src_ip, src_port, dst_ip, dst_port, description) AS line FROM alerts""")
     q["alert_rows_formatted"] = _det_sql(f"""SELECT id, created_at, severity, name, {src} AS source, {dst} AS target,
   printf('%.0f%%', confidence * 100) AS confidence_pct FROM alerts""")
 
@@ -250,6 +255,8 @@ def _stream_sql() -> None:
     from flowsift.plans.catalog import STREAM_FLOW_COLUMNS
 
     ORACLE["stream_flows"] = _flows_sql(f"SELECT {', '.join(STREAM_FLOW_COLUMNS)} FROM flows")
+    ORACLE["stream_flows_late"] = ORACLE["stream_flows"]
+    ORACLE["stream_scans"] = ORACLE["scan_findings"]
     ORACLE["stream_alerts"] = ORACLE["alerts"]
 
 

@@ -100,7 +100,12 @@ def current(spark: SparkSession, table: str) -> DataFrame:
     return current_view(alerts, acks)
 
 
+#: Fixed value: the console line's format.
+CONSOLE_LINE = "ALERT [%s] %s (%s, conf=%.2f) %s:%d -> %s:%d \u2014 %s"
+
+
 def console_lines(alerts: DataFrame) -> DataFrame:
-    """One formatted line per alert (for a text or console sink)."""
-    return alerts.select(F.format_string("[%s] %s %s -> %s (%s, confidence %.2f)", F.upper("severity"), "rule_id",
-                                         "src_ip", "dst_ip", "name", "confidence").alias("value"))
+    """(id, value), one formatted line per alert (for a text or console sink)."""
+    return alerts.select("id", F.format_string(
+        CONSOLE_LINE, F.upper("severity"), "name", "detector", "confidence", "src_ip", "src_port", "dst_ip", "dst_port",
+        "description").alias("value"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.config import BENIGN_LABEL, CSV_COLUMN_MAP, FEATURES
@@ -61,12 +61,15 @@ def map_columns(raw: DataFrame, source: str = "input", time_unit: str = "as_is")
 def clean(df: DataFrame) -> DataFrame:
     """+-inf and NaN count as missing; rows missing any feature are dropped.
 
-    One predicate per feature, ``abs(x) < inf``: false for +-inf and for NaN (NaN sorts
+    One condition per feature, ``abs(x) < inf``: false for +-inf and for NaN (NaN sorts
     above every number in Spark), null for null - so the kept rows are exactly the rows
-    whose features are all finite, and each (possibly costly) feature expression is
-    referenced once when the filter is pushed below the mapping projection."""
-    finite = reduce(lambda a, b: a & b, [F.abs(F.col(f)) < F.lit(float("inf")) for f in FEATURES])
-    return df.where(finite)
+    whose features are all finite. The row stands as one struct behind a generator: the mapping
+    below it runs once a row, and no copy of its expressions is pushed into a filter."""
+    def finite(row: Column) -> Column:
+        return reduce(lambda a, b: a & b, [F.abs(row[f]) < F.lit(float("inf")) for f in FEATURES])
+
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.inline(F.filter(F.array(whole), finite)))
 
 
 def lineitem_as_flow_csv(lineitem: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowsift.schemas import PACKETS
@@ -47,3 +47,19 @@ def packet_filter(packets: DataFrame, protocol: int | None = None, host: str | N
     if where is not None:
         preds.append(F.expr(where) if isinstance(where, str) else where)
     return packets.where(reduce(lambda a, b: a & b, preds)) if preds else packets
+
+
+def join_captures(packets: DataFrame, captures: DataFrame) -> DataFrame:
+    """G1 across captures: the packets of a sensor's successive captures as one capture of that sensor.
+
+    ``captures``: (capture_id, sensor_id, seq), the order in which a sensor's files were written. A capture's
+    packets keep their order and are numbered after those of the captures before it, so flows, cuts and scan
+    windows run over the seams of rotated files. Captures that are not listed stay as they are. Sizes of the captures come
+    from one partial-aggregated maximum; the table of offsets has a row for each capture."""
+    sizes = packets.groupBy("capture_id").agg((F.max("pkt_idx") + 1).alias("n"))
+    order = Window.partitionBy("sensor_id").orderBy("seq", "capture_id").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = captures.join(sizes, "capture_id").select(
+        "capture_id", "sensor_id", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    joined = packets.join(offsets, "capture_id", "left")
+    return joined.withColumn("pkt_idx", F.col("pkt_idx") + F.coalesce("before", F.lit(0))).withColumn(
+        "capture_id", F.coalesce("sensor_id", "capture_id")).select(*packets.columns)

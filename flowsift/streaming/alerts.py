@@ -145,15 +145,46 @@ def run_detection_to_end(spark: SparkSession, flows_dir: str, alerts_table: str,
                          rules: list[Rule], cfg: DetectionConfig = DEFAULT_CONFIG,
                          notify: Callable[[list[dict]], None] | None = None,
                          lateness_s: int | None = None, allow_late: bool = False,
-                         max_files_per_trigger: int | None = None) -> DataFrame:
+                         max_files_per_trigger: int | None = None, progress: list[dict] | None = None) -> DataFrame:
     """Second query over the flow table written by the flow stream: rules + scan state ->
     alerts appended by ``foreachBatch``. Returns the alert table.
 
     ``lateness_s`` (idle and active limit and ten minutes, if not given) is how far a flow's
     ``last_seen`` may lie behind the newest one of earlier micro-batches; later flows raise
-    ``LateRows`` unless ``allow_late``. The flushing flow is a second source of the scan state only."""
-    if lateness_s is None:
-        lateness_s = (cfg.idle_us + cfg.active_us) // 1_000_000 + 600
+    ``LateRows`` unless ``allow_late``. The flushing flow is a second source of the scan state only; it leaves the
+    checkpoint's watermark past the newest flow, so a later call with the same checkpoint takes newer flows only."""
+    lateness_s = _lateness(cfg) if lateness_s is None else lateness_s
+    flows, seen, end_dir = _flow_sources(spark, flows_dir, checkpoint, max_files_per_trigger)
+    findings = fd.union_findings(stream_rule_findings(flows, rules),
+                                 stream_scan_findings(seen, cfg, f"{int(lateness_s)} seconds"))
+    alerts = fd.alerts_from_findings(findings)
+    writer = (alerts.writeStream.foreachBatch(alert_sink(alerts_table, notify))
+              .option("checkpointLocation", checkpoint))
+    _run_and_flush(spark, writer, flows_dir, end_dir, cfg, lateness_s, allow_late, progress)
+    return read_alerts(spark, alerts_table)
+
+
+def run_scans_to_end(spark: SparkSession, flows_dir: str, out_dir: str, checkpoint: str,
+                     cfg: DetectionConfig = DEFAULT_CONFIG, lateness_s: int | None = None, allow_late: bool = False,
+                     max_files_per_trigger: int | None = None, progress: list[dict] | None = None) -> DataFrame:
+    """T2op alone: the scan findings of a folder of flow files, every window counted. Parameters as
+    :func:`run_detection_to_end`."""
+    lateness_s = _lateness(cfg) if lateness_s is None else lateness_s
+    _, seen, end_dir = _flow_sources(spark, flows_dir, checkpoint, max_files_per_trigger)
+    found = stream_scan_findings(seen, cfg, f"{int(lateness_s)} seconds")
+    writer = (found.writeStream.format("parquet").option("path", out_dir)
+              .option("checkpointLocation", checkpoint).outputMode("append"))
+    _run_and_flush(spark, writer, flows_dir, end_dir, cfg, lateness_s, allow_late, progress)
+    return spark.read.schema(found.schema).parquet(out_dir)
+
+
+def _lateness(cfg: DetectionConfig) -> int:
+    return (cfg.idle_us + cfg.active_us) // 1_000_000 + 600
+
+
+def _flow_sources(spark: SparkSession, flows_dir: str, checkpoint: str,
+                  max_files_per_trigger: int | None) -> tuple[DataFrame, DataFrame, str]:
+    """(flow stream, scan input with the flushing flow's source, that source's folder)."""
     end_dir = checkpoint.rstrip("/") + "-end"
     spark.createDataFrame([], SCAN_INPUT).write.mode("append").parquet(end_dir)
     reader = spark.readStream.schema(FLOWS)
@@ -162,12 +193,12 @@ def run_detection_to_end(spark: SparkSession, flows_dir: str, alerts_table: str,
     flows = reader.parquet(flows_dir)
     seen = flows.select("capture_id", "src_ip", *SCAN_COLUMNS).unionByName(
         spark.readStream.schema(SCAN_INPUT).parquet(end_dir))
-    findings = fd.union_findings(stream_rule_findings(flows, rules),
-                                 stream_scan_findings(seen, cfg, f"{int(lateness_s)} seconds"))
-    alerts = fd.alerts_from_findings(findings)
-    writer = (alerts.writeStream.foreachBatch(alert_sink(alerts_table, notify))
-              .option("checkpointLocation", checkpoint))
-    progress: list[dict] = []
+    return flows, seen, end_dir
+
+
+def _run_and_flush(spark: SparkSession, writer, flows_dir: str, end_dir: str, cfg: DetectionConfig, lateness_s: int,
+                   allow_late: bool, progress: list[dict] | None) -> None:
+    progress = [] if progress is None else progress
     run_available(spark, writer, progress)
     newest = spark.read.schema(FLOWS).parquet(flows_dir).agg(F.max("last_seen_us")).first()[0] or 0
     end_us = int(newest) + cfg.window_us + (int(lateness_s) + 10) * 1_000_000
@@ -175,7 +206,6 @@ def run_detection_to_end(spark: SparkSession, flows_dir: str, alerts_table: str,
     run_available(spark, writer, progress)  # moves the watermark past every flow
     run_available(spark, writer, progress)  # a batch in which the last windows are counted
     check_late(progress, allow_late)
-    return read_alerts(spark, alerts_table)
 
 
 def live_feed(alerts: DataFrame) -> DataFrame:

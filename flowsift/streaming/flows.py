@@ -5,9 +5,11 @@ per key as exact integer moments. For every micro-batch the packets of a key are
 in arrival order *before* its timer (a packet arriving exactly at the idle or active limit
 opens a new flow, like the batch form); FIN/RST closes the flow with the packet. The
 event-time timer is the earlier of ``last + idle`` and ``first + active``; it fires once the
-watermark passes it, so the stream emits the same flows as the batch sessionizer on
-input whose disorder stays within the watermark delay (the lateness). Spark leaves out older
-rows and counts them in ``numRowsDroppedByWatermark``; ``run_to_end`` raises on them.
+watermark passes it, so the stream emits the same flows as the batch sessionizer on input
+whose packets come in the order of their numbers (``pkt_idx``) and whose times run back by no more
+than the watermark delay (the lateness). Spark leaves out older rows and counts them in
+``numRowsDroppedByWatermark``; ``run_to_end`` raises on them. ``flowsift.streaming.late`` holds back
+what comes out of order and corrects its flows.
 
 The flush at end of input (T3op) is a sentinel packet far in the future, in a second source
 beside the checkpoint: it moves the watermark past every timer.
@@ -181,8 +183,10 @@ def run_to_end(spark: SparkSession, packets_dir: str, out_dir: str, checkpoint:
 
     ``lateness_s`` is how far a packet's time may lie behind the newest one of earlier micro-batches;
     later packets raise :class:`LateRows` unless ``allow_late``. The flushing sentinel is a second
-    source beside the checkpoint: the input folder is only read. Progress reports are added to
-    ``progress`` (G11 counters: ``flowsift.streaming.progress.counters``)."""
+    source beside the checkpoint: the input folder is only read. It leaves the checkpoint's watermark past the
+    newest packet by both limits, so a later call with the same checkpoint takes newer packets only. Progress
+    reports are added to ``progress`` (G11 counters: ``flowsift.streaming.progress.counters``). Where packets can be
+    late, ``flowsift.streaming.late`` keeps them in a side table and corrects their flows."""
     from flowsift.schemas import PACKETS
     from flowsift.sources.packets import stream_packets
 

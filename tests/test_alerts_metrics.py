@@ -69,7 +69,7 @@ def test_store_append_ack_and_console(spark, tmp_path):
     acked = [r.id for r in st.current(spark, table).where("acknowledged").collect()]
     assert acked == ["id2"]
     line = st.console_lines(a.where("id = 'id0'")).first().value
-    assert line.startswith("[HIGH] TEST_RULE 203.0.113.42 -> 10.0.0.5")
+    assert line.startswith("ALERT [HIGH] ") and " 203.0.113.42:" in line and " -> 10.0.0.5:" in line
 
 
 def test_notifier_failure_is_isolated(spark, tmp_path):

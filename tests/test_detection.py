@@ -1,4 +1,4 @@
-from conftest import demo_capture_rows, make_packets
+from conftest import OFFICE, make_packets, office_capture_rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -8,16 +8,16 @@ from flowsift.operators import scans as sc
 from flowsift.plans.detect import detect
 
 
-def test_demo_capture_end_to_end(spark):
-    p = make_packets(spark, demo_capture_rows(), capture_id="demo")
+def test_office_capture_end_to_end(spark):
+    p = make_packets(spark, office_capture_rows(), capture_id="office")
     d = detect(p)
-    assert d.flows.count() == 26
+    assert d.flows.count() == OFFICE["flows"]
     counts = {r.rule_id: r["count"] for r in d.findings.groupBy("rule_id").count().collect()}
-    assert counts == {"TCP_NULL_SCAN": 24, "HOST_PORT_SCAN": 5, "ICMP_FLOOD": 1}
-    assert d.alerts.where(F.col("dst_port") == 443).count() == 0
-    hs = d.flows.where(F.col("dst_port") == 443).first()
-    assert (hs.total_packets, hs.fwd_packets, hs.bwd_packets, hs.total_bytes) == (6, 3, 3, 324)
-    assert (hs.syn_count, hs.ack_count, hs.fin_count, hs.psh_count) == (2, 5, 1, 2)
+    assert counts == OFFICE["findings"]
+    assert d.alerts.where(F.col("dst_port").isin(53, 8443)).count() == 0
+    hs = d.flows.where(F.col("dst_port") == 8443).first()
+    assert (hs.total_packets, hs.fwd_packets, hs.bwd_packets, hs.total_bytes) == (10, 5, 5, 540)
+    assert (hs.syn_count, hs.ack_count, hs.fin_count, hs.psh_count) == (2, 9, 1, 3)
 
 
 def _one_packet_flows(spark, times_ports):

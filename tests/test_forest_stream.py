@@ -1,6 +1,6 @@
 import numpy as np
 import pandas as pd
-from conftest import demo_capture_rows, make_packets
+from conftest import OFFICE, make_packets, office_capture_rows
 from pyspark.sql import functions as F
 
 from flowsift.operators import flows as fl
@@ -52,20 +52,20 @@ def test_forest_pool_is_the_smallest_hashes(spark, monkeypatch):
 def test_stream_equals_batch(spark):
     from flowsift.streaming.flows import run_to_end
 
-    p = make_packets(spark, demo_capture_rows(), capture_id="demo")
+    p = make_packets(spark, office_capture_rows(), capture_id="office")
     pk = scratch_path(spark, "t-stream-pk")
     p.write.parquet(pk)
     progress = []
     s = run_to_end(spark, pk, scratch_path(spark, "t-stream-out"), scratch_path(spark, "t-stream-ck"), progress=progress)
-    assert spark.read.parquet(pk).count() == 90  # the input folder is only read
+    assert spark.read.parquet(pk).count() == OFFICE["packets"]  # the input folder is only read
     cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
     b = fl.flows(p).select(*cols)
     s = s.select(*cols)
-    assert s.count() == 26
+    assert s.count() == OFFICE["flows"]
     from flowsift.streaming.progress import counters
 
     c = counters(progress)
-    assert c["packets_seen"] == 91 and c["dropped_late"] == 0  # 90 packets + the sentinel
+    assert c["packets_seen"] == OFFICE["packets"] + 1 and c["dropped_late"] == 0  # the sentinel is one more
     assert c["active_flows"] >= 0
     assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
 
@@ -109,9 +109,9 @@ def test_stream_state_across_micro_batches(spark):
 
     from flowsift.streaming.flows import run_to_end
 
-    p = make_packets(spark, demo_capture_rows(), capture_id="demo")
+    p = make_packets(spark, office_capture_rows(), capture_id="office")
     pk = scratch_path(spark, "t-stream-mb")
-    for lo in range(0, 90, 23):  # ordered files; each write is its own file set
+    for lo in range(0, OFFICE["packets"], 23):  # ordered files; each write is its own file set
         p.where((F.col("pkt_idx") >= lo) & (F.col("pkt_idx") < lo + 23)).coalesce(1).write.mode("append").parquet(pk)
         _time.sleep(1.1)  # distinct modification times keep the file order
     s = run_to_end(spark, pk, scratch_path(spark, "t-stream-mb-out"), scratch_path(spark, "t-stream-mb-ck"),
@@ -130,10 +130,10 @@ def test_stream_out_of_order_over_micro_batches(spark):
 
     from flowsift.streaming.flows import LateRows, run_to_end
 
-    p = make_packets(spark, demo_capture_rows(), capture_id="demo")
+    p = make_packets(spark, office_capture_rows(), capture_id="office")
     p = p.withColumn("ts_us", F.when(F.col("pkt_idx") >= 45, F.col("ts_us") - 40_000_000).otherwise(F.col("ts_us")))
     pk = scratch_path(spark, "t-stream-late")
-    for lo in range(0, 90, 23):
+    for lo in range(0, OFFICE["packets"], 23):
         p.where((F.col("pkt_idx") >= lo) & (F.col("pkt_idx") < lo + 23)).coalesce(1).write.mode("append").parquet(pk)
         _time.sleep(1.1)
     args = lambda n: (spark, pk, scratch_path(spark, f"t-late-out{n}"), scratch_path(spark, f"t-late-ck{n}"))
@@ -172,3 +172,30 @@ def test_stream_scans_equal_batch_when_flows_come_late(spark):
     assert want.count() == 20
     key = ["src_ip", "dst_port", "rule_id", "description"]
     assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
+
+
+def test_late_packets_are_kept_and_corrected(spark):
+    """A third of the packets come a file later: they lie in the side table, and the corrected flows equal batch."""
+    import time as _time
+
+    from flowsift.streaming import late
+    from flowsift.streaming.flows import run_to_end
+
+    p = make_packets(spark, office_capture_rows(), capture_id="office")
+    pk, dealt = scratch_path(spark, "t-late-pk"), scratch_path(spark, "t-late-dealt")
+    file = F.expr("pkt_idx div 40") + F.when(F.col("pkt_idx") % 3 == 0, 1).otherwise(0)
+    for i in range(4):
+        p.where(file == i).coalesce(1).write.mode("append").parquet(pk)
+        _time.sleep(1.1)
+    ck = scratch_path(spark, "t-late-ck")
+    for _ in range(2):  # the second call finds nothing new
+        late.split_late(spark, pk, dealt, ck, lateness_s=600, max_files_per_trigger=1)
+    on_time, kept = late.dealt(spark, dealt, "on_time"), late.dealt(spark, dealt, "late")
+    held = sum(i % 3 == 0 for i in range(OFFICE["packets"]))
+    assert (kept.count(), on_time.count()) == (held, OFFICE["packets"] - held)
+    flows = run_to_end(spark, f"{dealt}/on_time/*", scratch_path(spark, "t-late-flows"), scratch_path(spark, "t-late-flow-ck"),
+                       max_files_per_trigger=1)
+    cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
+    got, want = late.corrected_flows(flows, on_time, kept).select(*cols), fl.flows(p).select(*cols)
+    assert flows.select(*cols).exceptAll(want).count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
