@@ -6,7 +6,7 @@ the columns of ``documents``.
 
 * toxicity: fits the classifier on the labelled rows among the documents and drops what it rejects;
 * line_dedup: cuts boilerplate lines that many sources share (no document goes);
-* near_dedup: keeps one document of each group of near copies (five-word shingles, similarity 0.8);
+* near_dedup: keeps one document of each group of near copies (five-word shingles, similarity 0.8), by id and text;
 * mixing: repeats and samples whole documents to the sources' target weights;
 * packing: sequences of 4,096 token ids in Hilbert order.
 """
@@ -50,7 +50,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: A fitted classifier and a tokenizer have no SQL form; tests compare the stages with brute force.
+#: A fitted classifier and a tokenizer have no SQL form; tests/llm/test_pipeline_stages.py compares each stage with brute force.
 ORACLE_SQL = None
 
 
