@@ -26,11 +26,12 @@ def make_packets(spark, rows, capture_id="t"):
 
 
 #: What the office capture below holds.
-OFFICE = {"packets": 119, "flows": 35, "findings": {"ICMP_FLOOD": 1, "TCP_NULL_SCAN": 31, "HOST_PORT_SCAN": 12}}
+OFFICE = {"packets": 119, "flows": 35, "findings": {"ICMP_FLOOD": 1, "UDP_FLOOD": 1, "TCP_NULL_SCAN": 31, "HOST_PORT_SCAN": 12}}
 
 
 def office_capture_rows():
-    """A capture of our own: a burst of pings, name lookups, a probe of 31 ports without flags, a page fetched."""
+    """A capture of our own: a burst of pings, a name lookup, a probe of 31 ports without flags, a page fetched, and
+    a lookup without an answer (one packet of no duration has the rate of a flood)."""
     rows, at = [], 1_650_000_000.25
     for i in range(75):
         rows.append((at + i / 250, "172.16.9.40", "172.16.0.3", None, None, None, 1, 42))

@@ -191,8 +191,13 @@ def test_late_packets_are_kept_and_corrected(spark):
     for _ in range(2):  # the second call finds nothing new
         late.split_late(spark, pk, dealt, ck, lateness_s=600, max_files_per_trigger=1)
     on_time, kept = late.dealt(spark, dealt, "on_time"), late.dealt(spark, dealt, "late")
-    held = sum(i % 3 == 0 for i in range(OFFICE["packets"]))
-    assert (kept.count(), on_time.count()) == (held, OFFICE["packets"] - held)
+    newest, late_ids = -1, set()
+    for f in range(4):
+        own = [i for i in range(OFFICE["packets"]) if i // 40 + (i % 3 == 0) == f]
+        late_ids |= {i for i in own if i < newest}
+        newest = max(newest, *own)
+    assert len(late_ids) > 30 and {r.pkt_idx for r in kept.collect()} == late_ids
+    assert on_time.count() == OFFICE["packets"] - len(late_ids)
     flows = run_to_end(spark, f"{dealt}/on_time/*", scratch_path(spark, "t-late-flows"), scratch_path(spark, "t-late-flow-ck"),
                        max_files_per_trigger=1)
     cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
