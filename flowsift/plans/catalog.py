@@ -578,7 +578,7 @@ def _in_files(rows: DataFrame, time_col: str, path: str) -> str:
     for i in range(MICRO_BATCHES):
         at = (lo or 0) + i * width
         part = rows.where((F.col(time_col) >= at) & (F.col(time_col) < at + width))
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.repartition(1).write.mode("append").parquet(path)  # read by all tasks, written by one
     return path
 
 
@@ -607,7 +607,7 @@ def stream_flows_late(spark, sf_dir):
     file = F.expr(f"pkt_idx div {width}") + F.when(F.xxhash64("pkt_idx") % 40 == 0, 1).otherwise(0)
     pk = scratch_path(spark, "stream-packets")
     for i in range(MICRO_BATCHES + 1):
-        p.where(file == i).coalesce(1).write.mode("append").parquet(pk)
+        p.where(file == i).repartition(1).write.mode("append").parquet(pk)
     dealt = scratch_path(spark, "stream-dealt")
     lateness = 900  # the table's packet kinds run on clocks of their own, up to twelve minutes apart
     late.split_late(spark, pk, dealt, scratch_path(spark, "stream-deal-ckpt"), lateness, max_files_per_trigger=1)

@@ -1,11 +1,12 @@
 """Continuous flow tracking (T1op-T6op) with Structured Streaming.
 
-``withWatermark(ts)`` + ``groupBy(flow key).applyInPandasWithState`` keeps one open flow
-per key as exact integer moments. For every micro-batch the packets of a key are handled
-in arrival order *before* its timer (a packet arriving exactly at the idle or active limit
-opens a new flow, like the batch form); FIN/RST closes the flow with the packet. The
-event-time timer is the earlier of ``last + idle`` and ``first + active``; it fires once the
-watermark passes it, so the stream emits the same flows as the batch sessionizer on input
+``withWatermark(ts)`` + ``applyInPandasWithState`` keeps one open flow per key as exact integer
+moments. A call costs milliseconds whatever it holds, so keys are dealt by their hash into ``SLOTS``
+groups: calls grow with the slots, not with the keys. For every micro-batch the packets of a key are
+handled in arrival order *before* its timer (a packet arriving exactly at the idle or active limit
+opens a new flow, like the batch form); FIN/RST closes the flow with the packet. A flow's
+timer is the earlier of ``last + idle`` and ``first + active`` (the slot's is the earliest of its flows); it fires
+once the watermark passes it, so the stream emits the same flows as the batch sessionizer on input
 whose packets come in the order of their numbers (``pkt_idx``) and whose times run back by no more
 than the watermark delay (the lateness). Spark leaves out older rows and counts them in
 ``numRowsDroppedByWatermark``; ``run_to_end`` raises on them. ``flowsift.streaming.late`` holds back
@@ -31,6 +32,7 @@ from flowsift.config import DEFAULT_CONFIG, FLAG_LETTERS, DetectionConfig
 from flowsift.functions.flags import flag_count_columns, is_terminator
 from flowsift.functions.keys import port0, with_flow_key
 from flowsift.operators.flows import KEY, finalize_flows
+from flowsift.streaming.progress import OBSERVED
 
 FLAGS = [n for _, n in FLAG_LETTERS]
 MOMENTS = [f"{p}_{m}" for p in ("fl", "bl", "iat") for m in ("n", "s1", "s2", "min", "max")]
@@ -40,11 +42,15 @@ OUT_SCHEMA = (
     "first_seen_us long, last_seen_us long, _last_term boolean, close_reason string, "
     + ", ".join(f"{m} string" for m in MOMENTS) + ", " + ", ".join(f"{f} long" for f in FLAGS)
 )
-STATE_SCHEMA = "flow string"
+STATE_SCHEMA = "flows string"
+#: Set on one more row of each call only: by how many its slot holds more open flows than before.
+OPENED = ", _opened long"
+#: Keys are dealt into this many slots by their hash. It is part of a checkpoint's state and never changed for one.
+SLOTS = 1024
 
 
-def _new_flow(r) -> dict:
-    return {"start": int(r.pkt_idx), "first": int(r.ts_us), "last": int(r.ts_us), "prev_ts": None,
+def _new_flow(key: tuple, r) -> dict:
+    return {"key": key, "start": int(r.pkt_idx), "first": int(r.ts_us), "last": int(r.ts_us), "prev_ts": None,
             "open": [r.src_ip, r.dst_ip, int(r.src_port0), int(r.dst_port0)], "term": False,
             "m": {p: [0, 0, 0, None, None] for p in ("fl", "bl", "iat")}, "flags": [0] * len(FLAGS)}
 
@@ -80,36 +86,47 @@ def _row(key: tuple, fl: dict, reason: str) -> tuple:
 
 def _tracker(cfg: DetectionConfig):
     idle, active = cfg.idle_us, cfg.active_us
-    cols = [c.split(" ")[0] for c in OUT_SCHEMA.split(", ")]
+    cols, kinds = zip(*[c.split(" ") for c in (OUT_SCHEMA + OPENED).split(", ")])
+    blank = [None if k == "string" else k != "boolean" and 0 for k in kinds[:-1]]  # whole numbers stay whole
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def step(slot: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         out = []
-        fl = json.loads(state.get[0]) if state.exists else None
-        if state.hasTimedOut:
-            if fl is not None:
-                reason = "active_timeout" if fl["first"] + active < fl["last"] + idle else "expired"
-                out.append(_row(key, fl, reason))
-            state.remove()
-        else:
+        held = json.loads(state.get[0]) if state.exists else []
+        flows = {tuple(fl["key"]): fl for fl in held}
+        now = state.getCurrentWatermarkMs()
+        touched = set()
+        if not state.hasTimedOut:
             pdf = pd.concat(list(batches), ignore_index=True).sort_values("pkt_idx", kind="stable")
             for r in pdf.itertuples(index=False):
+                key = tuple(None if k != k else k for k in (r.capture_id, r.lo_ip, r.hi_ip, r.lo_port, r.hi_port, r.protocol))
+                fl = flows.get(key)
                 ts = int(r.ts_us)
                 if fl is not None and (ts - fl["last"] >= idle or ts - fl["first"] >= active):
                     reason = "expired" if ts - fl["last"] >= idle else "active_timeout"
                     out.append(_row(key, fl, reason))
                     fl = None
                 if fl is None:
-                    fl = _new_flow(r)
+                    fl = flows[key] = _new_flow(key, r)
+                touched.add(key)
                 _add(fl, r)
                 if fl["term"]:
                     out.append(_row(key, fl, "fin_rst"))
-                    fl = None
-            if fl is None:
-                state.remove()
-            else:
-                state.update((json.dumps(fl),))
-                due_ms = int(math.ceil(min(fl["last"] + idle, fl["first"] + active) / 1000))
-                state.setTimeoutTimestamp(max(due_ms, state.getCurrentWatermarkMs() + 1))
+                    del flows[key]
+        for key in touched & flows.keys():
+            fl = flows[key]
+            fl["due"] = max(int(math.ceil(min(fl["last"] + idle, fl["first"] + active) / 1000)), now + 1)
+        # timers of the keys without packets in this micro-batch
+        for key in [k for k, fl in flows.items() if fl["due"] < now]:
+            fl = flows.pop(key)
+            reason = "active_timeout" if fl["first"] + active < fl["last"] + idle else "expired"
+            out.append(_row(key, fl, reason))
+        if flows:
+            state.update((json.dumps(list(flows.values()), separators=(",", ":")),))
+            state.setTimeoutTimestamp(max(min(fl["due"] for fl in flows.values()), now + 1))
+        elif state.exists:
+            state.remove()
+        out = [(*row, None) for row in out]
+        out.append((*blank, len(flows) - len(held)))
         yield pd.DataFrame(out, columns=cols)
     return step
 
@@ -127,10 +144,12 @@ def stream_flows(packets: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG,
         is_terminator(F.col("tcp_flags")).alias("term"), *flag_count_columns(F.col("tcp_flags")),
         F.timestamp_micros("ts_us").alias("ts"))
     raw = (p.withWatermark("ts", watermark)
-           .groupBy(*KEY)
-           .applyInPandasWithState(_tracker(cfg), OUT_SCHEMA, STATE_SCHEMA, "append",
+           .withColumn("slot", F.pmod(F.xxhash64(*KEY), F.lit(SLOTS)))
+           .groupBy("slot")
+           .applyInPandasWithState(_tracker(cfg), OUT_SCHEMA + OPENED, STATE_SCHEMA, "append",
                                    GroupStateTimeout.EventTimeTimeout))
-    typed = raw.select(
+    raw = raw.observe(OBSERVED, F.coalesce(F.sum("_opened"), F.lit(0)).alias("opened"))
+    typed = raw.where(F.col("_opened").isNull()).select(
         *KEY, "start_idx", F.struct("src_ip", "dst_ip", "src_port0", "dst_port0").alias("_open"),
         "first_seen_us", "last_seen_us", "_last_term", "close_reason",
         *[F.col(m).cast("decimal(38,0)" if m.endswith(("s1", "s2")) else "long").alias(m) for m in MOMENTS],

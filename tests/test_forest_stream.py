@@ -204,3 +204,30 @@ def test_late_packets_are_kept_and_corrected(spark):
     got, want = late.corrected_flows(flows, on_time, kept).select(*cols), fl.flows(p).select(*cols)
     assert flows.select(*cols).exceptAll(want).count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_stream_state_is_dealt_into_slots(spark):
+    """Three thousand open flows, two packets of each in two micro-batches: the tracker is called per slot of keys."""
+    import time as _time
+
+    from flowsift.streaming.flows import SLOTS, run_to_end
+    from flowsift.streaming.progress import counters
+
+    n = 3_000
+    rows = [(1_000.0 + 5 * again, f"10.1.{i // 200}.{i % 200}", "10.9.9.9", 40_000, 443, "A", 6, 60 + i % 7)
+            for again in (0, 1) for i in range(n)]
+    p = make_packets(spark, rows)
+    pk = scratch_path(spark, "t-slots")
+    for part in (F.col("pkt_idx") < n, F.col("pkt_idx") >= n):
+        p.where(part).coalesce(1).write.mode("append").parquet(pk)
+        _time.sleep(1.1)
+    progress = []
+    s = run_to_end(spark, pk, scratch_path(spark, "t-slots-out"), scratch_path(spark, "t-slots-ck"), max_files_per_trigger=1,
+                   progress=progress)
+    held = [sum(o["numRowsTotal"] for o in r["stateOperators"]) for r in progress]
+    fed = [i for i, r in enumerate(progress) if r["numInputRows"] == n]
+    assert len(fed) == 2 and max(held) <= SLOTS + 1 < n
+    assert [counters(progress[:i + 1])["active_flows"] for i in fed] == [n, n]
+    cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
+    b, s = fl.flows(p).select(*cols), s.select(*cols)
+    assert s.count() == n and b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
