@@ -33,11 +33,12 @@ def successors(packets: DataFrame, active_us: int) -> DataFrame:
     ``packets``: (capture_id, seg_idx, pkt_idx, rel_us), ``rel_us`` counted from the segment's start."""
     p = packets.withColumn("cell", F.expr(f"rel_us div {int(active_us)}"))
     per_cell = p.groupBy(*SEGMENT, "cell").agg(F.min(F.struct("pkt_idx", "cell")).alias("low"))
-    order = Window.partitionBy(*SEGMENT).orderBy("cell")  # one row a cell
-    rest = Window.unboundedFollowing
+    # suffix minima run from the end: Spark reads a frame that ends at the last row anew for each row
+    order = Window.partitionBy(*SEGMENT).orderBy(F.desc("cell"))  # one row a cell
+    so_far = Window.unboundedPreceding
     per_cell = materialize(per_cell.select(
-        *SEGMENT, "cell", F.min("low").over(order.rowsBetween(0, rest)).alias("from_here"),
-        F.lag("cell", 1, -1).over(order).alias("before")), "flow-cells")
+        *SEGMENT, "cell", F.min("low").over(order.rowsBetween(so_far, 0)).alias("from_here"),
+        F.lead("cell", 1, -1).over(order).alias("before")), "flow-cells")
     first_for = per_cell.groupBy(*SEGMENT, F.col("from_here.pkt_idx").alias("pkt_idx")).agg(
         (F.min("before") + 1).alias("first_for"))
 
@@ -48,7 +49,7 @@ def successors(packets: DataFrame, active_us: int) -> DataFrame:
                  F.lit(None).cast("long").alias("asks")),
         F.struct((F.col("cell") + 1).alias("cell"), (F.col("rel_us") + active_us).alias("at"),
                  F.lit(None).cast("long").alias("here"), F.col("pkt_idx").alias("asks")))).alias("e")).select(*SEGMENT, "e.*")
-    later = Window.partitionBy(*SEGMENT, "cell").orderBy("at").rangeBetween(Window.currentRow, rest)
+    later = Window.partitionBy(*SEGMENT, "cell").orderBy(F.desc("at")).rangeBetween(so_far, Window.currentRow)
     asked = both.withColumn("found", F.min("here").over(later)).where("asks is not null")
     # what lies beyond the question's cell: the carry of the next cell that has packets
     carry = per_cell.select(*SEGMENT, F.explode(F.sequence(F.col("before"), F.col("cell") - 1)).alias("cell"),

@@ -148,3 +148,20 @@ def test_no_python_in_the_sessionizer():
     from flowsift.operators import activecut
 
     assert not any(word in inspect.getsource(m) for m in (fl, activecut) for word in ("applyInPandas", "mapInPandas", "import pandas"))
+
+
+def test_cut_windows_read_each_packet_once(spark):
+    """A frame that ends at the last row is read anew for each row: quadratic where a cell holds many packets."""
+    from flowsift.operators.activecut import successors
+
+    active, n = 1_000, 400
+    rel = [0] + [active + (i * 7919) % (5 * active) // 3 * 3 for i in range(1, n)]  # out of order, many at the same time
+    rows = [("t", 0, i, r) for i, r in enumerate(rel)]
+    s = successors(spark.createDataFrame(rows, "capture_id string, seg_idx long, pkt_idx long, rel_us long"), active)
+    assert "unboundedfollowing" not in s._jdf.queryExecution().analyzed().toString().lower()
+    want = {i: min((j for j in range(n) if rel[j] >= rel[i] + active), default=None) for i in range(n)}
+    got = s.collect()
+    assert {r.pkt_idx: r.next_idx for r in got} == want
+    first = {i: min((c for c in range(rel[i] // active + 1) if i == min((j for j in range(n) if rel[j] // active >= c))), default=None)
+             for i in range(n)}
+    assert {r.pkt_idx: r.first_for for r in got} == first
