@@ -122,14 +122,20 @@ def pooled_sample(train: DataFrame, id_col: str, x_col: str, n_trees: int, psi:
     while True:
         # the pool's rows have the smallest hashes: a cut of the hash range that holds enough of them
         low = rows if share >= 1.0 else rows.where(F.col("h") < F.lit(f"{int(share * (1 << 52)):013x}"))
-        pool = materialize(low.orderBy("h", "id", "x").limit(size).select("id", "x"), "iforest-pool")
+        pool = low.orderBy("h", "id", "x").limit(size)
+        # a pool row's number keeps the order of rows of equal id; one window over POOL rows at most
+        place = F.row_number().over(Window.orderBy("h", "id", "x"))
+        pool = materialize(pool.select("id", "x", place.alias("place")), "iforest-pool")
         if share >= 1.0 or pool.count() == size:
             break
         share *= 2
     tree = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id")
-    pairs = pool.select("id", "x", tree).withColumn("h", F.md5(_key("id", "tree_id", seed)))
-    w = Window.partitionBy("tree_id").orderBy("h", "id", "x")  # at most POOL rows a tree
-    return pairs.withColumn("r", F.row_number().over(w)).where(F.col("r") <= psi).select("tree_id", "id", "x")
+    # the pool is one file: its numbers are dealt out first, and trees draw numbers, never vectors
+    drawers = pool.select("id", "place").repartition(train.sparkSession.sparkContext.defaultParallelism, "place")
+    pairs = drawers.select("id", "place", tree).withColumn("h", F.md5(_key("id", "tree_id", seed)))
+    w = Window.partitionBy("tree_id").orderBy("h", "id", "place")  # at most POOL rows a tree
+    drawn = pairs.withColumn("r", F.row_number().over(w)).where(F.col("r") <= psi).select("tree_id", "place")
+    return drawn.join(pool, "place").select("tree_id", "id", "x")
 
 
 def fit(train: DataFrame, id_col: str, x_col: str = "x", n_trees: int = 200, max_samples: int = 256,

@@ -231,3 +231,28 @@ def test_stream_state_is_dealt_into_slots(spark):
     cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
     b, s = fl.flows(p).select(*cols), s.select(*cols)
     assert s.count() == n and b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
+
+
+def test_trees_draw_numbers_not_vectors(spark):
+    """Each tree's rows are the smallest hashes of the pool, ties by vector; no vector is ranked once per tree."""
+    import hashlib
+    import re
+
+    md5 = lambda *parts: hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()
+    pts = [(i // 3, [float(i * 37 % 11), float(i % 5)]) for i in range(90)] + [(None, [9.0, 9.0])]
+    s = ifo.pooled_sample(spark.createDataFrame(pts, "rid long, x array<double>"), "rid", "x", 4, 20, len(pts), 42)
+    got = sorted((r.tree_id, r.id or "", tuple(r.x)) for r in s.collect())
+    want = []
+    for tree in range(4):
+        ranked = sorted((md5(*([] if i is None else [i]), tree, 42), str("" if i is None else i), tuple(x)) for i, x in pts)
+        want += [(tree, i, x) for _, i, x in ranked[:20]]
+    assert got == sorted(want)
+    lines = s._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: re.search(r"[A-Z]", line).start()
+    top = next(i for i, line in enumerate(lines) if line[depth(line):].startswith("Window "))
+    below = [lines[top]]
+    for line in lines[top + 1:]:
+        if depth(line) <= depth(lines[top]):
+            break
+        below.append(line)
+    assert not re.search(r"\bx#", "\n".join(line for line in below if "Relation" not in line))
