@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -44,6 +45,8 @@ from .hilbert import hilbert_keys, to_cells
 
 DIMENSIONS, BITS = 4, 12
 REMEMBERED_WORDS = 400_000
+#: Texts whose words are looked up together: most rows, and bytes beyond which a part ends.
+SLICE_ROWS, SLICE_BYTES = 1024, 8_000_000
 #: Most ids whose packed projections are summed at once (16 bits a lane, up to 2 for each id).
 LANE = 30_000
 
@@ -74,6 +77,8 @@ def vectors(ids: np.ndarray, n: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 #: The tokenizer's pieces, and the ends of words that are cut together.
 CUT = regex.compile(PATTERN + r"|\n")
+#: An ASCII letter and a mark behind it; not the apostrophe, with which a piece may begin in several ways.
+LETTER_MARK = r"([a-z])([!-&(-/:-@\[-`{-~])"
 #: Stands for the end of a word among ids (no tokenizer has that many).
 END = 0xFFFFFFFF
 
@@ -98,18 +103,37 @@ class Words(dict):
         self.pieces: dict[str, bytes] = {}
 
     def ids(self, texts: list[list[bytes]]) -> list[bytes]:
-        """Ids of each text, given as words; one look into the memory for every word that it holds."""
+        """Ids of each text, given as words."""
+        every, n = self.coded(pa.array(itertools.chain.from_iterable(texts), pa.binary()), np.array([len(t) for t in texts], dtype=np.int64))
+        ends = np.cumsum(n)
+        return [every[a:b].tobytes() for a, b in zip(ends - n, ends)]
+
+    def coded(self, words: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, their number in each); ``words`` holds those of all texts, ``counts`` their numbers.
+        One look into the memory for every different word; the ids of its places are gathered as arrays."""
+        coded = words.dictionary_encode()
+        different = coded.dictionary
+        # words hold no space: one join and one split hand them over far faster than value by value
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(different)], pa.int32()), different), b" ")[0].as_py()
+        known = self.known_ids(joined.split(b" ") if len(different) else [])
+        place, size = coded.indices.to_numpy(), np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        pool, first = np.frombuffer(b"".join(known), dtype="<u4"), np.cumsum(size) - size
+        each = size[place]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        every = pool[np.arange(ends[-1]) + np.repeat(first[place] - ends[:-1], each)]
+        return every, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
+
+    def known_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of different words, learned where the memory does not hold them."""
         if len(self) > REMEMBERED_WORDS:
             self.older = dict(self)
             self.clear()
-        found = [list(map(self.get, words)) for words in texts]
-        missing: set[bytes] = set()
-        for words, known in zip(texts, found):
-            if None in known:
-                missing.update([w for w, k in zip(words, known) if k is None])
+        found = list(map(self.get, words))
+        missing = {w for w, k in zip(words, found) if k is None}
+        if not missing:
+            return found
         self.learn(missing)
-        return [b"".join([self[w] if k is None else k for w, k in zip(words, known)]) if None in known else b"".join(known)
-                for words, known in zip(texts, found)]
+        return [self[w] if k is None else k for w, k in zip(words, found)]
 
     def learn(self, words: set[bytes]) -> None:
         """Takes words into the memory, from its older half or anew."""
@@ -144,7 +168,7 @@ class Words(dict):
         self.pieces["\n"] = struct.pack("<I", END)
         fresh = [p for p in set(found) if p not in self.pieces]
         tokens = [self.model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.chars)) for p in fresh]
-        data = np.fromiter((t.id for ts in tokens for t in ts), dtype="<u4").tobytes()
+        data = np.array([t.id for ts in tokens for t in ts], dtype="<u4").tobytes()
         at = 0
         for p, ts in zip(fresh, tokens):
             self.pieces[p] = data[at: at + 4 * len(ts)]
@@ -168,6 +192,33 @@ def _split(text: bytes | None) -> list[bytes]:
     return (data if b"<|" in data else data.lower()).split()
 
 
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most SLICE_ROWS rows, and of little more than SLICE_BYTES of a column unless one row has more."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = size[at - 1] if at else 0
+        end = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(size, before + SLICE_BYTES))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _words(texts: pa.Array, apart: bool) -> tuple[pa.Array, np.ndarray]:
+    """(words of all texts, their number in each), as :func:`_split` cuts them; with ``apart``, which the known
+    tokenizer allows, also where its pieces end between a letter and a mark, so that a word is learned once."""
+    texts = pc.fill_null(texts, "")
+    lower = pc.ascii_lower(texts)
+    if apart:
+        lower = pc.replace_substring_regex(lower, LETTER_MARK, r"\1 \2")
+    texts = pc.if_else(pc.match_substring(texts, "<|"), texts, lower)
+    lists = pc.ascii_split_whitespace(texts)
+    words = lists.flatten()
+    filled = pc.greater(pc.binary_length(words), 0)  # white space at either end leaves an empty one
+    ends = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+    counts = np.diff(ends[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])])
+    return words.filter(filled).cast(pa.binary()), counts
+
+
 def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(row, doc_id, n, v, ids): one row for each document; ids as unsigned 32-bit, end id included."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,21 +229,24 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: st
             _KNOWN[path] = Words(path)
         known = _KNOWN[path]
         rows = itertools.count(TaskContext.get().partitionId() << 36)
-        end = np.array([end_id], dtype="<u4").tobytes()
         table = np.empty(0, dtype=U)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                split = [_split(x) for x in part.column(1).cast(pa.binary()).to_pylist()]
-                ids = [x + end for x in known.ids(split)]
-                n = np.array([len(x) // 4 for x in ids])
-                every = np.frombuffer(b"".join(ids), dtype="<u4")
+            for part in _slices(b, 1):
+                ids, n = known.coded(*_words(part.column(1), known.known))
+                ends = np.cumsum(n + 1)
+                every = np.full(ends[-1], end_id, dtype="<u4")
+                inside = np.ones(len(every), dtype=bool)
+                inside[ends - 1] = False
+                every[inside] = ids
                 if int(every.max()) >= len(table):
                     table = projection(np.arange(max(1024, 2 * int(every.max()))))
-                v = vectors(every, n, table)
+                v = vectors(every, n + 1, table)
+                offsets = np.concatenate([[0], 4 * ends]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(itertools.islice(rows, part.num_rows), pa.int64()), part.column(0), pa.array(n, pa.int64()),
-                     pa.array(v.tolist(), pa.list_(pa.float64())), pa.array(ids, pa.binary())], ["row", "doc_id", "n", "v", "ids"])
+                    [pa.array(itertools.islice(rows, part.num_rows), pa.int64()), part.column(0), pa.array(n + 1, pa.int64()),
+                     pa.array(v.tolist(), pa.list_(pa.float64())),
+                     pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(every)])],
+                    ["row", "doc_id", "n", "v", "ids"])
 
     d = shipped(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return scratch(d.mapInArrow(read, "row long, doc_id long, n long, v array<double>, ids binary"), "pack-ids")
