@@ -239,7 +239,8 @@ def test_every_query_runs_and_sql_matches(spark):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     for name, query in QUERIES.items():
         got = query(spark, SF)
         rows = got.collect()
