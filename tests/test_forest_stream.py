@@ -256,3 +256,144 @@ def test_trees_draw_numbers_not_vectors(spark):
             break
         below.append(line)
     assert not re.search(r"\bx#", "\n".join(line for line in below if "Relation" not in line))
+
+
+def test_tracker_packs_packets_as_they_come():
+    """A flood key's batches are not kept side by side: each is let go before the one after the next comes."""
+    import gc
+    import json
+    import weakref
+
+    from flowsift.config import DEFAULT_CONFIG
+    from flowsift.streaming import flows as sf
+
+    class State:
+        value, exists, hasTimedOut = None, False, False
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def update(self, value):
+            self.value = value
+
+        def setTimeoutTimestamp(self, ms):
+            self.due = ms
+
+    given = []
+
+    def batches():
+        for i in range(50):
+            n = 100
+            b = pd.DataFrame({"capture_id": "c", "lo_ip": "1.1.1.1", "hi_ip": "2.2.2.2", "lo_port": 1, "hi_port": 2, "protocol": 17,
+                              "pkt_idx": range(i * n, i * n + n), "ts_us": 1_000_000, "is_fwd": i % 2 == 0, "length": 60,
+                              "src_ip": "1.1.1.1", "dst_ip": "2.2.2.2", "src_port0": 1, "dst_port0": 2, "term": False,
+                              **dict.fromkeys(sf.FLAGS, 1)})
+            given.append(weakref.ref(b))
+            gc.collect()
+            assert sum(r() is not None for r in given) <= 2
+            yield b
+
+    state = State()
+    out = pd.concat(list(sf._tracker(DEFAULT_CONFIG)((0,), batches(), state)))
+    flow, = json.loads(state.value[0])
+    assert len(out) == 1 and flow["start"] == 0 and flow["open"] == ["1.1.1.1", "2.2.2.2", 1, 2]
+    assert [m[0] for m in flow["m"].values()] == [2_500, 2_500, 4_999] and flow["flags"] == [5_000] * len(sf.FLAGS)
+
+
+def test_flow_pieces_across_calls_are_exact():
+    """Sums over pieces: squares beyond 64 bits, gaps, active cuts and a FIN, in one call and in two, by hand."""
+    from flowsift.streaming.flows import FLAGS, _fold
+
+    key = ("c", "1.1.1.1", "2.2.2.2", 1, 2, 6)
+    times, big = [0, 5, 9, 14, 20, 50, 51, 52], 1 << 45
+    frame = pd.DataFrame([(*key, i, 1_000 + t, True, big + i, i == 6, *[i] * len(FLAGS)) for i, t in enumerate(times)],
+                         columns=["capture_id", "lo_ip", "hi_ip", "lo_port", "hi_port", "protocol", "pkt_idx", "ts_us",
+                                  "is_fwd", "length", "term", *FLAGS])
+    want = [(0, 2, "active_timeout"), (3, 4, "expired"), (5, 6, "fin_rst")]  # active 12, idle 20
+    for cuts in ([8], [1, 8], [4, 8], [6, 8], [7, 8]):
+        flows, rows, at = {}, [], 0
+        for end in cuts:
+            rows += _fold(flows, iter([frame.iloc[at:end]]), 20, 12, 0)
+            at = end
+        assert [(r[6], r[14]) for r in rows] == [(a, why) for a, _, why in want]
+        for r, (a, b, _) in zip(rows, want):
+            lengths, gaps = [big + i for i in range(a, b + 1)], [times[i + 1] - times[i] for i in range(a, b)]
+            assert r[15:20] == tuple(map(str, (b - a + 1, sum(lengths), sum(x * x for x in lengths), min(lengths), max(lengths))))
+            assert r[25:28] == tuple(map(str, (len(gaps), sum(gaps), sum(x * x for x in gaps))))
+            assert r[30:] == (sum(range(a, b + 1)),) * len(FLAGS)
+        assert flows[key]["start"] == 7 and flows[key]["m"]["fl"][:2] == [1, big + 7]
+
+
+def test_stream_takes_times_at_and_before_the_epoch(spark):
+    """Packets from 300 s before the epoch, at it and after it: flows and scans of the streams equal batch."""
+    import time as _time
+
+    from flowsift.operators import scans as sc
+    from flowsift.streaming.alerts import run_scans_to_end
+    from flowsift.streaming.flows import run_to_end
+
+    rows = [(-300.0 + 7.5 * i, "10.0.0.1", "10.0.0.2", 1000 + i % 3, 80, "A", 6, 60) for i in range(60)]
+    rows += [(t + p / 100, "10.0.0.9", "10.0.0.2", 4000, p, "S", 6, 54) for t in (-900.0, -0.1) for p in range(1, 30)]
+    p = make_packets(spark, sorted(rows))
+    pk, files = scratch_path(spark, "t-epoch"), scratch_path(spark, "t-epoch-flows")
+    cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
+    b = fl.flows(p)
+    for i in range(3):
+        p.where(F.expr(f"pkt_idx div 40 = {i}")).coalesce(1).write.mode("append").parquet(pk)
+        b.where(F.expr(f"first_pkt_idx div 40 = {i}")).coalesce(1).write.mode("append").parquet(files)
+        _time.sleep(1.1)
+    s = run_to_end(spark, pk, scratch_path(spark, "t-epoch-out"), scratch_path(spark, "t-epoch-ck"), max_files_per_trigger=1)
+    b, s = b.select(*cols), s.select(*cols)
+    assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
+    found = run_scans_to_end(spark, files, scratch_path(spark, "t-epoch-scans"), scratch_path(spark, "t-epoch-sck"),
+                             max_files_per_trigger=1)
+    want = sc.scan_findings(spark.read.parquet(files))
+    key = ["flow_id", "rule_id", "description"]
+    assert want.count() > 10
+    assert sorted(map(tuple, found.select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
+
+
+def test_stream_of_times_before_the_epoch_alone_is_flushed(spark):
+    from flowsift.streaming.flows import run_to_end
+
+    p = make_packets(spark, [(-90_000.0 + i, "10.0.0.1", "10.0.0.2", 1000, 80, "A", 6, 60) for i in range(10)])
+    pk = scratch_path(spark, "t-before")
+    p.coalesce(1).write.parquet(pk)
+    s = run_to_end(spark, pk, scratch_path(spark, "t-before-out"), scratch_path(spark, "t-before-ck"))
+    assert [r.total_packets for r in s.collect()] == [10]
+
+
+def test_late_split_gives_one_file_a_micro_batch(spark):
+    """A file that is read by several tasks stays one file, and a packet exactly by the lateness behind is late."""
+    import time as _time
+
+    from flowsift.streaming import late
+    from flowsift.streaming.flows import run_to_end
+
+    n = 4_000
+    rows = [(1_000.0 + i / 10 + (0 if i < n // 2 else 500), "10.0.0.%d" % (i % 50), "10.9.9.9", 40_000, 443, "A", 6, 60 + i % 7)
+            for i in range(n)]
+    at = rows[n // 2 - 1][0] - 100
+    rows[n // 2 + 10] = (at, *rows[n // 2 + 10][1:])
+    p = make_packets(spark, rows)
+    pk, dealt = scratch_path(spark, "t-one-pk"), scratch_path(spark, "t-one-dealt")
+    for i in range(2):
+        (p.where(F.expr(f"pkt_idx div {n // 2} = {i}")).coalesce(1).write.mode("append")
+         .option("parquet.block.size", 8_000).option("parquet.page.size", 2_000).parquet(pk))
+        _time.sleep(1.1)
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for c in kept:
+        spark.conf.set(c, "8k")
+    try:
+        late.split_late(spark, pk, dealt, scratch_path(spark, "t-one-dck"), 100, max_files_per_trigger=1)
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    files = spark.read.parquet(f"{dealt}/on_time/*").select(F.input_file_name().alias("f")).distinct().count()
+    on_time, side = late.dealt(spark, dealt, "on_time"), late.dealt(spark, dealt, "late")
+    assert files == 2 and [r.pkt_idx for r in side.collect()] == [n // 2 + 10]
+    flows = run_to_end(spark, f"{dealt}/on_time/*", scratch_path(spark, "t-one-flows"), scratch_path(spark, "t-one-ck"),
+                       max_files_per_trigger=1, lateness_s=100)
+    cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
+    got, want = late.corrected_flows(flows, on_time, side).select(*cols), fl.flows(p).select(*cols)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
