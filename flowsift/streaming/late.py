@@ -2,9 +2,10 @@
 
 ``split_late`` goes in front of the flow stream. The flow tracker takes a capture's packets in the
 order of their numbers (``pkt_idx``), so a packet is late if a packet of its capture with a higher number
-came in an earlier micro-batch, or if its time lies more than the lateness behind the newest one of
+came in an earlier micro-batch, or if its time lies by the lateness or more behind the newest one of
 earlier micro-batches (the watermark would drop it). Late packets go to the side table, the others on to
-the flow stream. The highest numbers and newest times of each micro-batch are a table of their own; its
+the flow stream, as one file for a micro-batch: several would be taken one after the other, each with packets
+of the others' numbers and times. The highest numbers and newest times of each micro-batch are a table of their own; its
 part for a micro-batch is written last, and a replayed micro-batch that has it is left alone.
 
 ``corrected_flows`` sessionizes again only the flow keys that have late packets, from all of their
@@ -43,9 +44,9 @@ def split_late(spark: SparkSession, packets_dir: str, out_dir: str, checkpoint:
                 last = seen.groupBy("capture_id").agg(F.max("last_idx").alias("last_idx"))
                 rows = batch.join(last, "capture_id", "left")
                 late = F.coalesce(F.col("pkt_idx") < F.col("last_idx"), F.lit(False)) | (
-                    F.col("ts_us") < newest - int(lateness_s) * 1_000_000)
+                    F.col("ts_us") <= newest - int(lateness_s) * 1_000_000)
         name = f"{n:09d}"
-        rows.where(~late).select(*batch.columns).write.mode("overwrite").parquet(f"{out_dir}/on_time/{name}")
+        rows.where(~late).select(*batch.columns).repartition(1).write.mode("overwrite").parquet(f"{out_dir}/on_time/{name}")
         rows.where(late).select(*batch.columns).write.mode("overwrite").parquet(f"{out_dir}/late/{name}")
         newest = batch.groupBy("capture_id").agg(F.max("pkt_idx").alias("last_idx"), F.max("ts_us").alias("newest_us"))
         newest.select(F.lit(n).cast("long").alias("batch"), "capture_id", "last_idx", "newest_us").write.mode(
