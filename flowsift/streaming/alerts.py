@@ -33,7 +33,7 @@ from flowsift.operators import scans as sc
 from flowsift.schemas import FLOWS
 from flowsift.sources.alertstore import append_alerts, read_alerts
 from flowsift.sources.rulefiles import Rule
-from flowsift.streaming.flows import check_late, run_available
+from flowsift.streaming.flows import check_late, event_time, run_available
 
 COUNT_SCHEMA = ("capture_id string, src_ip string, flow_id string, dst_ip string, src_port int, dst_port int, "
                 "protocol int, last_seen_us long, distinct_ports long, distinct_hosts long")
@@ -43,6 +43,9 @@ SCAN_INPUT = ("capture_id string, src_ip string, flow_id string, dst_ip string,
 SCAN_STATE = ("done_us long, flow_id array<string>, dst_ip array<string>, src_port array<int>, dst_port array<int>, "
               "protocol array<int>, last_seen_us array<long>")
 
+#: No window is complete yet; before any time, which may be before the epoch.
+NONE_DONE = -(1 << 62)
+
 
 def _distinct_in_window(t: np.ndarray, target: np.ndarray, at: np.ndarray, w: int) -> np.ndarray:
     """Distinct targets seen in [x - w, x] for each x of ``at``: a sighting covers the time until its
@@ -61,7 +64,7 @@ def _scan_state(cfg: DetectionConfig):
     kinds = {"src_port": "int32", "dst_port": "int32", "protocol": "int32", "last_seen_us": "int64"}
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        done, parts = -1, []
+        done, parts = NONE_DONE, []
         if state.exists:
             done, *kept = state.get
             parts.append(pd.DataFrame(dict(zip(SCAN_COLUMNS, map(list, kept)))).astype(kinds))
@@ -69,7 +72,7 @@ def _scan_state(cfg: DetectionConfig):
             parts += [b[SCAN_COLUMNS] for b in batches]
         rows = pd.concat(parts, ignore_index=True)
         # no flow at or before the watermark can still come: windows that end there are complete
-        now = max(done, state.getCurrentWatermarkMs() * 1000)
+        now = max(done, state.getCurrentWatermarkMs() * 1000 or NONE_DONE)  # a watermark of 0 is none yet
         t = rows["last_seen_us"].to_numpy("int64")
         ready = (t > done) & (t <= now)
         out = rows[ready].copy()
@@ -104,7 +107,7 @@ def stream_scan_findings(flows: DataFrame, cfg: DetectionConfig = DEFAULT_CONFIG
     from flowsift.session import ship_package
 
     ship_package(flows.sparkSession)
-    f = flows.withColumn("_ts", F.timestamp_micros("last_seen_us")).withWatermark("_ts", watermark)
+    f = flows.withColumn("_ts", event_time("last_seen_us")).withWatermark("_ts", watermark)
     counts = (f.select("capture_id", "src_ip", *SCAN_COLUMNS, "_ts")
               .groupBy(*_stream_scope(cfg))
               .applyInPandasWithState(_scan_state(cfg), COUNT_SCHEMA, SCAN_STATE, "append",
@@ -201,7 +204,7 @@ def _run_and_flush(spark: SparkSession, writer, flows_dir: str, end_dir: str, cf
     progress = [] if progress is None else progress
     run_available(spark, writer, progress)
     newest = spark.read.schema(FLOWS).parquet(flows_dir).agg(F.max("last_seen_us")).first()[0] or 0
-    end_us = int(newest) + cfg.window_us + (int(lateness_s) + 10) * 1_000_000
+    end_us = max(int(newest), 0) + cfg.window_us + (int(lateness_s) + 10) * 1_000_000
     spark.createDataFrame([("__end__", "0.0.0.0", "", "0.0.0.0", 0, 0, 0, end_us)], SCAN_INPUT).write.mode("append").parquet(end_dir)
     run_available(spark, writer, progress)  # moves the watermark past every flow
     run_available(spark, writer, progress)  # a batch in which the last windows are counted
