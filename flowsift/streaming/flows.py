@@ -61,7 +61,7 @@ def _packed(batches: Iterator[pd.DataFrame]) -> tuple[list[tuple], dict[str, np.
     """(keys, columns): a call's packets by key, in arrival order. A batch is packed into numbers when it comes, so
     that some tens of bytes are held for a packet and a key's text once."""
     numbers: dict[tuple, int] = {}
-    parts: dict[str, list[np.ndarray]] = {c: [] for c in ("key", "pkt_idx", "ts_us", "length", "is_fwd", "term", *FLAGS)}
+    parts: dict[str, list[np.ndarray]] = {c: [] for c in ("key", "pkt_idx", "ts_us", "length", "sized", "is_fwd", "term", *FLAGS)}
     for b in batches:
         if not len(b):
             continue
@@ -70,8 +70,10 @@ def _packed(batches: Iterator[pd.DataFrame]) -> tuple[list[tuple], dict[str, np.
         keys = [tuple(None if k != k else int(k) if isinstance(k, float) else k for k in key)
                 for key in b[KEY].iloc[first].itertuples(index=False, name=None)]
         parts["key"].append(np.array([numbers.setdefault(k, len(numbers)) for k in keys], "int32")[number])
-        for c in ("pkt_idx", "ts_us", "length"):
+        for c in ("pkt_idx", "ts_us"):
             parts[c].append(b[c].astype("int64").to_numpy())  # raises on nulls
+        parts["sized"].append(b["length"].notna().to_numpy("bool"))
+        parts["length"].append(b["length"].fillna(0).astype("int64").to_numpy())
         for c in ("is_fwd", "term"):
             parts[c].append(b[c].eq(True).to_numpy("bool"))
         for c in FLAGS:
@@ -137,8 +139,8 @@ def _fold(flows: dict[tuple, dict], batches: Iterator[pd.DataFrame], idle: int,
     has_prev = ~opens
     has_prev[[*goes_on]] = True
     has_prev &= prev != 0  # a previous timestamp of exactly 0 is skipped
-    fwd = p["is_fwd"]
-    moments = [*_moments(p["length"], fwd, at), *_moments(p["length"], ~fwd, at),
+    fwd, sized = p["is_fwd"], p["sized"]  # a packet without a length counts in neither direction, as in batch
+    moments = [*_moments(p["length"], fwd & sized, at), *_moments(p["length"], ~fwd & sized, at),
                *_moments(np.maximum(0, ts - prev), has_prev, at)]
     moments += [np.add.reduceat(p[f], at, dtype="int64") for f in FLAGS]
     follows = np.append(key[at[1:]] == key[at[:-1]], False)  # another flow of the key comes after

@@ -397,3 +397,18 @@ def test_late_split_gives_one_file_a_micro_batch(spark):
     cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
     got, want = late.corrected_flows(flows, on_time, side).select(*cols), fl.flows(p).select(*cols)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_stream_takes_packets_without_a_length(spark):
+    """As in batch, a packet without a length belongs to its flow's times and flags, not to its counts of packets and bytes."""
+    from flowsift.streaming.flows import run_to_end
+
+    p = make_packets(spark, office_capture_rows(), capture_id="office")
+    p = p.withColumn("length", F.when(F.col("pkt_idx") % 5 != 2, F.col("length")))
+    pk = scratch_path(spark, "t-no-length")
+    p.coalesce(1).write.parquet(pk)
+    s = run_to_end(spark, pk, scratch_path(spark, "t-no-length-out"), scratch_path(spark, "t-no-length-ck"))
+    cols = [c for c in fl.FLOW_COLUMNS if c != "close_reason"]
+    b, s = fl.flows(p).select(*cols), s.select(*cols)
+    assert s.agg(F.sum("total_packets")).first()[0] < OFFICE["packets"]
+    assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
