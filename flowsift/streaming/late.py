@@ -43,8 +43,8 @@ def split_late(spark: SparkSession, packets_dir: str, out_dir: str, checkpoint:
             if newest is not None:
                 last = seen.groupBy("capture_id").agg(F.max("last_idx").alias("last_idx"))
                 rows = batch.join(last, "capture_id", "left")
-                late = F.coalesce(F.col("pkt_idx") < F.col("last_idx"), F.lit(False)) | (
-                    F.col("ts_us") <= newest - int(lateness_s) * 1_000_000)
+                late = F.coalesce(F.col("pkt_idx") < F.col("last_idx"), F.lit(False)) | F.coalesce(
+                    F.col("ts_us") <= newest - int(lateness_s) * 1_000_000, F.lit(False))
         name = f"{n:09d}"
         rows.where(~late).select(*batch.columns).repartition(1).write.mode("overwrite").parquet(f"{out_dir}/on_time/{name}")
         rows.where(late).select(*batch.columns).write.mode("overwrite").parquet(f"{out_dir}/late/{name}")
